@@ -38,6 +38,13 @@ def utc_wall(ts: Column) -> Column:
     return F.timestamp_add("MICROSECOND", F.unix_micros(ts), F.lit("1970-01-01").cast("timestamp_ntz"))
 
 
+def from_utc_wall(wall: Column) -> Column:
+    """Inverse of :func:`utc_wall`: the instant at which UTC clocks show a zone-less time."""
+    since = wall.cast("timestamp_ntz") - F.lit("1970-01-01").cast("timestamp_ntz")
+    seconds = since.cast("interval second").cast("decimal(20,6)")
+    return F.timestamp_micros((seconds * F.lit(1_000_000)).cast("long"))
+
+
 def utc_date(df: DataFrame, name: str) -> Column:
     """UTC day of a timestamp column; a zone-less timestamp or a date is taken as it is."""
     column = F.col(name)
@@ -70,9 +77,9 @@ def strict_cast(column: Column, data_type: T.DataType, name: str) -> Column:
 
 def instant(text: Column) -> Column:
     """Timestamp text with an explicit zone: text that names none is UTC."""
-    zoned = text.rlike(r"[T ]\d.*(Z|[+-]\d\d(:?\d\d)?)$")
+    zoned = text.rlike(r"[T ]\d.*[+-]\d\d(:?\d\d)?$")
     timed = text.rlike(r"[T ]\d")
-    return F.when(zoned, text).when(timed, F.concat(text, F.lit("Z"))).otherwise(F.concat(text, F.lit("T00:00:00Z")))
+    return F.when(text.endswith("Z"), text).when(zoned, text).when(timed, F.concat(text, F.lit("Z"))).otherwise(F.concat(text, F.lit("T00:00:00Z")))
 
 
 def count_text(n: Column) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plaintide.functions.scalar import instant, strict_cast, typed_null
+from plaintide.functions.scalar import from_utc_wall, instant, strict_cast, typed_null
 from plaintide.schemas import BRONZE
 
 
@@ -23,7 +23,9 @@ def normalize_schema(df: DataFrame, schema: T.StructType = BRONZE, keep: tuple[s
             return typed_null(target).alias(name)
         column, source = F.col(name), df.schema[name].dataType
         if isinstance(target, T.TimestampType):
-            if source != target:
+            if isinstance(source, (T.TimestampNTZType, T.DateType)):
+                column = from_utc_wall(column)
+            elif source != target:
                 column = strict_cast(instant(column.cast("string")), target, name)
             return F.timestamp_millis(F.unix_millis(column)).alias(name)
         if source == target:
