@@ -1,0 +1,125 @@
+from __future__ import annotations
+
+import glob
+import os
+
+import pytest
+
+from plaintide.operators.upsert import RANGE, finish_pending, key_range, latest_per_key, merge_rows, require_key
+from plaintide.sources.warehouse import COMPLAINTS
+from tests.rows import bronze, by_key, complaint
+
+
+def rows(spark, *changes):
+    return bronze(spark, [complaint(**c) for c in changes])
+
+
+def test_insert_replace_and_idempotence(spark, warehouse):
+    first = rows(spark, dict(complaint_id=1, company="A"), dict(complaint_id=2, company="B"))
+    second = rows(spark, dict(complaint_id=2, company="C", product=None), dict(complaint_id=3, company="D"))
+    warehouse.upsert(first)
+    warehouse.upsert(second)
+    once = by_key(warehouse.source_table())
+    warehouse.upsert(second)
+    assert by_key(warehouse.source_table()) == once
+    assert {k: (r["company"], r["product"]) for k, r in once.items()} == {
+        1: ("A", "Loan"),
+        2: ("C", None),
+        3: ("D", "Loan"),
+    }
+
+
+def test_batch_wins_over_a_newer_target_row(spark, warehouse):
+    warehouse.upsert(rows(spark, dict(company="new", extracted_at="2026-03-01T00:00:00.000Z")))
+    warehouse.upsert(rows(spark, dict(company="old", extracted_at="2026-02-01T00:00:00.000Z")))
+    assert by_key(warehouse.source_table())[1]["company"] == "old"
+
+
+def test_duplicates_in_a_batch(spark):
+    batch = rows(
+        spark,
+        dict(complaint_id=1, company="late", extracted_at="2026-03-01T00:00:00.000Z"),
+        dict(complaint_id=1, company="early", extracted_at="2026-02-01T00:00:00.000Z"),
+        dict(complaint_id=2, product="Card", company="Z"),
+        dict(complaint_id=2, product="Loan", company="A"),
+        dict(complaint_id=2, product=None, company="ZZ"),
+    )
+    for order in (batch, batch.orderBy("company"), batch.orderBy(batch.company.desc())):
+        found = by_key(latest_per_key(order))
+        assert (found[1]["company"], found[2]["company"]) == ("late", "A")
+
+
+def test_batches_in_any_order_if_times_differ(spark):
+    parts = [
+        rows(spark, dict(complaint_id=k % 3, company=f"v{k}", extracted_at=f"2026-02-{k + 1:02d}T00:00:00.000Z"))
+        for k in range(6)
+    ]
+    forward = parts[0]
+    backward = parts[-1]
+    for part in parts[1:]:
+        forward = forward.unionByName(part)
+    for part in reversed(parts[:-1]):
+        backward = backward.unionByName(part)
+    assert by_key(latest_per_key(forward)) == by_key(latest_per_key(backward))
+
+
+def test_null_key_fails_and_leaves_the_table(spark, warehouse):
+    warehouse.upsert(rows(spark, dict(complaint_id=1)))
+    before = by_key(warehouse.source_table())
+    with pytest.raises(Exception, match="NULL in key column complaint_id"):
+        warehouse.upsert(rows(spark, dict(complaint_id=None), dict(complaint_id=5)))
+    assert by_key(warehouse.source_table()) == before
+    with pytest.raises(Exception, match="NULL in key column"):
+        require_key(rows(spark, dict(complaint_id=None))).collect()
+
+
+def files_of(warehouse, width_range):
+    return sorted(glob.glob(os.path.join(warehouse.path("raw", COMPLAINTS), f"{RANGE}={width_range}", "*.parquet")))
+
+
+def test_only_touched_ranges_are_rewritten(spark, warehouse):
+    warehouse.upsert(rows(spark, dict(complaint_id=5), dict(complaint_id=1_000_005), dict(complaint_id=9_000_001)))
+    before = {r: files_of(warehouse, r) for r in (0, 1, 9)}
+    assert all(before.values())
+    warehouse.upsert(rows(spark, dict(complaint_id=1_000_005, company="B"), dict(complaint_id=1_000_006)))
+    assert files_of(warehouse, 0) == before[0]
+    assert files_of(warehouse, 9) == before[9]
+    assert files_of(warehouse, 1) != before[1]
+    found = by_key(warehouse.source_table())
+    assert sorted(found) == [5, 1_000_005, 1_000_006, 9_000_001]
+    assert found[1_000_005]["company"] == "B"
+
+
+def test_a_stopped_run_is_finished_by_the_next(spark, warehouse):
+    warehouse.upsert(rows(spark, dict(complaint_id=1, company="A"), dict(complaint_id=2, company="B")))
+    pending = warehouse.path("raw", f"{COMPLAINTS}__pending")
+    batch = rows(spark, dict(complaint_id=2, company="C"))
+    merged = merge_rows(warehouse.source_table(), batch).withColumn(RANGE, key_range())
+    merged.write.partitionBy(RANGE).parquet(pending)
+    warehouse.upsert(rows(spark, dict(complaint_id=3, company="D")))
+    assert {k: r["company"] for k, r in by_key(warehouse.source_table()).items()} == {1: "A", 2: "C", 3: "D"}
+    assert not os.path.exists(pending)
+
+
+def test_an_incomplete_pending_folder_is_ignored(spark, warehouse):
+    warehouse.upsert(rows(spark, dict(complaint_id=1, company="A")))
+    pending = warehouse.path("raw", f"{COMPLAINTS}__pending")
+    rows(spark, dict(complaint_id=7)).withColumn(RANGE, key_range()).write.partitionBy(RANGE).parquet(pending)
+    os.remove(os.path.join(pending, "_SUCCESS"))
+    finish_pending(spark, warehouse.name("raw", COMPLAINTS), pending)
+    assert sorted(by_key(warehouse.source_table())) == [1]
+
+
+def test_stored_data_is_found_by_a_new_catalog(spark, warehouse):
+    warehouse.upsert(rows(spark, dict(complaint_id=1), dict(complaint_id=2_000_000)))
+    spark.sql(f"DROP TABLE {warehouse.name('raw', COMPLAINTS)}")
+    warehouse.create_if_absent()
+    assert sorted(by_key(warehouse.source_table())) == [1, 2_000_000]
+
+
+def test_empty_batch(spark, warehouse):
+    warehouse.upsert(rows(spark))
+    assert warehouse.source_table().count() == 0
+    warehouse.upsert(rows(spark, dict(complaint_id=1)))
+    warehouse.upsert(rows(spark))
+    assert tuple(warehouse.load_summary(rows(spark)).collect()[0]) == (0, 1, "success")
