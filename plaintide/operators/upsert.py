@@ -62,6 +62,7 @@ def upsert_by_key(
     finished by the next call.
     """
     finish_pending(spark, table, pending)
+    spark.catalog.refreshTable(table)
     rows = latest_per_key(require_key(batch.select([f.name for f in BRONZE]), key), key, version)
     # one small row per touched range, never more than the table has partitions
     touched = [r[0] for r in batch.select(key_range(key, width)).distinct().collect() if r[0] is not None]

@@ -59,7 +59,8 @@ class Warehouse:
             self.spark.catalog.recoverPartitions(self.name("raw", COMPLAINTS))
 
     def source_table(self) -> DataFrame:
-        """The keyed complaint table that staging reads."""
+        """The keyed complaint table that staging reads, as last written by any session."""
+        self.spark.catalog.refreshTable(self.name("raw", COMPLAINTS))
         return self.spark.table(self.name("raw", COMPLAINTS)).drop(RANGE)
 
     def upsert(self, batch: DataFrame) -> None:

@@ -1,0 +1,71 @@
+from __future__ import annotations
+
+from plaintide.operators import quality
+from plaintide.plans import marts, models
+from tests.rows import bronze, complaint
+
+
+def one(df):
+    return tuple(df.collect()[0])
+
+
+def sample(spark):
+    rows = [
+        complaint(complaint_id=1),
+        complaint(complaint_id=1, company=None),
+        complaint(complaint_id=2, date_received=None),
+        complaint(complaint_id=None, issue=None),
+        complaint(complaint_id=None),
+    ]
+    return bronze(spark, rows)
+
+
+def test_unique_ignores_null(spark):
+    assert [tuple(r) for r in quality.dq_unique(sample(spark), "complaint_id").collect()] == [(1, 2)]
+
+
+def test_not_null_counts(spark):
+    found = quality.dq_not_null(sample(spark), ["complaint_id", "company", "state"]).collect()
+    assert [tuple(r) for r in found] == [("complaint_id", 2), ("company", 1), ("state", 0)]
+
+
+def test_required_columns(spark):
+    found = quality.dq_required_columns(sample(spark).drop("issue")).collect()
+    assert [tuple(r) for r in found] == [
+        ("complaint_id", 3, True),
+        ("company", 4, True),
+        ("product", 5, True),
+        ("issue", 0, False),
+        ("date_received", 4, True),
+    ]
+
+
+def test_single_row_checks(spark):
+    df = sample(spark)
+    assert one(quality.dq_has_rows(df)) == (True,)
+    assert one(quality.dq_has_rows(df.limit(0))) == (False,)
+    assert one(quality.dq_key_unique_ratio(df)) == (2, 5, False)
+    assert one(quality.dq_sample_required(df)) == (3, 1, 0, 0, 1)
+    assert one(quality.dq_valid_ratio(df)) == (4, 5, 0.8, False)
+    assert one(quality.dq_valid_ratio(df, minimum=0.8))[3] is True
+    assert one(quality.dq_valid_ratio(df.limit(0))) == (0, 0, None, None)
+
+
+def test_table_exists(spark, warehouse):
+    df = sample(spark)
+    name = warehouse.name("marts", "sample")
+    assert one(quality.dq_table_exists(spark, name, df)) == (5, False)
+    warehouse.materialize("marts", "sample", df)
+    assert one(quality.dq_table_exists(spark, name, df)) == (5, True)
+
+
+def test_report_lists_failures_without_raising(spark):
+    source = sample(spark)
+    relation = models.int_complaint_metrics(models.stg_complaints(source))
+    built = {name: build(relation) for name, build in marts.MARTS.items()}
+    report = quality.dq_report({"complaints": source, **built}).collect()
+    found = {(r["model"], r["column_name"], r["test"]): r["failures"] for r in report}
+    assert len(found) == len(report) == 12
+    assert found[("complaints", "complaint_id", "unique")] == 1
+    assert found[("complaints", "complaint_id", "not_null")] == 2
+    assert sum(found.values()) == 3
