@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plaintide.functions.scalar import flag, percent, round2
+from plaintide.functions.scalar import percent, round2
 
 DAYS = "days_to_response"
 
@@ -26,23 +26,19 @@ def value_counts(df: DataFrame, keys: Sequence[str], values: Sequence[str]) -> D
     group are taken from the rows of the day counts (`is_day_row`), which cover every complaint once.
     """
     columns = [*values, DAYS]
-    return (
-        df.groupingSets([[*keys, column] for column in columns], *keys, *columns)
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.sum(flag(F.col("is_timely_response"))).alias("timely"),
-            F.sum(flag(F.col("has_narrative"))).alias("narrative"),
-            F.min("date_received").alias("first_date"),
-            F.max("date_received").alias("last_date"),
-            (F.grouping(DAYS) == 0).alias("is_day_row"),
-        )
+    return df.groupingSets([[*keys, column] for column in columns], *keys, *columns).agg(
+        F.expr("count(1)").alias("n"),
+        F.expr("sum(CAST(is_timely_response AS BIGINT))").alias("timely"),
+        F.expr("sum(CAST(has_narrative AS BIGINT))").alias("narrative"),
+        F.expr("min(date_received)").alias("first_date"),
+        F.expr("max(date_received)").alias("last_date"),
+        F.expr(f"grouping({DAYS}) = 0").alias("is_day_row"),
     )
 
 
-def commonest(value: str, n: Column) -> Column:
-    """Value with the greatest count, the smallest value on a tie, NULL only if there is no value."""
-    candidate = F.struct((-n).alias("order"), F.col(value).alias("value"))
-    return F.min(F.when(F.col(value).isNotNull(), candidate))["value"]
+def commonest(value: str) -> Column:
+    """Value with the greatest count `n`, the smallest value on a tie, NULL only if there is no value."""
+    return F.expr(f"min(struct(-n, {value} AS value)) FILTER (WHERE {value} IS NOT NULL).value")
 
 
 def profile(
@@ -58,30 +54,29 @@ def profile(
     """
     modes = modes or {}
     values = list(dict.fromkeys([*distinct.values(), *modes.values()]))
-    n = F.col("n")
-    days = F.col(DAYS)
-
-    def of_group(column: str) -> Column:
-        return F.when(F.col("is_day_row"), F.col(column))
-
+    statistics = {
+        "total_complaints": "sum(n) FILTER (WHERE is_day_row)",
+        **{name: f"count({column})" for name, column in distinct.items()},
+        "timely_responses": "sum(timely) FILTER (WHERE is_day_row)",
+        "complaints_with_narrative": "sum(narrative) FILTER (WHERE is_day_row)",
+        "sum_days": f"sum({DAYS} * n)",
+        "rows_with_days": f"sum(n) FILTER (WHERE {DAYS} IS NOT NULL)",
+        "median_days_to_response": f"percentile({DAYS}, 0.5D, n)",
+        "min_days_to_response": f"min({DAYS})",
+        "max_days_to_response": f"max({DAYS})",
+        "first_complaint_date": "min(first_date) FILTER (WHERE is_day_row)",
+        "last_complaint_date": "max(last_date) FILTER (WHERE is_day_row)",
+    }
     grouped = value_counts(df, keys, values).groupBy(*keys).agg(
-        F.sum(of_group("n")).alias("total_complaints"),
-        *[F.count(column).alias(name) for name, column in distinct.items()],
-        F.sum(of_group("timely")).alias("timely_responses"),
-        F.sum(of_group("narrative")).alias("complaints_with_narrative"),
-        (F.sum(days * n) / F.nullif(F.sum(F.when(days.isNotNull(), n)), F.lit(0).cast("long"))).alias("mean_days"),
-        F.percentile(days, 0.5, n).alias("median_days_to_response"),
-        F.min(days).alias("min_days_to_response"),
-        F.max(days).alias("max_days_to_response"),
-        F.min(of_group("first_date")).alias("first_complaint_date"),
-        F.max(of_group("last_date")).alias("last_complaint_date"),
-        *[commonest(column, n).alias(name) for name, column in modes.items()],
+        *[F.expr(sql).alias(name) for name, sql in statistics.items()],
+        *[commonest(column).alias(name) for name, column in modes.items()],
     )
+    total = F.col("total_complaints")
     return grouped.withColumns(
         {
-            "pct_timely": percent(F.col("timely_responses"), F.col("total_complaints")),
-            "pct_with_narrative": percent(F.col("complaints_with_narrative"), F.col("total_complaints")),
-            "avg_days_to_response": round2(F.col("mean_days")),
+            "pct_timely": percent(F.col("timely_responses"), total),
+            "pct_with_narrative": percent(F.col("complaints_with_narrative"), total),
+            "avg_days_to_response": round2(F.expr("sum_days / rows_with_days")),
         }
     )
 

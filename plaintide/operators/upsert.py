@@ -16,6 +16,7 @@ from plaintide.sources.files import delete, exists
 
 RANGE = "key_range"
 RANGE_WIDTH = 1_000_000
+MAX_LISTED_RANGES = 1000
 
 
 def latest_per_key(df: DataFrame, key: str = KEY, version: str = "extracted_at") -> DataFrame:
@@ -40,10 +41,27 @@ def key_range(key: str = KEY, width: int = RANGE_WIDTH) -> Column:
     return F.floor(F.col(key) / F.lit(width)).cast("long").alias(RANGE)
 
 
-def merge_rows(target: DataFrame, batch: DataFrame, key: str = KEY) -> DataFrame:
-    """Target rows whose key is not in the batch, and the batch; the batch wins whatever its version."""
-    kept = target.join(batch.select(key), key, "left_anti").select(batch.columns)
-    return kept.unionByName(batch)
+def merge_rows(target: DataFrame, batch: DataFrame, key: str = KEY, version: str = "extracted_at") -> DataFrame:
+    """Target rows whose key is not in the batch, and one batch row per key.
+
+    The batch wins whatever its version. The join sees the batch's distinct keys only, combined map-side.
+    """
+    kept = target.join(batch.select(key).distinct(), key, "left_anti").select(batch.columns)
+    return kept.unionByName(latest_per_key(batch, key, version))
+
+
+def touched_rows(target: DataFrame, batch: DataFrame, key: str, width: int) -> DataFrame:
+    """Target rows in the key ranges the batch touches.
+
+    A usual batch touches few ranges: they become a partition filter, and no other file is listed. A very
+    wide one is bounded by its lowest and highest range and joined on the ranges.
+    """
+    ranges = batch.filter(F.col(key).isNotNull()).select(key_range(key, width)).distinct()
+    listed = [r[0] for r in ranges.limit(MAX_LISTED_RANGES + 1).collect()]
+    if len(listed) <= MAX_LISTED_RANGES:
+        return target.filter(F.col(RANGE).isin(listed))
+    low, high = ranges.agg(F.min(RANGE), F.max(RANGE)).first()
+    return target.filter(F.col(RANGE).between(low, high)).join(ranges, RANGE, "left_semi")
 
 
 def upsert_by_key(
@@ -63,17 +81,10 @@ def upsert_by_key(
     """
     finish_pending(spark, table, pending)
     spark.catalog.refreshTable(table)
-    rows = latest_per_key(require_key(batch.select([f.name for f in BRONZE]), key), key, version)
-    # one small row per touched range, never more than the table has partitions
-    touched = [r[0] for r in batch.select(key_range(key, width)).distinct().collect() if r[0] is not None]
-    target = spark.table(table).filter(F.col(RANGE).isin(touched)).drop(RANGE)
-    merged = merge_rows(target, rows, key).withColumn(RANGE, key_range(key, width))
-    (
-        merged.hint("rebalance", RANGE)
-        .write.mode("overwrite")
-        .partitionBy(RANGE)
-        .parquet(pending)
-    )
+    rows = require_key(batch.select([f.name for f in BRONZE]), key)
+    target = touched_rows(spark.table(table), batch, key, width).drop(RANGE)
+    merged = merge_rows(target, rows, key, version).withColumn(RANGE, key_range(key, width))
+    merged.hint("rebalance", RANGE).write.mode("overwrite").partitionBy(RANGE).parquet(pending)
     finish_pending(spark, table, pending)
 
 

@@ -46,7 +46,7 @@ def land_raw(warehouse: Warehouse, zones: Zones, first: str, last: str, run_ts:
     """Pages to raw JSON lines of the days `first` to `last`."""
     records = with_process_date(flatten_pages(read_pages(warehouse.spark, zones.pages)))
     in_range = F.col("process_date").between(F.lit(first).cast("date"), F.lit(last).cast("date"))
-    write_raw(stamp_extracted_at(records.filter(in_range), run_ts), zones.raw, chunk_size)
+    write_raw(stamp_extracted_at(records.filter(in_range), run_ts), zones.raw, chunk_size, one_date=first == last)
 
 
 def raw_to_bronze(warehouse: Warehouse, zones: Zones, first: str, last: str) -> None:

@@ -9,12 +9,17 @@ from pyspark.sql import SparkSession
 
 
 def get_session(app_name: str = "plaintide", **conf: str) -> SparkSession:
-    """Session with UTC dates and adaptive execution; cluster settings stay with the submitter."""
+    """Session with UTC dates and adaptive execution; cluster settings stay with the submitter.
+
+    The second pass of a mart holds few counted values per group, so more than the default 128 groups may
+    stay in its hash map before Spark sorts instead.
+    """
     builder = (
         SparkSession.builder.appName(app_name)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", "1024")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.enabled", "false")
     )

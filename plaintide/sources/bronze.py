@@ -11,10 +11,13 @@ from plaintide.sources.raw import PARTITION
 
 
 def write_bronze(df: DataFrame, root: str) -> None:
-    """Write normalised rows and their `process_date`; a date that is written again is replaced whole."""
+    """Write normalised rows and their `process_date`; a date that is written again is replaced whole.
+
+    There is no shuffle: rows read from the raw layer come date by date, so a task meets few dates and a
+    date gets at most one file per raw split, as one file per raw file would.
+    """
     (
-        df.hint("rebalance", "process_date")
-        .write.mode("overwrite")
+        df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "snappy")
         .partitionBy("process_date")

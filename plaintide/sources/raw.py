@@ -24,16 +24,18 @@ def to_json_records(df: DataFrame, fields: list[str], name: str = "record") -> D
     return df.select(*others, F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}).alias(name))
 
 
-def write_raw(records: DataFrame, root: str, chunk_size: int = CHUNK_SIZE) -> None:
+def write_raw(records: DataFrame, root: str, chunk_size: int = CHUNK_SIZE, one_date: bool = False) -> None:
     """Write `record` lines below `process_date=…`, at most `chunk_size` records per file.
 
-    A date that is written again replaces all its files. The rebalance brings a date into few tasks and
-    splits a date that is too large for one.
+    A date that is written again replaces all its files. Records of many dates are rebalanced, which
+    brings a date into few tasks and splits a date that is too large for one; those of `one_date` are
+    written where they are.
     """
+    lines = records.select("record", "process_date")
+    if not one_date:
+        lines = lines.hint("rebalance", "process_date")
     (
-        records.select("record", "process_date")
-        .hint("rebalance", "process_date")
-        .write.mode("overwrite")
+        lines.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("maxRecordsPerFile", chunk_size)
         .partitionBy("process_date")

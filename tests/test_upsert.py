@@ -5,6 +5,7 @@ import os
 
 import pytest
 
+from plaintide.operators import upsert
 from plaintide.operators.upsert import RANGE, finish_pending, key_range, latest_per_key, merge_rows, require_key
 from plaintide.sources.warehouse import COMPLAINTS
 from tests.rows import bronze, by_key, complaint
@@ -90,6 +91,20 @@ def test_only_touched_ranges_are_rewritten(spark, warehouse):
     assert found[1_000_005]["company"] == "B"
 
 
+@pytest.mark.parametrize("listed", [1000, 1])
+def test_wide_batches_merge_the_same_rows(spark, warehouse, monkeypatch, listed):
+    monkeypatch.setattr(upsert, "MAX_LISTED_RANGES", listed)
+    warehouse.upsert(rows(spark, *[dict(complaint_id=k * 1_000_000) for k in range(6)]))
+    between = files_of(warehouse, 2)
+    warehouse.upsert(rows(spark, *[dict(complaint_id=k * 1_000_000 + k % 2, company="B") for k in (1, 3, 4)]))
+    assert files_of(warehouse, 2) == between
+    found = {k: r["company"] for k, r in by_key(warehouse.source_table()).items()}
+    assert found == {
+        0: "Acme", 1_000_000: "Acme", 1_000_001: "B", 2_000_000: "Acme", 3_000_000: "Acme", 3_000_001: "B",
+        4_000_000: "B", 5_000_000: "Acme",
+    }
+
+
 def test_a_stopped_run_is_finished_by_the_next(spark, warehouse):
     warehouse.upsert(rows(spark, dict(complaint_id=1, company="A"), dict(complaint_id=2, company="B")))
     pending = warehouse.path("raw", f"{COMPLAINTS}__pending")
