@@ -22,23 +22,30 @@ DAYS = "days_to_response"
 def value_counts(df: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFrame:
     """Rows per (keys, value) for each value column and for the response days, in one scan.
 
-    Each output row belongs to one value column, the others are NULL in it. The sums and extremes of the
-    group are taken from the rows of the day counts (`is_day_row`), which cover every complaint once.
+    `source` is the position of the value column in `values`, or -1 for the days. The sums and extremes of
+    a group are taken from the day rows, which cover every complaint once.
     """
-    columns = [*values, DAYS]
-    return df.groupingSets([[*keys, column] for column in columns], *keys, *columns).agg(
+    pairs = [f"{position}, {column}, CAST(NULL AS BIGINT)" for position, column in enumerate(values)]
+    pairs.append(f"-1, CAST(NULL AS STRING), {DAYS}")
+    long = df.select(
+        *keys,
+        "date_received",
+        F.expr("CAST(is_timely_response AS BIGINT)").alias("timely"),
+        F.expr("CAST(has_narrative AS BIGINT)").alias("narrative"),
+        F.expr(f"stack({len(pairs)}, {', '.join(pairs)})").alias("source", "value", "days"),
+    )
+    return long.groupBy(*keys, "source", "value", "days").agg(
         F.expr("count(1)").alias("n"),
-        F.expr("sum(CAST(is_timely_response AS BIGINT))").alias("timely"),
-        F.expr("sum(CAST(has_narrative AS BIGINT))").alias("narrative"),
+        F.expr("sum(timely)").alias("timely"),
+        F.expr("sum(narrative)").alias("narrative"),
         F.expr("min(date_received)").alias("first_date"),
         F.expr("max(date_received)").alias("last_date"),
-        F.expr(f"grouping({DAYS}) = 0").alias("is_day_row"),
     )
 
 
-def commonest(value: str) -> Column:
+def commonest(position: int) -> Column:
     """Value with the greatest count `n`, the smallest value on a tie, NULL only if there is no value."""
-    return F.expr(f"min(struct(-n, {value} AS value)) FILTER (WHERE {value} IS NOT NULL).value")
+    return F.expr(f"min(struct(-n, value)) FILTER (WHERE source = {position} AND value IS NOT NULL).value")
 
 
 def profile(
@@ -54,22 +61,23 @@ def profile(
     """
     modes = modes or {}
     values = list(dict.fromkeys([*distinct.values(), *modes.values()]))
+    position = {column: i for i, column in enumerate(values)}
     statistics = {
-        "total_complaints": "sum(n) FILTER (WHERE is_day_row)",
-        **{name: f"count({column})" for name, column in distinct.items()},
-        "timely_responses": "sum(timely) FILTER (WHERE is_day_row)",
-        "complaints_with_narrative": "sum(narrative) FILTER (WHERE is_day_row)",
-        "sum_days": f"sum({DAYS} * n)",
-        "rows_with_days": f"sum(n) FILTER (WHERE {DAYS} IS NOT NULL)",
-        "median_days_to_response": f"percentile({DAYS}, 0.5D, n)",
-        "min_days_to_response": f"min({DAYS})",
-        "max_days_to_response": f"max({DAYS})",
-        "first_complaint_date": "min(first_date) FILTER (WHERE is_day_row)",
-        "last_complaint_date": "max(last_date) FILTER (WHERE is_day_row)",
+        "total_complaints": "sum(n) FILTER (WHERE source = -1)",
+        **{name: f"count(value) FILTER (WHERE source = {position[column]})" for name, column in distinct.items()},
+        "timely_responses": "sum(timely) FILTER (WHERE source = -1)",
+        "complaints_with_narrative": "sum(narrative) FILTER (WHERE source = -1)",
+        "sum_days": "sum(days * n)",
+        "rows_with_days": "sum(n) FILTER (WHERE days IS NOT NULL)",
+        "median_days_to_response": "percentile(days, 0.5D, n)",
+        "min_days_to_response": "min(days)",
+        "max_days_to_response": "max(days)",
+        "first_complaint_date": "min(first_date) FILTER (WHERE source = -1)",
+        "last_complaint_date": "max(last_date) FILTER (WHERE source = -1)",
     }
     grouped = value_counts(df, keys, values).groupBy(*keys).agg(
         *[F.expr(sql).alias(name) for name, sql in statistics.items()],
-        *[commonest(column).alias(name) for name, column in modes.items()],
+        *[commonest(position[column]).alias(name) for name, column in modes.items()],
     )
     total = F.col("total_complaints")
     return grouped.withColumns(
