@@ -1,14 +1,12 @@
 """Aggregate marts over the metric relation.
 
-Stored rows of a Spark table have no order, so the reference order of each mart is applied when it is
-served (`plans.serving`) and offered here as :data:`ORDERS`.
+Rows of a stored Spark table have no order, so a mart is stored as it comes and sorted when it is listed
+(:func:`listed`) or served (`plans.serving`).
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plaintide.functions.scalar import share_percent
@@ -136,16 +134,11 @@ MARTS = {
 }
 
 
-def _by_total(key: str) -> Sequence[Column]:
-    return [F.col("total_complaints").desc_nulls_last(), F.col(key).asc_nulls_last()]
-
-
-def reference_order(name: str, mart: DataFrame) -> DataFrame:
-    """The order each mart is listed in; ties on the total go by key."""
+def listed(name: str, mart: DataFrame) -> DataFrame:
+    """A mart in its listing order: newest month, parent then child, or largest total first."""
     if name == "agg_complaints_by_month":
         return mart.orderBy(F.col("complaint_month_date").desc_nulls_last())
-    if name == "dim_products":
-        return mart.orderBy(F.col("product").asc_nulls_last(), F.col("sub_product").asc_nulls_first())
-    if name == "dim_issues":
-        return mart.orderBy(F.col("issue").asc_nulls_last(), F.col("sub_issue").asc_nulls_first())
-    return mart.orderBy(*_by_total(mart.columns[0]))
+    key = F.col(mart.columns[0]).asc_nulls_last()
+    if name in ("dim_products", "dim_issues"):
+        return mart.orderBy(key, F.col(mart.columns[1]).asc_nulls_first())
+    return mart.orderBy(F.col("total_complaints").desc_nulls_last(), key)

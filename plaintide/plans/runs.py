@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import date, timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plaintide.operators.normalize import normalize_schema
@@ -42,16 +42,16 @@ def process_date(logical_date: Column) -> Column:
     return F.date_sub(logical_date.cast("date"), 1)
 
 
-def land_raw(warehouse: Warehouse, zones: Zones, first: str, last: str, run_ts: str, chunk_size: int) -> None:
-    """Pages to raw JSON lines of the days `first` to `last`."""
-    records = with_process_date(flatten_pages(read_pages(warehouse.spark, zones.pages)))
+def land_raw(spark: SparkSession, zones: Zones, first: str, last: str, run_ts: str, chunk_size: int) -> None:
+    """Pages to raw JSON lines of the days `first` to `last`; records without a day go to `first`."""
+    records = with_process_date(flatten_pages(read_pages(spark, zones.pages)), undated=first)
     in_range = F.col("process_date").between(F.lit(first).cast("date"), F.lit(last).cast("date"))
     write_raw(stamp_extracted_at(records.filter(in_range), run_ts), zones.raw, chunk_size, one_date=first == last)
 
 
-def raw_to_bronze(warehouse: Warehouse, zones: Zones, first: str, last: str) -> None:
+def raw_to_bronze(spark: SparkSession, zones: Zones, first: str, last: str) -> None:
     """Raw JSON lines to typed Parquet."""
-    raw = read_raw(warehouse.spark, zones.raw, first, last)
+    raw = read_raw(spark, zones.raw, first, last)
     write_bronze(normalize_schema(raw, keep=("process_date",)), zones.bronze)
 
 
@@ -88,13 +88,14 @@ def run_backfill(
 
     Running the same range again replaces the same files and rows. A day without records changes nothing.
     """
-    land_raw(warehouse, zones, first, last, run_ts, chunk_size)
-    raw_to_bronze(warehouse, zones, first, last)
-    batch = scan_bronze(warehouse.spark, zones.bronze, first, last)
+    spark = warehouse.spark
+    land_raw(spark, zones, first, last, run_ts, chunk_size)
+    raw_to_bronze(spark, zones, first, last)
+    batch = scan_bronze(spark, zones.bronze, first, last)
     warehouse.upsert(batch)
     models = build_models(warehouse)
     return RunResult(
-        reconcile_counts(read_pages(warehouse.spark, zones.pages)),
+        reconcile_counts(read_pages(spark, zones.pages)),
         warehouse.load_summary(batch),
         check_models(models),
     )

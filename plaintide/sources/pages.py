@@ -50,10 +50,14 @@ def reconcile_counts(pages: DataFrame) -> DataFrame:
     return counts.withColumn("is_complete", F.col("expected") == F.col("actual"))
 
 
-def with_process_date(records: DataFrame) -> DataFrame:
-    """Add the UTC day each record was received."""
+def with_process_date(records: DataFrame, undated: str) -> DataFrame:
+    """Add the UTC day each record was received; a record without one belongs to the day `undated`.
+
+    No record is lost that way: one without a key then fails the upsert instead of vanishing here.
+    """
     received = strict_cast(instant(json_field("date_received")), T.TimestampType(), "date_received")
-    return records.withColumn("process_date", utc_wall(received).cast("date"))
+    day = F.coalesce(utc_wall(received).cast("date"), F.lit(undated).cast("date"))
+    return records.withColumn("process_date", day)
 
 
 def stamp_extracted_at(records: DataFrame, run_ts: str) -> DataFrame:

@@ -55,6 +55,7 @@ def main(sf_dir: str, keys: list[str]) -> int:
             "spark.master": "local[8]",
             "spark.sql.shuffle.partitions": "8",
             "spark.driver.memory": "8g",
+            "spark.hadoop.fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem",
             "spark.ui.showConsoleProgress": "false",
         },
     )

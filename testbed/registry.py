@@ -8,7 +8,6 @@ run's later steps would.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -56,32 +55,32 @@ class Layers:
             self._done.add(step)
 
     def pages(self) -> str:
-        self._once("pages", lambda: shape.land_pages(self.spark, shape.complaints(self.spark, self.sf_dir), self.zones.pages))
+        rows = shape.complaints(self.spark, self.sf_dir)
+        self._once("pages", lambda: shape.land_pages(rows, self.zones.pages))
         return self.zones.pages
 
     def raw(self) -> str:
         self.pages()
-        writer = new_warehouse(self.spark, "raw")
-        self._once("raw", lambda: runs.land_raw(writer, self.zones, *ALL_DAYS, RUN_TS, raw.CHUNK_SIZE))
+        self._once("raw", lambda: runs.land_raw(self.spark, self.zones, *ALL_DAYS, RUN_TS, raw.CHUNK_SIZE))
         return self.zones.raw
 
     def bronze(self) -> str:
         self.raw()
-        writer = new_warehouse(self.spark, "bronze")
-        self._once("bronze", lambda: runs.raw_to_bronze(writer, self.zones, *ALL_DAYS))
+        self._once("bronze", lambda: runs.raw_to_bronze(self.spark, self.zones, *ALL_DAYS))
         return self.zones.bronze
 
     def batch(self) -> DataFrame:
         return bronze.scan_bronze(self.spark, self.bronze(), *ALL_DAYS)
 
 
-@cache
-def _layers(application: str, sf_dir: str) -> Layers:
-    return Layers(SparkSession.getActiveSession(), sf_dir)
+_stored: dict[tuple[str, str], Layers] = {}
 
 
 def layers(spark: SparkSession, sf_dir: str) -> Layers:
-    return _layers(spark.sparkContext.applicationId, sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _stored:
+        _stored[key] = Layers(spark, sf_dir)
+    return _stored[key]
 
 
 def metrics(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:

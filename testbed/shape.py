@@ -102,7 +102,7 @@ API_FIELDS = [f.name for f in BRONZE if f.name != "extracted_at"]
 PAGE_KEYS = 4800  # complaint keys per page, so a page holds at most that many records
 
 
-def land_pages(spark: SparkSession, rows: DataFrame, path: str) -> None:
+def land_pages(rows: DataFrame, path: str) -> None:
     """Write complaints as response pages, one page per line; each page announces the total."""
     times = {name: utc_text(F.col(name)) for name in ("date_received", "date_sent_to_company")}
     source = F.struct(*[times.get(name, F.col(name)).alias(name) for name in API_FIELDS])

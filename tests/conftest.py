@@ -21,6 +21,7 @@ def spark(tmp_path_factory):
             "spark.master": "local[8]",
             "spark.sql.shuffle.partitions": "4",
             "spark.driver.memory": "6g",
+            "spark.hadoop.fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem",
             "spark.ui.showConsoleProgress": "false",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("scratch")),
             "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),

@@ -98,7 +98,7 @@ def test_stamp(spark):
 
 def test_raw_lines_are_the_source_text(spark, zones):
     write_pages(zones.pages, page([record(1, extra=7)]))
-    records = pages.with_process_date(pages.flatten_pages(pages.read_pages(spark, zones.pages)))
+    records = pages.with_process_date(pages.flatten_pages(pages.read_pages(spark, zones.pages)), "2026-07-09")
     raw.write_raw(pages.stamp_extracted_at(records, RUN_TS), zones.raw)
     files = glob.glob(raw.raw_path(zones.raw, "2026-07-01") + "/part-*")
     text = open(files[0], encoding="utf-8").read()
@@ -184,12 +184,12 @@ def test_received_day_is_utc(spark, new_york):
     assert filters.filter_received_range(df, "2026-01-02", "2026-01-02").count() == 1
 
 
-def test_rerun_replaces_the_files_of_a_date(spark, zones, warehouse):
+def test_rerun_replaces_the_files_of_a_date(spark, zones):
     write_pages(zones.pages, page([record(i) for i in range(12)] + [record(99, "2026-07-02")]))
-    runs.land_raw(warehouse, zones, "2026-07-01", "2026-07-02", RUN_TS, 5)
+    runs.land_raw(spark, zones, "2026-07-01", "2026-07-02", RUN_TS, 5)
     smaller = runs.Zones(zones.pages + "2", zones.raw, zones.bronze)
     write_pages(smaller.pages, page([record(1)]))
-    runs.land_raw(warehouse, smaller, "2026-07-01", "2026-07-01", RUN_TS, 5)
+    runs.land_raw(spark, smaller, "2026-07-01", "2026-07-01", RUN_TS, 5)
     found = raw.read_raw(spark, zones.raw, "2026-07-01", "2026-07-02").select("complaint_id").collect()
     assert sorted(r[0] for r in found) == ["1", "99"]
 
@@ -216,6 +216,16 @@ def test_daily_run_end_to_end(spark, zones, warehouse):
     assert f"{warehouse.prefix}staging__stg_complaints" in [v["viewName"] for v in views]
 
 
+def test_record_without_a_day_is_loaded_and_one_without_a_key_fails(spark, zones, warehouse):
+    write_pages(zones.pages, page([record(1), record(2, date_received=None)]))
+    assert tuple(runs.run_daily(warehouse, zones, "2026-07-02", RUN_TS).summary.collect()[0]) == (2, 2, "success")
+    broken = runs.Zones(zones.pages + "_broken", zones.raw, zones.bronze)
+    write_pages(broken.pages, page([record(3), None]))
+    with pytest.raises(Exception, match="NULL in key column complaint_id"):
+        runs.run_daily(warehouse, broken, "2026-07-02", RUN_TS)
+    assert sorted(by_key(warehouse.source_table())) == [1, 2]
+
+
 def test_day_without_records_changes_nothing(spark, zones, warehouse):
     write_pages(zones.pages, page([record(1)]))
     runs.run_daily(warehouse, zones, "2026-07-02", RUN_TS)

@@ -226,6 +226,20 @@ def test_serving_order_and_limits(spark):
     assert [r["total_complaints"] for r in drawn] == [2, 2] + [3] * 10
 
 
+def test_listing_order(spark):
+    relation = metrics(spark, random_rows(4))
+
+    def first(name, *columns):
+        return [tuple(r[c] for c in columns) for r in marts.listed(name, marts.MARTS[name](relation)).collect()]
+
+    months = [m for (m,) in first("agg_complaints_by_month", "complaint_month_date")]
+    assert months == sorted(months, reverse=True)
+    products = first("dim_products", "product", "sub_product")
+    assert products == sorted(products, key=lambda r: (r[0], r[1] is not None, r[1] or ""))
+    totals = [n for (n,) in first("dim_states", "total_complaints")]
+    assert totals == sorted(totals, reverse=True)
+
+
 def test_mix_parent_is_weighted(spark):
     rows = [
         complaint(complaint_id=1, sub_product="A", timely="Yes"),
