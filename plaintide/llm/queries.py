@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from plaintide.llm.exact_dedup import exact_dedup
+from plaintide.llm.hyperminhash import near_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,8 +20,12 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(documents(spark, sf_dir))
 
 
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup(documents(spark, sf_dir), words=3, percent=85)
+
+
 def queries() -> dict[str, Query]:
-    return {"op3_exact_dedup": op3_exact_dedup}
+    return {"op3_exact_dedup": op3_exact_dedup, "op4_near_dedup": op4_near_dedup}
 
 
 ORACLE = {

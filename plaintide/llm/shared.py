@@ -2,15 +2,34 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Sequence
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SLICES = 64
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the package to the executors' Python, once per application."""
+    application = spark.sparkContext.applicationId
+    if application in _shipped:
+        return
+    package = Path(__file__).resolve().parent.parent
+    archive = os.path.join(tempfile.mkdtemp(prefix="llm-"), f"{package.name}.zip")
+    with zipfile.ZipFile(archive, "w") as files:
+        for path in sorted(package.rglob("*.py")):
+            files.write(path, path.relative_to(package.parent))
+    spark.sparkContext.addPyFile(archive)
+    _shipped.add(application)
+
 
 def shared_folder(spark: SparkSession, label: str) -> str:
     """A new folder below ``spark.checkpoint.dir``; only a local master may fall back to a temporary one."""
