@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from plaintide.llm.exact_dedup import exact_dedup
 from plaintide.llm.hyperminhash import near_dedup
+from plaintide.llm.suffix_dedup import suffix_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,8 +25,12 @@ def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup(documents(spark, sf_dir), words=3, percent=85)
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup(documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Query]:
-    return {"op3_exact_dedup": op3_exact_dedup, "op4_near_dedup": op4_near_dedup}
+    return {"op3_exact_dedup": op3_exact_dedup, "op4_near_dedup": op4_near_dedup, "op5_suffix_dedup": op5_suffix_dedup}
 
 
 ORACLE = {
