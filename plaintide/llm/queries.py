@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from plaintide.llm.exact_dedup import exact_dedup
 from plaintide.llm.hyperminhash import near_dedup
+from plaintide.llm.quality_classifier import quality_scores
 from plaintide.llm.suffix_dedup import suffix_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,8 +30,17 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup(documents(spark, sf_dir))
 
 
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def queries() -> dict[str, Query]:
-    return {"op3_exact_dedup": op3_exact_dedup, "op4_near_dedup": op4_near_dedup, "op5_suffix_dedup": op5_suffix_dedup}
+    return {
+        "op3_exact_dedup": op3_exact_dedup,
+        "op4_near_dedup": op4_near_dedup,
+        "op5_suffix_dedup": op5_suffix_dedup,
+        "op10_quality_classifier": op10_quality_classifier,
+    }
 
 
 ORACLE = {
