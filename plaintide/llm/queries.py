@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from plaintide.llm.exact_dedup import exact_dedup
 from plaintide.llm.hyperminhash import near_dedup
+from plaintide.llm.packing import pack
 from plaintide.llm.quality_classifier import quality_scores
 from plaintide.llm.suffix_dedup import suffix_dedup
 
@@ -18,6 +21,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = pack(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(documents(spark, sf_dir))
 
@@ -36,6 +44,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op2_packing": op2_packing,
         "op3_exact_dedup": op3_exact_dedup,
         "op4_near_dedup": op4_near_dedup,
         "op5_suffix_dedup": op5_suffix_dedup,
