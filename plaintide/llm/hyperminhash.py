@@ -306,7 +306,7 @@ def near_links(nodes: DataFrame, texts: DataFrame, words: int, percent: int) ->
             several = now.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high")
             counts = now.groupBy("key", "component").agg(F.count("*").alias("m")).groupBy("key").agg(F.max(F.struct("m", "component")).alias("top"))
             open_ = now.join(several.select("key"), "key", "left_semi").join(counts.select("key", F.col("top.component").alias("main")), "key")
-            open_ = stored(open_.withColumn("leading", F.col("component") != F.col("main")), "open")
+            open_ = stored(open_.withColumn("leading", F.col("component") != F.col("main")).drop("main"), "open")
             if open_.isEmpty():
                 break
         if star < STARS:
