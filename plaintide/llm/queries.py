@@ -12,7 +12,10 @@ from plaintide.llm.exact_dedup import exact_dedup
 from plaintide.llm.hyperminhash import near_dedup
 from plaintide.llm.packing import pack
 from plaintide.llm.quality_classifier import quality_scores
+from plaintide.llm.quality_rules import quality_rules
+from plaintide.llm.sentencepiece_codec import decode, encode
 from plaintide.llm.suffix_dedup import suffix_dedup
+from plaintide.llm.token_counts import token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -38,6 +41,26 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup(documents(spark, sf_dir))
 
 
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(documents(spark, sf_dir))
+
+
+def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document and what they decode to, as digests."""
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    coded = decode(encode(documents(spark, sf_dir), model), model)
+    return coded.select(
+        "doc_id",
+        (F.length("ids") / 4).cast("long").alias("n_ids"),
+        F.crc32("ids").alias("ids_crc32"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
@@ -48,6 +71,9 @@ def queries() -> dict[str, Query]:
         "op3_exact_dedup": op3_exact_dedup,
         "op4_near_dedup": op4_near_dedup,
         "op5_suffix_dedup": op5_suffix_dedup,
+        "op6_token_counts": op6_token_counts,
+        "op7_quality_rules": op7_quality_rules,
+        "op9_sentencepiece": op9_sentencepiece,
         "op10_quality_classifier": op10_quality_classifier,
     }
 
