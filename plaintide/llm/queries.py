@@ -10,12 +10,14 @@ from pyspark.sql import functions as F
 
 from plaintide.llm.exact_dedup import exact_dedup
 from plaintide.llm.hyperminhash import near_dedup
+from plaintide.llm.line_dedup import line_dedup
 from plaintide.llm.packing import pack
 from plaintide.llm.quality_classifier import quality_scores
 from plaintide.llm.quality_rules import quality_rules
 from plaintide.llm.sentencepiece_codec import decode, encode
 from plaintide.llm.suffix_dedup import suffix_dedup
 from plaintide.llm.token_counts import token_counts
+from plaintide.llm.warc import archived, payload_report
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,6 +26,10 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return payload_report(archived(spark.read.parquet(f"{sf_dir}/pages.parquet")))
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = pack(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
@@ -49,6 +55,11 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(documents(spark, sf_dir))
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup(documents(spark, sf_dir))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document and what they decode to, as digests."""
     model = public_tokenizers.path("piece_bpe_32k.model")
@@ -67,18 +78,30 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_warc": op1_warc,
         "op2_packing": op2_packing,
         "op3_exact_dedup": op3_exact_dedup,
         "op4_near_dedup": op4_near_dedup,
         "op5_suffix_dedup": op5_suffix_dedup,
         "op6_token_counts": op6_token_counts,
         "op7_quality_rules": op7_quality_rules,
+        "op8_line_dedup": op8_line_dedup,
         "op9_sentencepiece": op9_sentencepiece,
         "op10_quality_classifier": op10_quality_classifier,
     }
 
 
 ORACLE = {
+    "op1_warc": """
+        WITH p AS (
+            SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
+            FROM pages),
+        f AS (
+            SELECT payload_digest, min(page_id) AS first FROM p WHERE payload_bytes >= 100 GROUP BY payload_digest)
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN page_id <> first THEN first END AS refers_to
+        FROM p LEFT JOIN f USING (payload_digest)""",
     "op3_exact_dedup": r"""
         WITH d AS (
             SELECT doc_id, length(coalesce(text, '')) AS points,
@@ -90,6 +113,25 @@ ORACLE = {
             FROM d GROUP BY squeezed)
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(squeezed) AS text_sha256
         FROM d JOIN g USING (squeezed)""",
+    "op8_line_dedup": r"""
+        WITH s AS (
+            SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+                   generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS place
+            FROM documents),
+        k AS (
+            SELECT doc_id, place, line,
+                   translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+                             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+            FROM s),
+        often AS (
+            SELECT key, max(doc_id) AS last FROM k WHERE length(key) >= 20
+            GROUP BY key HAVING count(DISTINCT doc_id) >= 3),
+        m AS (
+            SELECT doc_id, place, line, last IS NOT NULL AND doc_id <> last AS gone
+            FROM k LEFT JOIN often USING (key))
+        SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE NOT gone), '')) AS kept_sha256
+        FROM m GROUP BY doc_id""",
 }
 
 
