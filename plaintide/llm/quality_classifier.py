@@ -34,7 +34,7 @@ PASSAGE = 64
 WORD_BUCKETS = 128
 SAMPLE = 4000
 HIDDEN, GATE = 24, 12
-EPOCHS, BATCH, RATE, DECAY = 30, 64, 0.01, 1e-3
+EPOCHS, STEPS, BATCH, RATE, DECAY = 30, 1500, 64, 0.01, 1e-3
 
 #: Printable ASCII one by one, then line feed, other control bytes, first bytes and later bytes of wider characters.
 CLASS = np.full(256, 98)
@@ -141,7 +141,7 @@ class Model:
 
 
 def trained(bags: list[np.ndarray], y: np.ndarray) -> Model:
-    """Adam over the documents in a fixed random order; both classes weigh the same."""
+    """Adam in a fixed random order, EPOCHS rounds and about STEPS steps at least; both classes weigh the same."""
     if not len(y) or y.min() == y.max():
         return Model.constant(float(y.mean()) if len(y) else 0.5)
     everything = np.concatenate(bags)
@@ -150,8 +150,9 @@ def trained(bags: list[np.ndarray], y: np.ndarray) -> Model:
     r = np.random.default_rng(11)
     first = {k: 0.0 for k in "WbVUacd"}
     second, step = dict(first), 0
-    for epoch in range(EPOCHS):
-        rate = RATE * (1 - epoch / EPOCHS)
+    epochs = max(EPOCHS, STEPS * BATCH // len(y))
+    for epoch in range(epochs):
+        rate = RATE * (1 - epoch / epochs)
         order = r.permutation(len(y))
         for i in range(0, len(y), BATCH):
             rows = order[i : i + BATCH]

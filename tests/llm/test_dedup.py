@@ -1,0 +1,226 @@
+"""Exact, near, suffix and line dedup against plain versions, on the small table and on hand-made rows."""
+
+from __future__ import annotations
+
+import collections
+import hashlib
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from plaintide.llm import exact_dedup as exact
+from plaintide.llm import hyperminhash as near
+from plaintide.llm import line_dedup as lines
+from plaintide.llm import suffix_dedup as suffix
+from plaintide.llm.components import components
+from tests.conftest import SF_DIR
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def prose(seed, words=60):
+    r = random.Random(seed)
+    return " ".join("".join(r.choices("etaoinshrdlu", k=r.randint(2, 9))) for _ in range(words))
+
+
+def edited(text, seed, share):
+    r = random.Random(seed)
+    return " ".join("zz%d" % r.randint(0, 9**6) if r.random() < share else w for w in text.split(" "))
+
+
+@pytest.fixture(scope="module")
+def table(spark):
+    return spark.read.parquet(f"{SF_DIR}/documents.parquet")
+
+
+def texts_of(frame):
+    return [(r.doc_id, r.text) for r in frame.select("doc_id", "text").collect()]
+
+
+# exact
+
+
+def plain_exact(rows):
+    groups = collections.defaultdict(list)
+    for i, t in rows:
+        groups[re.sub("[\x20\x09-\x0d]", "", t or "")].append((-len(t or ""), i is None, i))
+    out = []
+    for key, members in groups.items():
+        keep = min(members)[2]
+        digest = hashlib.sha256(key.encode()).hexdigest()
+        out += [(i, keep, len(members), i == keep, digest) for _, _, i in members]
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("capacity", [4, 1 << 14])
+def test_exact_table(table, capacity):
+    assert sorted(map(tuple, exact.exact_dedup(table, capacity=capacity).collect()), key=repr) == plain_exact(texts_of(table))
+
+
+def test_exact_edges(documents):
+    rows = [(1, None), (2, ""), (3, " \n"), (4, "a b"), (5, "ab"), (6, "a  b"), (6, "a  b"), (7, "a\x85b"), (None, "q"), (9, "q "), (10, "x" * 300_000), (11, "x" * 300_000)]
+    rows += [(100 + i, "hot copy") for i in range(200)]
+    frame = documents(rows)
+    assert sorted(map(tuple, exact.exact_dedup(frame, capacity=2).collect()), key=repr) == plain_exact(rows)
+    assert exact.exact_dedup(frame.limit(0)).collect() == []
+
+
+def test_directory_splits_until_buckets_fit(spark):
+    hashes = spark.range(3000).select(F.xxhash64("id").alias("h"))
+    slots, depth = exact.directory(hashes, capacity=100)
+    assert depth >= 5 and slots.count() == 1 << depth == slots.select("slot").distinct().count()
+    sizes = hashes.withColumn("slot", exact.leading(F.col("h"), depth)).join(slots, "slot").groupBy("bucket").count()
+    assert sizes.filter("count > 100").count() == 0 and sizes.agg(F.sum("count")).first()[0] == 3000
+
+
+# near
+
+
+def shingles(text, k):
+    words = WORD.findall((text or "").translate(LOW))
+    return frozenset(tuple(words[j : j + k]) for j in range(len(words) - k + 1)) if len(words) >= k else frozenset([tuple(words)] if words else [])
+
+
+def plain_near(rows, k, percent):
+    sets = {i: shingles(t, k) for i, t in rows}
+    parent = {i: i for i in sets}
+
+    def find(a):
+        while parent[a] != a:
+            a = parent[a]
+        return a
+
+    ids = sorted(i for i in sets if sets[i])
+    for n, a in enumerate(ids):
+        for b in ids[n + 1 :]:
+            both = len(sets[a] & sets[b])
+            if both and 100 * both >= percent * (len(sets[a]) + len(sets[b]) - both):
+                low, high = sorted((find(a), find(b)))
+                parent[high] = low
+    return {i: (len(sets[i]), find(i), find(i) == i) for i in sets}
+
+
+def near_rows(frame, **options):
+    return {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in near.near_dedup(frame, **options).collect()}
+
+
+@pytest.mark.parametrize("words,percent", [(3, 85), (5, 80)])
+def test_near_table(table, words, percent):
+    assert near_rows(table, words=words, percent=percent) == plain_near(texts_of(table), words, percent)
+
+
+@pytest.mark.parametrize("stars", [0, 3])
+def test_near_groups_and_chains(documents, monkeypatch, stars):
+    """Edited copies of one text, a chain of small edits, and documents that share a passage only."""
+    monkeypatch.setattr(near, "STARS", stars)
+    monkeypatch.setattr(near, "SIDE", 8)
+    texts = [edited(prose(1, 80), i, 0.02) for i in range(40)]
+    link = prose(2, 300)
+    for i in range(12):
+        texts.append(link)
+        link = edited(link, 100 + i, 0.012)
+    texts += [prose(3, 40) + " " + prose(200 + i, 40) for i in range(40)]
+    texts += ["one two three four", "one two three", "ONE two three", "one two", "", None, " \n", "a b c d e f g h i", "a b c d e f g h"]
+    rows = list(enumerate(texts))
+    got = near_rows(documents(rows), words=3, percent=85)
+    assert got == plain_near(rows, 3, 85)
+    assert 2 < len({v[1] for v in got.values()}) < len(rows) - 30
+
+
+def test_near_sizes_around_the_kinds_of_sketch(documents):
+    rows = []
+    for n, size in enumerate([200, 240, 256, 258, 290, 303, 340, 700]):
+        words = prose(n, size).split(" ")
+        rows += [(10 * n, " ".join(words)), (10 * n + 1, " ".join(words[: int(size * 0.9)])), (10 * n + 2, " ".join(words[: int(size * 0.8)]))]
+    assert near_rows(documents(rows), words=3, percent=85) == plain_near(rows, 3, 85)
+
+
+def test_near_nulls_and_repeats(documents):
+    text = prose(5)
+    got = near.near_dedup(documents([(None, text), (4, text), (4, text), (3, text), (None, None)]), words=3, percent=85).collect()
+    assert sorted([(r.doc_id, r.component_id, r.kept) for r in got], key=repr) == sorted([(None, None, True)] * 2 + [(4, 3, False)] * 2 + [(3, 3, True)], key=repr)
+    assert near.near_dedup(documents([(1, "a")]).limit(0)).collect() == []
+
+
+def test_components(spark):
+    edges = [(i, i + 1) for i in range(50)] + [(100, 200 + i) for i in range(50)] + [(7, 7)]
+    got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {**dict.fromkeys(range(51), 0), **dict.fromkeys([100, *range(200, 250)], 100)}
+
+
+# suffix
+
+
+def plain_suffix(rows, width):
+    raw = [(i, (t or "").encode()) for i, t in rows]
+    seen = collections.Counter(b[j : j + width] for _, b in raw for j in range(len(b) - width + 1))
+    out = []
+    for i, b in raw:
+        covered = bytearray(len(b))
+        for j in range(len(b) - width + 1):
+            if seen[b[j : j + width]] > 1:
+                covered[j : j + width] = b"\1" * width
+        kept = bytes(x for x, c in zip(b, covered, strict=True) if not c)
+        out.append((i, len(b), sum(covered), len([x for x in bytes(covered).split(b"\0") if x]), hashlib.sha256(kept).hexdigest()))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("hot", [2, 4096])
+def test_suffix_table(table, monkeypatch, hot):
+    monkeypatch.setattr(suffix, "HOT", hot)
+    small = table.filter("n_chars < 6000")
+    assert sorted(map(tuple, suffix.suffix_dedup(small).collect()), key=repr) == plain_suffix(texts_of(small), 200)
+
+
+@pytest.mark.parametrize("hot", [3, 4096])
+def test_suffix_edges(documents, monkeypatch, hot):
+    monkeypatch.setattr(suffix, "HOT", hot)
+    passage, line = prose(1, 50), prose(2, 12)
+    rows = [(1, None), (2, ""), (3, "a" * 199), (4, "b" * 200), (5, "b" * 201), (6, "ab" * 400), (7, "é" * 150), (8, "xé" + "é" * 99), (9, passage[:200]), (10, passage[:199])]
+    rows += [(20 + i, prose(30 + i) + passage[i : 250 + i] + prose(80 + i)) for i in range(12)]
+    rows += [(40 + i, prose(130 + i, 20) + "\n" + line + "\n" + prose(180 + i, 20)) for i in range(12)]
+    rows += [(60, prose(9, 80)), (60, prose(9, 80)), (None, prose(9, 80)), (61, "c" * 5000)]
+    frame = documents(rows)
+    assert sorted(map(tuple, suffix.suffix_dedup(frame).collect()), key=repr) == plain_suffix(rows, 200)
+    assert suffix.suffix_dedup(frame.limit(0)).collect() == []
+
+
+# lines
+
+
+def plain_lines(rows):
+    white = " \t\n\x0b\x0c\r"
+    split = [(i, (t or "").split("\n")) for i, t in rows]
+    key = lambda line: line.strip(white).translate(LOW)
+    holders = collections.defaultdict(list)
+    for i, doc in split:
+        for k in {key(x) for x in doc}:
+            if len(k) >= 20:
+                holders[k].append(-1 if i is None else i)
+    gone = {k: max(v) for k, v in holders.items() if len(v) >= 3}
+    out = []
+    for i, doc in split:
+        kept = [x for x in doc if gone.get(key(x), i) in (i, None if i else -1)]
+        out.append((i, len(doc), len(doc) - len(kept), "\n".join(kept)))
+    return sorted(out, key=repr)
+
+
+def line_rows(frame):
+    return sorted([(r.doc_id, r.n_lines, r.n_dropped, r.text) for r in lines.line_dedup(frame).collect()], key=repr)
+
+
+def test_line_table(table):
+    assert line_rows(table) == plain_lines(texts_of(table))
+
+
+def test_line_edges(documents):
+    long = "A line that Many documents hold"
+    rows = [(i, f"own {i}\n \t{long.upper() if i % 2 else long}\r\n{long}\n\nend") for i in range(30)]
+    rows += [(40, None), (41, ""), (42, "\n\n"), (43, long), (44, "nineteen chars here"), (45, "nineteen chars here"), (46, "nineteen chars here")]
+    rows += [(50, "ä" * 20), (51, "ä" * 20), (52, "Ä" * 20), (53, "ä" * 20), (None, "only two hold this line\nx"), (60, "only two hold this line")]
+    frame = documents(rows)
+    assert line_rows(frame) == plain_lines(rows)
+    assert line_rows(frame.limit(0)) == []
