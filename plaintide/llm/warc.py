@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plaintide.llm.shared import shared_folder, ship_package, slice_of, spread_totals
+from plaintide.llm.shared import shared_folder, ship_package, slice_of, spread_totals, stored
 
 LEAST = 100
 RECORDS = 2000
@@ -199,12 +199,14 @@ def assemble(records: DataFrame) -> DataFrame:
     requests = anchored(records.filter("type = 'request'").drop("payload"), named)
     links = named.unionByName(requests.select(F.col("record_id").alias("named"), "anchor"))
     metadata = anchored(records.filter("type = 'metadata'").drop("payload"), links)
-    asked = requests.groupBy("anchor").agg(F.min(small).alias("request"))
-    told = metadata.groupBy("anchor").agg(F.sort_array(F.collect_list(small)).alias("metadata"))
-    answer = F.struct("type", "target_uri", "refers_to", "digest", "http_length", "payload").alias("response")
-    whole = answers.select("record_id", answer).join(asked.withColumnRenamed("anchor", "record_id"), "record_id", "left")
-    whole = whole.join(told.withColumnRenamed("anchor", "record_id"), "record_id", "left")
-    return whole.withColumn("metadata", F.coalesce("metadata", F.array().cast(whole.schema["metadata"].dataType)))
+    asked = requests.groupBy(F.col("anchor").alias("record_id")).agg(F.min(small).alias("request"))
+    told = metadata.groupBy(F.col("anchor").alias("record_id")).agg(F.sort_array(F.collect_list(small)).alias("metadata"))
+    # What is derived from a payload is derived before the joins, so that these need not carry it.
+    sizes = {"payload_bytes": F.octet_length("payload").cast("long"), "payload_sha256": F.sha2("payload", 256)}
+    whole = answers.withColumns(sizes).join(asked, "record_id", "left").join(told, "record_id", "left")
+    response = F.struct("type", "target_uri", "refers_to", "digest", "http_length", "payload_bytes", "payload_sha256", "payload")
+    none = F.array().cast(whole.schema["metadata"].dataType)
+    return whole.select("record_id", response.alias("response"), "request", F.coalesce("metadata", none).alias("metadata"))
 
 
 def payload_report(assembled: DataFrame) -> DataFrame:
@@ -213,8 +215,8 @@ def payload_report(assembled: DataFrame) -> DataFrame:
     rows = assembled.select(
         "record_id",
         F.when(page != "", page).cast("long").alias("page_id"),
-        F.coalesce(F.octet_length("response.payload").cast("long"), F.col("response.http_length")).alias("payload_bytes"),
-        F.coalesce(F.sha2("response.payload", 256), F.expr("substring_index(response.digest, ':', -1)")).alias("payload_digest"),
+        F.coalesce("response.payload_bytes", "response.http_length").alias("payload_bytes"),
+        F.coalesce("response.payload_sha256", F.expr("substring_index(response.digest, ':', -1)")).alias("payload_digest"),
         F.col("response.type").alias("record_type"),
         F.col("response.refers_to").alias("first"),
     ).withColumn("slice", slice_of("record_id"))
@@ -228,4 +230,4 @@ def archived(pages: DataFrame, folder: str | None = None, least: int = LEAST) ->
     spark = pages.sparkSession
     folder = folder or shared_folder(spark, "warc")
     write_archives(pages, folder, least)
-    return assemble(read_archives(spark, folder))
+    return assemble(stored(read_archives(spark, folder), "records"))
