@@ -11,6 +11,7 @@ from __future__ import annotations
 import json
 import os
 import statistics
+import tempfile
 import time
 from collections.abc import Callable
 
@@ -49,6 +50,7 @@ def main() -> None:
             "spark.master": f"local[{CPUS}]",
             "spark.sql.shuffle.partitions": CPUS,
             "spark.driver.memory": "12g",
+            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="bench-"),
             "spark.ui.showConsoleProgress": "false",
         },
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timezone
+from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -45,12 +45,18 @@ def from_utc_wall(wall: Column) -> Column:
     return F.timestamp_micros((seconds * F.lit(1_000_000)).cast("long"))
 
 
-def utc_date(df: DataFrame, name: str) -> Column:
-    """UTC day of a timestamp column; a zone-less timestamp or a date is taken as it is."""
-    column = F.col(name)
+def utc_date_sql(df: DataFrame, name: str) -> str:
+    """UTC day of a timestamp column as SQL; a zone-less timestamp or a date is taken as it is."""
     if isinstance(df.schema[name].dataType, T.TimestampType):
-        column = utc_wall(column)
-    return column.cast("date")
+        return f"CAST(timestampadd(MICROSECOND, unix_micros({name}), TIMESTAMP_NTZ '1970-01-01') AS DATE)"
+    return f"CAST({name} AS DATE)"
+
+
+def day_start(df: DataFrame, name: str, day: date) -> Column:
+    """The begin of a UTC day as a constant of the column's type, so that a comparison reaches the scan."""
+    kind = df.schema[name].dataType
+    text = f"{day.isoformat()}T00:00:00Z" if isinstance(kind, T.TimestampType) else day.isoformat()
+    return F.lit(text).cast(kind)
 
 
 def utc_text(wall: Column) -> Column:
@@ -60,14 +66,6 @@ def utc_text(wall: Column) -> Column:
     return F.concat(F.substring(text, 1, 10), F.lit("T"), F.substring(text, 12, 8), F.lit("."), millis, F.lit("Z"))
 
 
-def utc_now_text(now: datetime | None = None) -> str:
-    """The same text form for one run's extraction time."""
-    now = now or datetime.now(timezone.utc)
-    if now.tzinfo is None:
-        now = now.replace(tzinfo=timezone.utc)
-    return now.astimezone(timezone.utc).isoformat(timespec="milliseconds").replace("+00:00", "Z")
-
-
 def strict_cast(column: Column, data_type: T.DataType, name: str) -> Column:
     """Cast that fails the query on a bad value, also in sessions that switched ANSI mode off."""
     tried = column.try_cast(data_type)

@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plaintide.functions.scalar import utc_date
+from plaintide.functions.scalar import day_start
 
 
 def filter_received_range(df: DataFrame, first: str, last: str) -> DataFrame:
     """Records received between two UTC days, both included."""
-    return df.filter(utc_date(df, "date_received").between(F.lit(first).cast("date"), F.lit(last).cast("date")))
+    received, after = F.col("date_received"), date.fromisoformat(last) + timedelta(days=1)
+    begin, end = (day_start(df, "date_received", d) for d in (date.fromisoformat(first), after))
+    return df.filter((received >= begin) & (received < end))
 
 
 def filter_company(df: DataFrame, company: str | None = None) -> DataFrame:
@@ -20,7 +24,8 @@ def filter_company(df: DataFrame, company: str | None = None) -> DataFrame:
 
 def lookback_window(df: DataFrame, run_date: str, days: int = 90) -> DataFrame:
     """Records received on or after `run_date` minus `days`."""
-    return df.filter(utc_date(df, "date_received") >= F.date_sub(F.lit(run_date).cast("date"), days))
+    begin = date.fromisoformat(run_date) - timedelta(days=days)
+    return df.filter(F.col("date_received") >= day_start(df, "date_received", begin))
 
 
 def sort_created(df: DataFrame, ascending: bool = False) -> DataFrame:

@@ -23,23 +23,20 @@ def value_counts(df: DataFrame, keys: Sequence[str], values: Sequence[str]) -> D
     """Rows per (keys, value) for each value column and for the response days, in one scan.
 
     `source` is the position of the value column in `values`, or -1 for the days. The sums and extremes of
-    a group are taken from the day rows, which cover every complaint once.
+    a group are taken from the day rows, which cover every complaint once; other rows leave them NULL.
     """
-    pairs = [f"{position}, {column}, CAST(NULL AS BIGINT)" for position, column in enumerate(values)]
-    pairs.append(f"-1, CAST(NULL AS STRING), {DAYS}")
-    long = df.select(
-        *keys,
-        "date_received",
-        F.expr("CAST(is_timely_response AS BIGINT)").alias("timely"),
-        F.expr("CAST(has_narrative AS BIGINT)").alias("narrative"),
-        F.expr(f"stack({len(pairs)}, {', '.join(pairs)})").alias("source", "value", "days"),
-    )
+    measures = f"{DAYS}, CAST(is_timely_response AS BIGINT), CAST(has_narrative AS BIGINT), date_received"
+    absent = "CAST(NULL AS BIGINT), CAST(NULL AS BIGINT), CAST(NULL AS BIGINT), CAST(NULL AS DATE)"
+    pairs = [f"{position}, {column}, {absent}" for position, column in enumerate(values)]
+    pairs.append(f"-1, CAST(NULL AS STRING), {measures}")
+    names = ["source", "value", "days", "timely", "narrative", "date"]
+    long = df.select(*keys, F.expr(f"stack({len(pairs)}, {', '.join(pairs)})").alias(*names))
     return long.groupBy(*keys, "source", "value", "days").agg(
         F.expr("count(1)").alias("n"),
         F.expr("sum(timely)").alias("timely"),
         F.expr("sum(narrative)").alias("narrative"),
-        F.expr("min(date_received)").alias("first_date"),
-        F.expr("max(date_received)").alias("last_date"),
+        F.expr("min(date)").alias("first_date"),
+        F.expr("max(date)").alias("last_date"),
     )
 
 

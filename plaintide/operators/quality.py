@@ -91,13 +91,25 @@ def _failures(df: DataFrame, column: str, tests: Sequence[str]) -> DataFrame:
     return found.unpivot([], list(tests), "test", "failures")
 
 
-def dq_report(models: Mapping[str, DataFrame]) -> DataFrame:
-    """All declared checks of the given models: model, column, test, number of failures."""
-    parts = [
-        _failures(models[model], column, tests).select(
-            F.lit(model).alias("model"), F.lit(column).alias("column_name"), "test", "failures"
-        )
-        for model, column, tests in MODEL_TESTS
-        if model in models
-    ]
+def _absent(spark: SparkSession, tests: Sequence[str]) -> DataFrame:
+    rows = F.explode(F.array(*map(F.lit, tests))).alias("test")
+    return spark.range(1).select(rows, F.lit(1).cast("long").alias("failures"))
+
+
+def dq_report(models: Mapping[str, DataFrame], projections: Mapping[str, str] | None = None) -> DataFrame:
+    """All declared checks: model, column, test, number of failures.
+
+    A model that is not given fails each of its tests once. `projections` names models that show another
+    one's rows unchanged: their keys are counted with that one's.
+    """
+    spark = next(iter(models.values())).sparkSession
+    shown = {m: s for m, s in (projections or {}).items() if m in models and s in models}
+    parts = []
+    for model, column, tests in MODEL_TESTS:
+        if model in shown:
+            continue
+        names = [model, *[m for m, s in shown.items() if s == model]]
+        found = _failures(models[model], column, tests) if model in models else _absent(spark, tests)
+        found = found.withColumn("model", F.explode(F.array(*map(F.lit, names))))
+        parts.append(found.select("model", F.lit(column).alias("column_name"), "test", "failures"))
     return reduce(DataFrame.unionByName, parts)

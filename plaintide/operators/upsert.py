@@ -4,19 +4,33 @@ The table is partitioned by `key_range`, a fixed number of consecutive keys. A k
 same range, so a replaced row cannot leave a copy elsewhere, and no range outgrows its width. Complaint
 keys grow with time: a daily batch touches a few ranges and the rest of the table is neither read nor
 written.
+
+A load writes the ranges it touches once, whole, into a folder of its own, and points the table's
+partitions there. The folders tell the state without a catalog: a load counts from the moment its folder
+holds the marker file that the load itself writes, and a range is where the latest such load has it.
 """
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from plaintide.schemas import BRONZE, KEY
-from plaintide.sources.files import delete, exists
+from plaintide.sources.files import children, create_new, delete
 
 RANGE = "key_range"
 RANGE_WIDTH = 1_000_000
-MAX_LISTED_RANGES = 1000
+LOWEST_KEY = -(2**63)
+LOAD = "load="
+CLAIMS = "_claims"
+LOADED, POINTED = "_loaded", "_pointed"
+
+
+class ConcurrentLoad(RuntimeError):
+    """Another load of the same table ended, or was about to, while this one ran; this one changed nothing."""
 
 
 def latest_per_key(df: DataFrame, key: str = KEY, version: str = "extracted_at") -> DataFrame:
@@ -38,7 +52,9 @@ def require_key(df: DataFrame, key: str = KEY) -> DataFrame:
 
 
 def key_range(key: str = KEY, width: int = RANGE_WIDTH) -> Column:
-    return F.floor(F.col(key) / F.lit(width)).cast("long").alias(RANGE)
+    """Consecutive numbers of `width` keys, below zero too; whole-number arithmetic is exact for any key."""
+    below = F.when(F.expr(f"`{key}` % {width} < 0"), 1).otherwise(0)
+    return (F.expr(f"`{key}` div {width}") - below).alias(RANGE)
 
 
 def merge_rows(target: DataFrame, batch: DataFrame, key: str = KEY, version: str = "extracted_at") -> DataFrame:
@@ -53,45 +69,99 @@ def merge_rows(target: DataFrame, batch: DataFrame, key: str = KEY, version: str
 def touched_rows(target: DataFrame, batch: DataFrame, key: str, width: int) -> DataFrame:
     """Target rows in the key ranges the batch touches.
 
-    A usual batch touches few ranges: they become a partition filter, and no other file is listed. A very
-    wide one is bounded by its lowest and highest range and joined on the ranges.
+    The semi join is on the partition column, so the ranges also prune the scan while it runs. The comparison
+    drops NULL keys, which are refused elsewhere, and tells the optimizer that the join selects.
     """
-    ranges = batch.filter(F.col(key).isNotNull()).select(key_range(key, width)).distinct()
-    listed = [r[0] for r in ranges.limit(MAX_LISTED_RANGES + 1).collect()]
-    if len(listed) <= MAX_LISTED_RANGES:
-        return target.filter(F.col(RANGE).isin(listed))
-    low, high = ranges.agg(F.min(RANGE), F.max(RANGE)).first()
-    return target.filter(F.col(RANGE).between(low, high)).join(ranges, RANGE, "left_semi")
+    ranges = batch.filter(F.col(key) >= F.lit(LOWEST_KEY)).select(key_range(key, width)).distinct()
+    return target.join(ranges, RANGE, "left_semi")
 
 
 def upsert_by_key(
     spark: SparkSession,
     batch: DataFrame,
     table: str,
-    pending: str,
+    location: str,
     key: str = KEY,
     version: str = "extracted_at",
     width: int = RANGE_WIDTH,
-) -> None:
-    """Insert new keys and replace existing rows of `table`; running it twice changes nothing.
+) -> int:
+    """Insert new keys and replace existing rows of `table`, stored below `location`; the rows of the batch.
 
-    The merged ranges are first written whole to the folder `pending`, then moved over the table's ranges.
-    A run that stops in the first write leaves the table as it was; one that stops in the second is
-    finished by the next call.
+    Running it twice changes nothing. A call that fails or is stopped leaves the table as it was. Of two
+    calls at the same time the one that ends second fails with ConcurrentLoad and may be run again.
+    """
+    before = finished_loads(spark, location)
+    point_partitions(spark, table, location, {n: c for n, c in before.items() if POINTED not in c})
+    drop_replaced(spark, location, before)
+    number = max((load_number(n) for n in children(spark, location) if n.startswith(LOAD)), default=0) + 1
+    name = f"{LOAD}{number:010d}-{uuid.uuid4().hex[:12]}"
+    rows = require_key(batch.select([f.name for f in BRONZE]), key).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        processed = rows.count()
+        if processed:
+            target = touched_rows(spark.table(table), rows, key, width).drop(RANGE)
+            merged = merge_rows(target, rows, key, version).withColumn(RANGE, key_range(key, width))
+            merged.hint("rebalance", RANGE).write.partitionBy(RANGE).parquet(f"{location}/{name}")
+            finish(spark, location, name, before)
+            point_partitions(spark, table, location, {name: children(spark, f"{location}/{name}")})
+    finally:
+        rows.unpersist()
+    return processed
+
+
+def load_number(name: str) -> int:
+    return int(name.removeprefix(LOAD).split("-")[0])
+
+
+def finished_loads(spark: SparkSession, location: str) -> dict[str, list[str]]:
+    """The folders of finished loads and what they hold, oldest first."""
+    found = {n: children(spark, f"{location}/{n}") for n in children(spark, location) if n.startswith(LOAD)}
+    return {n: content for n, content in found.items() if LOADED in content}
+
+
+def finish(spark: SparkSession, location: str, name: str, before: dict[str, list[str]]) -> None:
+    """Make a written load count, unless another one came between: this merge would undo that one.
+
+    Every load announces itself before it looks for others, so of two at least one sees the other. A load
+    that is killed between its claim and its marker leaves the claim, and later loads name it.
     """
-    finish_pending(spark, table, pending)
-    spark.catalog.refreshTable(table)
-    rows = require_key(batch.select([f.name for f in BRONZE]), key)
-    target = touched_rows(spark.table(table), batch, key, width).drop(RANGE)
-    merged = merge_rows(target, rows, key, version).withColumn(RANGE, key_range(key, width))
-    merged.hint("rebalance", RANGE).write.mode("overwrite").partitionBy(RANGE).parquet(pending)
-    finish_pending(spark, table, pending)
-
-
-def finish_pending(spark: SparkSession, table: str, pending: str) -> None:
-    """Replace the ranges of `table` that a complete `pending` folder holds, then drop the folder."""
-    if not exists(spark, f"{pending}/_SUCCESS"):
-        return
-    ranges = spark.read.schema(spark.table(table).schema).parquet(pending)
-    ranges.write.insertInto(table, overwrite=True)
-    delete(spark, pending)
+    claims = f"{location}/{CLAIMS}"
+    create_new(spark, f"{claims}/{name}")
+    rivals = [n for n in finished_loads(spark, location) if n not in before]
+    rivals += [f"{claims}/{n}" for n in children(spark, claims) if n != name and not n.startswith(".")]
+    if rivals:
+        delete(spark, f"{claims}/{name}")
+        delete(spark, f"{location}/{name}")
+        raise ConcurrentLoad(f"{name} is withdrawn because of {', '.join(rivals)}")
+    create_new(spark, f"{location}/{name}/{LOADED}")
+    delete(spark, f"{claims}/{name}")
+
+
+def point_partitions(spark: SparkSession, table: str, location: str, found: dict[str, list[str]]) -> None:
+    """Let the table's partitions be the ranges of these loads, a later one before an earlier one."""
+    latest = {part: name for name, content in found.items() for part in content if part.startswith(f"{RANGE}=")}
+    if latest:
+        known = {row[0] for row in spark.sql(f"SHOW PARTITIONS {table}").collect()}
+        spec = {part: f"PARTITION ({RANGE} = {part.split('=')[1]})" for part in latest}
+        new = [f"{spec[p]} LOCATION '{location}/{n}/{p}'" for p, n in latest.items() if p not in known]
+        if new:
+            spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {' '.join(new)}")
+        for part, name in latest.items():
+            if part in known:
+                spark.sql(f"ALTER TABLE {table} {spec[part]} SET LOCATION '{location}/{name}/{part}'")
+        spark.catalog.refreshTable(table)
+    for name in found:
+        create_new(spark, f"{location}/{name}/{POINTED}")
+
+
+def drop_replaced(spark: SparkSession, location: str, found: dict[str, list[str]]) -> None:
+    """Delete ranges that were replaced before the last load; those that the last one replaced may still be read."""
+    seen: set[str] = set()
+    for name in list(found)[-2::-1]:
+        parts = [p for p in found[name] if p.startswith(f"{RANGE}=")]
+        for part in parts:
+            if part in seen:
+                delete(spark, f"{location}/{name}/{part}")
+        if seen.issuperset(parts):
+            delete(spark, f"{location}/{name}")
+        seen.update(parts)

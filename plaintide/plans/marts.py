@@ -135,10 +135,10 @@ MARTS = {
 
 
 def listed(name: str, mart: DataFrame) -> DataFrame:
-    """A mart in its listing order: newest month, parent then child, or largest total first."""
+    """A mart in its listing order: newest month, parent then child (the total before a leaf without a child), or largest total first."""
     if name == "agg_complaints_by_month":
         return mart.orderBy(F.col("complaint_month_date").desc_nulls_last())
     key = F.col(mart.columns[0]).asc_nulls_last()
     if name in ("dim_products", "dim_issues"):
-        return mart.orderBy(key, F.col(mart.columns[1]).asc_nulls_first())
+        return mart.orderBy(key, F.col(mart.columns[1]).asc_nulls_first(), F.col("total_complaints").desc())
     return mart.orderBy(F.col("total_complaints").desc_nulls_last(), key)

@@ -8,15 +8,23 @@ from datetime import date, timedelta
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plaintide.functions.scalar import utc_date_sql
 from plaintide.operators.normalize import normalize_schema
-from plaintide.operators.quality import MODEL_TESTS, dq_report
+from plaintide.operators.quality import dq_report
 from plaintide.plans.marts import MARTS
-from plaintide.plans.models import fct_complaints, int_complaint_metrics, stg_complaints
+from plaintide.plans.models import METRICS, fct_complaints, staged_columns
 from plaintide.plans.serving import FRAMES
 from plaintide.sources.bronze import scan_bronze, write_bronze
-from plaintide.sources.pages import flatten_pages, read_pages, reconcile_counts, stamp_extracted_at, with_process_date
-from plaintide.sources.raw import CHUNK_SIZE, read_raw, write_raw
-from plaintide.sources.warehouse import Warehouse
+from plaintide.sources.pages import (
+    fetch_folder,
+    flatten_pages,
+    read_pages,
+    reconcile_counts,
+    stamp_extracted_at,
+    with_process_date,
+)
+from plaintide.sources.raw import CHUNK_SIZE, dated, read_raw, write_raw
+from plaintide.sources.warehouse import COMPLAINTS, Warehouse
 
 
 @dataclass(frozen=True)
@@ -30,75 +38,95 @@ class Zones:
 
 @dataclass(frozen=True)
 class RunResult:
-    """Counts of the fetch, load summary, and check report of a run; all lazy."""
+    """Counts of the fetch, load summary and check report: values, which later runs do not change."""
 
     reconciliation: DataFrame
     summary: DataFrame
     report: DataFrame
 
 
+def values(df: DataFrame) -> DataFrame:
+    """The few rows of a result, evaluated now."""
+    return df.sparkSession.createDataFrame(df.collect(), df.schema)
+
+
 def process_date(logical_date: Column) -> Column:
     """The day a run of `logical_date` handles: the day before."""
     return F.date_sub(logical_date.cast("date"), 1)
 
 
-def land_raw(spark: SparkSession, zones: Zones, first: str, last: str, run_ts: str, chunk_size: int) -> None:
-    """Pages to raw JSON lines of the days `first` to `last`; records without a day go to `first`."""
-    records = with_process_date(flatten_pages(read_pages(spark, zones.pages)), undated=first)
-    in_range = F.col("process_date").between(F.lit(first).cast("date"), F.lit(last).cast("date"))
-    write_raw(stamp_extracted_at(records.filter(in_range), run_ts), zones.raw, chunk_size, one_date=first == last)
+def land_raw(
+    spark: SparkSession,
+    zones: Zones,
+    run_ts: str,
+    first: str | None = None,
+    last: str | None = None,
+    chunk_size: int = CHUNK_SIZE,
+) -> None:
+    """Pages of the fetch of `run_ts` to raw JSON lines of the days `first` to `last`; None leaves a bound open.
+
+    Records without a day go to `first`, or to the day of the run.
+    """
+    fetched = flatten_pages(read_pages(spark, fetch_folder(zones.pages, run_ts)))
+    records = dated(with_process_date(fetched, undated=first or run_ts[:10]), first, last)
+    write_raw(stamp_extracted_at(records, run_ts), zones.raw, chunk_size)
 
 
-def raw_to_bronze(spark: SparkSession, zones: Zones, first: str, last: str) -> None:
+def raw_to_bronze(spark: SparkSession, zones: Zones, first: str | None = None, last: str | None = None) -> None:
     """Raw JSON lines to typed Parquet."""
     raw = read_raw(spark, zones.raw, first, last)
     write_bronze(normalize_schema(raw, keep=("process_date",)), zones.bronze)
 
 
+def define_views(warehouse: Warehouse) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The stored table, and the staging and metric views over it as their layers' catalog objects."""
+    source, name = warehouse.source_table(), warehouse.name
+    columns = staged_columns(lambda column: utc_date_sql(source, column))
+    staged = warehouse.create_view("staging", "stg_complaints", columns, name("raw", COMPLAINTS))
+    metrics = warehouse.create_view("intermediate", "int_complaint_metrics", METRICS, name("staging", "stg_complaints"))
+    return source, staged, metrics
+
+
 def build_models(warehouse: Warehouse) -> dict[str, DataFrame]:
-    """Register the two views and store the fact table and the marts.
+    """Define the two views and store the fact table and the marts.
 
     Each mart scans only its own few columns of the table; the narratives are read for the fact table
     alone. That is cheaper than caching the metric relation, whose cached rows would have to be kept on
     the executors for all marts.
     """
-    source = warehouse.source_table()
-    staged = warehouse.materialize("staging", "stg_complaints", stg_complaints(source), "view")
-    metrics = warehouse.materialize("intermediate", "int_complaint_metrics", int_complaint_metrics(staged), "view")
+    source, staged, metrics = define_views(warehouse)
     models = {"complaints": source, "stg_complaints": staged}
     models["fct_complaints"] = warehouse.materialize("marts", "fct_complaints", fct_complaints(metrics))
-    for name, build in MARTS.items():
-        models[name] = warehouse.materialize("marts", name, build(metrics))
+    for mart, build in MARTS.items():
+        models[mart] = warehouse.materialize("marts", mart, build(metrics))
     return models
 
 
 def check_models(models: dict[str, DataFrame]) -> DataFrame:
-    return dq_report({name: models[name] for name, _, _ in MODEL_TESTS if name in models})
+    """The declared checks; the staging view is a projection of the table, so one count of the keys serves both."""
+    return dq_report(models, projections={"stg_complaints": "complaints"})
 
 
 def run_backfill(
     warehouse: Warehouse,
     zones: Zones,
-    first: str,
-    last: str,
+    first: str | None,
+    last: str | None,
     run_ts: str,
     chunk_size: int = CHUNK_SIZE,
 ) -> RunResult:
-    """Pages to checked marts for all days of a range, as one job per step and not one per day.
+    """One fetch to checked marts for all days of a range, as one job per step and not one per day.
 
-    Running the same range again replaces the same files and rows. A day without records changes nothing.
+    The fetch is the pages below `fetch_folder(zones.pages, run_ts)`. Running it again replaces the same files
+    and rows. A day without records changes nothing.
     """
     spark = warehouse.spark
-    land_raw(spark, zones, first, last, run_ts, chunk_size)
+    fetched = values(reconcile_counts(read_pages(spark, fetch_folder(zones.pages, run_ts))))
+    land_raw(spark, zones, run_ts, first, last, chunk_size)
     raw_to_bronze(spark, zones, first, last)
-    batch = scan_bronze(spark, zones.bronze, first, last)
-    warehouse.upsert(batch)
-    models = build_models(warehouse)
-    return RunResult(
-        reconcile_counts(read_pages(spark, zones.pages)),
-        warehouse.load_summary(batch),
-        check_models(models),
-    )
+    processed = warehouse.upsert(scan_bronze(spark, zones.bronze, first, last))
+    summary = warehouse.load_summary(processed)
+    return RunResult(fetched, summary, values(check_models(build_models(warehouse))))
 
 
 def run_daily(

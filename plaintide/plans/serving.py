@@ -19,6 +19,9 @@ def _largest_first(mart: DataFrame, *keys: str) -> DataFrame:
     return mart.orderBy(F.col("total_complaints").desc_nulls_last(), *[F.col(k).asc_nulls_first() for k in keys])
 
 
+# The output columns of every frame below, in order.
+
+
 def dash_monthly(mart: DataFrame) -> DataFrame:
     return mart.select(
         "complaint_month_date",

@@ -2,24 +2,18 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
 def get_session(app_name: str = "plaintide", **conf: str) -> SparkSession:
-    """Session with UTC dates and adaptive execution; cluster settings stay with the submitter.
-
-    The second pass of a mart holds few counted values per group, so more than the default 128 groups may
-    stay in its hash map before Spark sorts instead.
-    """
+    """Session with UTC dates and adaptive execution; cluster settings stay with the submitter."""
     builder = (
         SparkSession.builder.appName(app_name)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", "1024")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.enabled", "false")
     )
@@ -29,13 +23,8 @@ def get_session(app_name: str = "plaintide", **conf: str) -> SparkSession:
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A new folder below ``spark.checkpoint.dir``.
-
-    Every executor must see it, so a machine-local folder is only made for local masters.
-    """
+    """A new folder below ``spark.checkpoint.dir``, which all executors must share."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="plaintide-")
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"

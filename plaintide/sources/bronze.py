@@ -3,11 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plaintide.schemas import BRONZE
-from plaintide.sources.raw import PARTITION
+from plaintide.sources.raw import PARTITION, dated
 
 
 def write_bronze(df: DataFrame, root: str) -> None:
@@ -25,8 +24,7 @@ def write_bronze(df: DataFrame, root: str) -> None:
     )
 
 
-def scan_bronze(spark: SparkSession, root: str, first: str, last: str) -> DataFrame:
+def scan_bronze(spark: SparkSession, root: str, first: str | None = None, last: str | None = None) -> DataFrame:
     """Bronze rows of the process dates `first` to `last`."""
     rows = spark.read.schema(T.StructType([*BRONZE.fields, PARTITION])).parquet(root)
-    in_range = F.col("process_date").between(F.lit(first).cast("date"), F.lit(last).cast("date"))
-    return rows.filter(in_range).drop("process_date")
+    return dated(rows, first, last).drop("process_date")

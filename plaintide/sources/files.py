@@ -1,4 +1,4 @@
-"""The two file-system calls Spark has no DataFrame form for."""
+"""The few file-system calls Spark has no DataFrame form for."""
 
 from __future__ import annotations
 
@@ -15,6 +15,21 @@ def delete(spark: SparkSession, path: str) -> None:
     files.delete(target, True)
 
 
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files and folders directly under `path`, sorted; none if it does not exist."""
+    files, target = _resolve(spark, path)
+    if not files.exists(target):
+        return []
+    return sorted(s.getPath().getName() for s in files.listStatus(target))
+
+
+def create_new(spark: SparkSession, path: str) -> bool:
+    """Create an empty file and its folder; False if the file was there."""
+    files, target = _resolve(spark, path)
+    files.mkdirs(target.getParent())
+    return files.createNewFile(target)
+
+
 def _resolve(spark: SparkSession, path: str):
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), target

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -10,6 +12,18 @@ from plaintide.functions.scalar import instant, strict_cast, utc_wall
 from plaintide.schemas import ENVELOPE, RAW
 
 STRICT = {"mode": "FAILFAST"}
+RUN_TIME = re.compile(r"\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d(\.\d{1,6})?Z")
+
+
+def fetch_folder(root: str, run_ts: str) -> str:
+    """The folder of one fetch: a run lands its pages there and reads no others."""
+    return f"{root.rstrip('/')}/run={re.sub('[^0-9TZ]', '', checked_time(run_ts))}"
+
+
+def checked_time(run_ts: str) -> str:
+    if not RUN_TIME.fullmatch(run_ts):
+        raise ValueError(f"not a UTC time such as 2026-07-11T02:00:00.000Z: {run_ts}")
+    return run_ts
 
 
 def read_pages(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
@@ -37,7 +51,7 @@ def json_field(name: str) -> Column:
 
 
 def reconcile_counts(pages: DataFrame) -> DataFrame:
-    """Records fetched against the total announced by the first page; a difference is reported, not raised."""
+    """Records of one fetch against the total that its first page announces; a difference is reported, not raised."""
     first = F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id())
     counts = pages.select(
         F.col("hits.total.value").alias("total"),
@@ -69,5 +83,5 @@ def stamp_extracted_at(records: DataFrame, run_ts: str) -> DataFrame:
     text = F.trim("record")
     body = F.rtrim(text.substr(F.lit(1), F.length(text) - 1))
     comma = F.when(body == "{", F.lit("")).otherwise(F.lit(","))
-    stamped = F.concat(body, comma, F.lit(f'"extracted_at":"{run_ts}"}}'))
+    stamped = F.concat(body, comma, F.lit(f'"extracted_at":"{checked_time(run_ts)}"}}'))
     return records.withColumn("record", stamped)

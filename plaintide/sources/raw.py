@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from plaintide.schemas import RAW
 
 CHUNK_SIZE = 5000
-JSON_FILES = "*.{json,jsonl,txt}*"
+JSON_FILES = "{*.json,*.jsonl,*.json.gz,*.jsonl.gz,part-*.txt,part-*.txt.gz}"
 PARTITION = T.StructField("process_date", T.DateType())
 
 
@@ -24,16 +24,13 @@ def to_json_records(df: DataFrame, fields: list[str], name: str = "record") -> D
     return df.select(*others, F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}).alias(name))
 
 
-def write_raw(records: DataFrame, root: str, chunk_size: int = CHUNK_SIZE, one_date: bool = False) -> None:
+def write_raw(records: DataFrame, root: str, chunk_size: int = CHUNK_SIZE) -> None:
     """Write `record` lines below `process_date=…`, at most `chunk_size` records per file.
 
-    A date that is written again replaces all its files. Records of many dates are rebalanced, which
-    brings a date into few tasks and splits a date that is too large for one; those of `one_date` are
-    written where they are.
+    A date that is written again replaces all its files. The records are rebalanced, which brings a date
+    into few tasks and splits a date that is too large for one.
     """
-    lines = records.select("record", "process_date")
-    if not one_date:
-        lines = lines.hint("rebalance", "process_date")
+    lines = records.select("record", "process_date").hint("rebalance", "process_date")
     (
         lines.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -48,8 +45,16 @@ def read_raw_dir(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RAW).option("mode", "FAILFAST").option("pathGlobFilter", JSON_FILES).json(path)
 
 
-def read_raw(spark: SparkSession, root: str, first: str, last: str) -> DataFrame:
-    """Raw records of the process dates `first` to `last`; other dates are not listed into the scan."""
+def dated(df: DataFrame, first: str | None, last: str | None) -> DataFrame:
+    """Rows of the process dates `first` to `last`; a bound that is None is open."""
+    day = F.col("process_date")
+    if first is not None:
+        df = df.filter(day >= F.lit(first).cast("date"))
+    return df if last is None else df.filter(day <= F.lit(last).cast("date"))
+
+
+def read_raw(spark: SparkSession, root: str, first: str | None = None, last: str | None = None) -> DataFrame:
+    """Raw records of the process dates `first` to `last`; files of other dates are not read."""
     reader = spark.read.schema(T.StructType([*RAW.fields, PARTITION])).option("mode", "FAILFAST")
     rows = reader.option("pathGlobFilter", JSON_FILES).json(root)
-    return rows.filter(F.col("process_date").between(F.lit(first).cast("date"), F.lit(last).cast("date")))
+    return dated(rows, first, last)

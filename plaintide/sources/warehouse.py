@@ -7,9 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plaintide.operators.upsert import RANGE, upsert_by_key
+from plaintide.operators.upsert import RANGE, finished_loads, point_partitions, upsert_by_key
 from plaintide.schemas import BRONZE
-from plaintide.sources.files import exists
 
 DEFAULT_LAYER = "main"
 COMPLAINTS = "complaints"
@@ -52,39 +51,39 @@ class Warehouse:
         fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in BRONZE)
         self.spark.sql(
             f"CREATE TABLE IF NOT EXISTS {self.name('raw', COMPLAINTS)} ({fields}, `{RANGE}` bigint) USING parquet "
-            f"OPTIONS (partitionOverwriteMode 'dynamic') PARTITIONED BY (`{RANGE}`) "
-            f"LOCATION '{self.path('raw', COMPLAINTS)}'"
+            f"PARTITIONED BY (`{RANGE}`) LOCATION '{self.path('raw', COMPLAINTS)}'"
         )
-        if exists(self.spark, self.path("raw", COMPLAINTS)):
-            self.spark.catalog.recoverPartitions(self.name("raw", COMPLAINTS))
+        location = self.path("raw", COMPLAINTS)
+        point_partitions(self.spark, self.name("raw", COMPLAINTS), location, finished_loads(self.spark, location))
 
     def source_table(self) -> DataFrame:
         """The keyed complaint table that staging reads, as last written by any session."""
         self.spark.catalog.refreshTable(self.name("raw", COMPLAINTS))
         return self.spark.table(self.name("raw", COMPLAINTS)).drop(RANGE)
 
-    def upsert(self, batch: DataFrame) -> None:
+    def upsert(self, batch: DataFrame) -> int:
+        """Rows of the batch, after they are in the table."""
         self.create_if_absent()
-        pending = self.path("raw", f"{COMPLAINTS}__pending")
-        upsert_by_key(self.spark, batch, self.name("raw", COMPLAINTS), pending)
-
-    def load_summary(self, batch: DataFrame) -> DataFrame:
-        """One row: rows of the batch, rows of the table, status."""
-        one = F.count(F.lit(1))
-        processed = batch.agg(one.alias("records_processed"))
-        total = self.source_table().agg(one.alias("total_records_in_table"))
-        return processed.select("records_processed", total.scalar().alias("total_records_in_table")).withColumn(
-            "status", F.lit("success")
-        )
+        return upsert_by_key(self.spark, batch, self.name("raw", COMPLAINTS), self.path("raw", COMPLAINTS))
+
+    def load_summary(self, processed: int) -> DataFrame:
+        """One row of values: rows of the batch, rows of the table now, status of a load that returned."""
+        total = self.source_table().count()
+        columns = "records_processed long, total_records_in_table long, status string"
+        return self.spark.createDataFrame([(processed, total, "success")], columns)
 
-    def materialize(self, layer: str, model: str, df: DataFrame, kind: str = "table") -> DataFrame:
-        """Store a model as a table of its layer, or register it as a view that runs when read."""
-        if kind == "view":
-            df.createOrReplaceTempView(self.name(layer, model).replace(".", "__"))
-            return df
+    def materialize(self, layer: str, model: str, df: DataFrame) -> DataFrame:
+        """Store a model as a table of its layer."""
         self.create_database(layer)
         df.write.mode("overwrite").option("path", self.path(layer, model)).saveAsTable(self.name(layer, model))
         return self.spark.table(self.name(layer, model))
 
+    def create_view(self, layer: str, model: str, columns: dict[str, str], source: str) -> DataFrame:
+        """Define a model as a view of its layer over `source`; it runs when it is read."""
+        self.create_database(layer)
+        fields = ", ".join(f"{expression} AS `{name}`" for name, expression in columns.items())
+        self.spark.sql(f"CREATE OR REPLACE VIEW {self.name(layer, model)} AS SELECT {fields} FROM {source}")
+        return self.spark.table(self.name(layer, model))
+
     def table(self, layer: str, model: str) -> DataFrame:
         return self.spark.table(self.name(layer, model))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime
 import sys
+import tempfile
 import time
 
 import duckdb
@@ -55,6 +56,7 @@ def main(sf_dir: str, keys: list[str]) -> int:
             "spark.master": "local[8]",
             "spark.sql.shuffle.partitions": "8",
             "spark.driver.memory": "8g",
+            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="compare-"),
             "spark.hadoop.fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem",
             "spark.ui.showConsoleProgress": "false",
         },

@@ -1,12 +1,18 @@
-"""DuckDB SQL for every registered query, over the driver's tables."""
+"""DuckDB SQL for every registered query, over the driver's tables.
+
+Fixed values: column lists, metric names and metric definitions are those of the outputs to match.
+"""
 
 from __future__ import annotations
 
 FIRST, LAST = "1996-01-01", "1997-06-30"
 COMPANY = "Supplier#000000001"
 RUN_TS = "2026-07-11T02:00:00.000Z"
-LOGICAL_DATE = "1996-03-06"
+LOGICAL_DATE = "1995-02-19"
 RUN_DATE = "2001-08-01"
+EARLIER_TS = "2026-07-10T02:00:00.000Z"
+DAY = f"coalesce(date_received::DATE, DATE '{RUN_TS[:10]}')"
+MISSING = 3
 
 LINES = """
 lines AS (
@@ -19,21 +25,21 @@ lines AS (
 
 _SHAPE = """
 SELECT
-  p_type AS product,
+  CASE WHEN l_partkey % 79 <> 0 THEN p_type END AS product,
   p_name AS complaint_what_happened,
   l_shipdate AS date_sent_to_company,
-  o_orderpriority AS issue,
+  CASE WHEN l_partkey % 83 <> 0 THEN o_orderpriority END AS issue,
   CASE WHEN p_size % 10 <> 0 THEN p_brand END AS sub_product,
   CAST(o_custkey % 1000 AS VARCHAR) AS zip_code,
   CASE WHEN l_quantity % 3 = 0 THEN c_mktsegment END AS tags,
   l_discount >= 0.05::DOUBLE AS has_narrative,
   l_orderkey * 8 + l_linenumber AS complaint_id,
   CASE WHEN l_tax <= 0.06::DOUBLE THEN CASE WHEN l_linestatus = 'F' THEN 'Yes' ELSE 'No' END END AS timely,
-  o_orderstatus AS company_response,
+  CASE WHEN l_orderkey % 97 <> 0 THEN o_orderstatus END AS company_response,
   l_returnflag AS submitted_via,
-  s_name AS company,
-  o_orderdate AS date_received,
-  n_name AS state,
+  CASE WHEN l_suppkey % 41 <> 0 THEN s_name END AS company,
+  CASE WHEN l_orderkey % 101 <> 0 THEN o_orderdate END AS date_received,
+  CASE WHEN o_custkey % 89 <> 0 THEN n_name END AS state,
   o_orderpriority AS company_public_response,
   CASE WHEN l_quantity % 5 <> 0 THEN c_mktsegment END AS sub_issue,
   l_shipdate AS extracted_at
@@ -300,6 +306,18 @@ def oracle_sql() -> dict[str, str]:
         *_failures("dim_response_types", "responses", "company_response"),
         *_failures("dim_states", "states", "state"),
     ]
+    broken = [
+        *_failures("complaints", "versions", "complaint_id"),
+        *_failures("stg_complaints", "versions", "complaint_id"),
+        *_failures("fct_complaints", "fct", "complaint_id"),
+        *_failures("agg_complaints_by_month", "undated", "complaint_month_date"),
+        *_failures("dim_companies", "twice", "company"),
+        *_failures("dim_issues", "issues", "issue", unique=False),
+        *_failures("dim_products", "products", "product", unique=False),
+        *_failures("dim_response_types", "responses", "company_response"),
+        "SELECT 'dim_states', 'state', 'not_null', 1",
+        "SELECT 'dim_states', 'state', 'unique', 1",
+    ]
     return {
         # sources, sinks, table lifecycle
         "flatten_pages": on_shape(f"SELECT {TEXT_COLUMNS.format(extracted='NULL::VARCHAR')} FROM shaped"),
@@ -308,21 +326,37 @@ def oracle_sql() -> dict[str, str]:
         ),
         "filter_company": on_shape(f"SELECT {BRONZE_COLUMNS} FROM shaped WHERE company = '{COMPANY}'"),
         "sort_created": on_shape(
-            "SELECT complaint_id, date_received, company, product FROM shaped ORDER BY date_received DESC, complaint_id"
+            "SELECT complaint_id, date_received, company, product FROM shaped ORDER BY date_received DESC NULLS LAST, complaint_id"
         ),
-        "chunk_records": on_shape("SELECT count(*) AS records, true AS within_chunk_size FROM shaped"),
+        "chunk_records": on_shape("SELECT count(*) AS records, true AS a_day_exceeds_it, true AS within_chunk_size FROM shaped"),
         "reconcile_counts": on_shape(
-            "SELECT count(*) AS expected, count(*) AS actual, true AS is_complete FROM shaped"
+            "SELECT 'whole' AS fetch, count(*) AS expected, count(*) AS actual, true AS is_complete FROM shaped "
+            f"UNION ALL SELECT 'short', count(*) + {MISSING}, count(*), false FROM shaped"
+        ),
+        "run_correction": on_shape(
+            f"SELECT {LOADED} FROM shaped WHERE date_received::DATE = DATE '{LOGICAL_DATE}' - 1"
+        ),
+        "staging_view": _sql(f"SELECT * REPLACE (TIMESTAMP '{RUN_TS[:-1]}' AS dbt_extracted_at) FROM stg", SHAPED, STAGED),
+        "metric_view": on_metrics(f"SELECT * REPLACE (TIMESTAMP '{RUN_TS[:-1]}' AS dbt_extracted_at) FROM met"),
+        "listed_months": on_metrics(
+            "SELECT *, row_number() OVER (ORDER BY complaint_month_date DESC) AS position FROM monthly", MONTHLY
+        ),
+        "listed_states": on_metrics(
+            "SELECT *, row_number() OVER (ORDER BY total_complaints DESC, state) AS position FROM states", STATES
+        ),
+        "listed_products": on_metrics(
+            "SELECT *, row_number() OVER (ORDER BY product, sub_product NULLS FIRST, total_complaints DESC) AS position FROM products",
+            PRODUCTS,
         ),
         "stamp_extracted_at": on_shape(f"SELECT complaint_id::VARCHAR AS complaint_id, '{RUN_TS}' AS extracted_at FROM shaped"),
         "write_raw_jsonl": on_shape(
-            "SELECT complaint_id::VARCHAR AS complaint_id, sub_product, date_received::DATE AS process_date, "
+            f"SELECT complaint_id::VARCHAR AS complaint_id, sub_product, {DAY} AS process_date, "
             "sub_product IS NULL AS null_is_written FROM shaped"
         ),
-        "raw_path": on_shape("SELECT date_received::DATE AS process_date, count(*) AS records FROM shaped GROUP BY 1"),
+        "raw_path": on_shape(f"SELECT {DAY} AS process_date, count(*) AS records FROM shaped GROUP BY 1"),
         "read_raw_jsonl": on_shape(f"SELECT {TEXT_COLUMNS.format(extracted=chr(39) + RUN_TS + chr(39))} FROM shaped"),
         "write_bronze": on_shape(
-            "SELECT date_received::DATE AS process_date, count(*) AS records, "
+            f"SELECT {DAY} AS process_date, count(*) AS records, "
             "count_if(has_narrative)::BIGINT AS narratives FROM shaped GROUP BY 1"
         ),
         "scan_bronze": on_shape(
@@ -340,9 +374,12 @@ def oracle_sql() -> dict[str, str]:
             "SELECT o_orderdate::DATE AS logical_date, (o_orderdate::DATE - INTERVAL 1 DAY)::DATE AS process_date, "
             "count(*) AS runs FROM orders GROUP BY 1, 2"
         ),
-        "run_daily": on_shape(
-            f"SELECT count_if(date_received::DATE = DATE '{LOGICAL_DATE}' - 1)::BIGINT AS records_processed, "
-            "count(*) AS total_records_in_table, 'success' AS status FROM shaped"
+        "run_daily": on_metrics(
+            f"SELECT 'records_processed' AS part, count_if(coalesce(date_received, DATE '{LOGICAL_DATE}' - 1) = DATE '{LOGICAL_DATE}' - 1)::BIGINT AS n FROM met "
+            "UNION ALL SELECT 'total_records_in_table', count(*) FROM met "
+            "UNION ALL SELECT 'expected', count(*) FROM met UNION ALL SELECT 'actual', count(*) FROM met "
+            "UNION ALL SELECT concat_ws('.', model, column_name, test), failures FROM (" + " UNION ALL ".join(report) + ")",
+            FACT, MONTHLY, COMPANIES, ISSUES, PRODUCTS, RESPONSES, STATES,
         ),
         "run_backfill": on_shape(
             "SELECT count(*) AS records_processed, count(*) AS total_records_in_table, 'success' AS status FROM shaped"
@@ -418,6 +455,10 @@ def oracle_sql() -> dict[str, str]:
         ),
         # incremental loads
         "incremental_upsert": on_shape(f"SELECT {LOADED} FROM shaped"),
+        "refresh_recent": on_shape(
+            f"SELECT * REPLACE (CASE WHEN date_received::DATE >= DATE '{RUN_DATE}' - 90 THEN 'refreshed' ELSE tags END AS tags) "
+            f"FROM (SELECT {BRONZE_COLUMNS} FROM shaped)"
+        ),
         "lookback_window": on_shape(
             f"SELECT {BRONZE_COLUMNS} FROM shaped WHERE date_received::DATE >= DATE '{RUN_DATE}' - 90"
         ),
@@ -430,14 +471,20 @@ def oracle_sql() -> dict[str, str]:
                 for c in ["complaint_id", "sub_product", "sub_issue", "timely", "tags"]
             )
         ),
-        "dq_table_exists": on_metrics("SELECT count(*) AS n_rows, true AS table_exists FROM companies", COMPANIES),
+        "dq_table_exists": on_metrics(
+            "SELECT n_rows, table_exists FROM (SELECT count(*) AS n_rows FROM companies), (VALUES (true), (false)) t(table_exists)",
+            COMPANIES,
+        ),
         "dq_required_columns": on_shape(
             " UNION ALL ".join(
                 f"SELECT '{c}' AS column_name, count({c}) AS rows_with_value, true AS is_present FROM shaped"
-                for c in ["complaint_id", "company", "product", "issue", "date_received"]
+                for c in ["complaint_id", "company", "product", "date_received"]
             )
+            + " UNION ALL SELECT 'issue', 0, false"
+        ),
+        "dq_has_rows": on_shape(
+            "SELECT 'all' AS part, count(*) > 0 AS has_rows FROM shaped UNION ALL SELECT 'none', false"
         ),
-        "dq_has_rows": on_shape("SELECT count(*) > 0 AS has_rows FROM shaped"),
         "dq_key_unique_ratio": _sql(
             "SELECT count(DISTINCT complaint_id) AS unique_count, count(*) AS total_count, "
             "count(DISTINCT complaint_id) = count(*) AS is_unique FROM versions",
@@ -452,7 +499,9 @@ def oracle_sql() -> dict[str, str]:
             "SELECT count(timely) AS valid_rows, count(*) AS total_rows, count(timely) / count(*) AS valid_ratio, "
             "count(timely) / count(*) >= 0.9 AS passed FROM shaped"
         ),
-        "dq_report": on_metrics(
-            " UNION ALL ".join(report), FACT, MONTHLY, COMPANIES, ISSUES, PRODUCTS, RESPONSES, STATES
+        "dq_report": _sql(
+            " UNION ALL ".join(broken), SHAPED, STAGED, METRICS, FACT, MONTHLY, ISSUES, COMPANIES, PRODUCTS, RESPONSES, VERSIONS,
+            "twice AS (SELECT * FROM companies UNION ALL SELECT * FROM companies)",
+            "undated AS (SELECT * FROM monthly UNION ALL BY NAME SELECT NULL::DATE AS complaint_month_date)",
         ),
     }

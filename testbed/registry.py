@@ -7,9 +7,10 @@ run's later steps would.
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,13 +21,17 @@ from plaintide.plans import marts, models, runs, serving
 from plaintide.session import scratch_dir
 from plaintide.sources import bronze, pages, raw
 from plaintide.sources.warehouse import COMPLAINTS, Warehouse, schema_for_layer
-from plaintide.streaming.incremental import incremental_upsert
+from plaintide.streaming.incremental import incremental_upsert, refresh_recent
 from testbed import shape
-from testbed.oracle import COMPANY, FIRST, LAST, LOGICAL_DATE, RUN_DATE, RUN_TS
+from testbed.oracle import COMPANY, EARLIER_TS, FIRST, LAST, LOGICAL_DATE, MISSING, RUN_DATE, RUN_TS
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-ALL_DAYS = ("1900-01-01", "2100-12-31")
+def shared_scratch(spark: SparkSession, label: str) -> str:
+    """A scratch folder; a local session without a shared folder gets one of its own first."""
+    if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext.master.startswith("local["):
+        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="testbed-"))
+    return scratch_dir(spark, label)
 
 
 def plain_times(df: DataFrame) -> DataFrame:
@@ -36,7 +41,7 @@ def plain_times(df: DataFrame) -> DataFrame:
 
 
 def new_warehouse(spark: SparkSession, label: str) -> Warehouse:
-    root = scratch_dir(spark, label)
+    root = shared_scratch(spark, label)
     return Warehouse(spark, root, root.rsplit("/", 1)[1].replace("-", "_") + "_")
 
 
@@ -45,7 +50,7 @@ class Layers:
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark, self.sf_dir = spark, sf_dir
-        root = scratch_dir(spark, "layers")
+        root = shared_scratch(spark, "layers")
         self.zones = runs.Zones(f"{root}/pages", f"{root}/raw", f"{root}/bronze")
         self._done: set[str] = set()
 
@@ -56,21 +61,22 @@ class Layers:
 
     def pages(self) -> str:
         rows = shape.complaints(self.spark, self.sf_dir)
-        self._once("pages", lambda: shape.land_pages(rows, self.zones.pages))
-        return self.zones.pages
+        fetch = pages.fetch_folder(self.zones.pages, RUN_TS)
+        self._once("pages", lambda: shape.land_pages(rows, fetch))
+        return fetch
 
     def raw(self) -> str:
         self.pages()
-        self._once("raw", lambda: runs.land_raw(self.spark, self.zones, *ALL_DAYS, RUN_TS, raw.CHUNK_SIZE))
+        self._once("raw", lambda: runs.land_raw(self.spark, self.zones, RUN_TS))
         return self.zones.raw
 
     def bronze(self) -> str:
         self.raw()
-        self._once("bronze", lambda: runs.raw_to_bronze(self.spark, self.zones, *ALL_DAYS))
+        self._once("bronze", lambda: runs.raw_to_bronze(self.spark, self.zones))
         return self.zones.bronze
 
     def batch(self) -> DataFrame:
-        return bronze.scan_bronze(self.spark, self.bronze(), *ALL_DAYS)
+        return bronze.scan_bronze(self.spark, self.bronze())
 
 
 _stored: dict[tuple[str, str], Layers] = {}
@@ -104,7 +110,14 @@ def flatten_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def reconcile_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pages.reconcile_counts(pages.read_pages(spark, layers(spark, sf_dir).pages()))
+    """A whole fetch, and one that was cut short."""
+    short = pages.fetch_folder(shared_scratch(spark, "short"), RUN_TS)
+    shape.land_pages(shape.complaints(spark, sf_dir), short, MISSING)
+    found = [
+        pages.reconcile_counts(pages.read_pages(spark, path)).select(F.lit(name).alias("fetch"), "*")
+        for name, path in (("whole", layers(spark, sf_dir).pages()), ("short", short))
+    ]
+    return found[0].unionByName(found[1])
 
 
 def stamp_extracted_at(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -117,8 +130,18 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def chunk_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    chunks = raw_lines(spark, sf_dir).groupBy("_metadata.file_path").agg(F.count(F.lit(1)).alias("n"))
-    return chunks.agg(F.sum("n").alias("records"), (F.max("n") <= raw.CHUNK_SIZE).alias("within_chunk_size"))
+    """Months as process dates, in files of at most half the records of the largest one."""
+    lines = raw_lines(spark, sf_dir).select(F.col("value").alias("record"), F.trunc("process_date", "month").alias("process_date"))
+    largest = lines.groupBy("process_date").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
+    root, size = shared_scratch(spark, "chunks"), max(1, largest // 2)
+    raw.write_raw(lines, root, size)
+    chunks = spark.read.text(root).groupBy("process_date", "_metadata.file_path").agg(F.count(F.lit(1)).alias("n"))
+    days = chunks.groupBy("process_date").agg(F.sum("n").alias("n"), F.max("n").alias("largest"))
+    return days.agg(
+        F.sum("n").alias("records"),
+        (F.max("n") > size).alias("a_day_exceeds_it"),
+        (F.max("largest") <= size).alias("within_chunk_size"),
+    )
 
 
 def write_raw_jsonl(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -136,7 +159,7 @@ def raw_path(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def read_raw_jsonl(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return raw.read_raw(spark, layers(spark, sf_dir).raw(), *ALL_DAYS).drop("process_date")
+    return raw.read_raw(spark, layers(spark, sf_dir).raw()).drop("process_date")
 
 
 def write_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -172,9 +195,7 @@ def upsert_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def load_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     warehouse = new_warehouse(spark, "summary")
-    batch = layers(spark, sf_dir).batch()
-    warehouse.upsert(batch)
-    return warehouse.load_summary(batch)
+    return warehouse.load_summary(warehouse.upsert(layers(spark, sf_dir).batch()))
 
 
 def source_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -203,24 +224,76 @@ def process_date(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def backfilled(spark: SparkSession, sf_dir: str, label: str) -> tuple[Warehouse, runs.RunResult]:
     stored = layers(spark, sf_dir)
-    root = scratch_dir(spark, label)
-    zones = runs.Zones(stored.pages(), f"{root}/raw", f"{root}/bronze")
+    root = shared_scratch(spark, label)
+    stored.pages()
+    zones = runs.Zones(stored.zones.pages, f"{root}/raw", f"{root}/bronze")
     warehouse = new_warehouse(spark, label)
-    return warehouse, runs.run_backfill(warehouse, zones, *ALL_DAYS, RUN_TS)
+    return warehouse, runs.run_backfill(warehouse, zones, None, None, RUN_TS)
 
 
 def run_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return backfilled(spark, sf_dir, "backfill")[1].summary
 
 
+def run_correction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A day fetched twice: the later fetch corrects the earlier one, each run reads its own pages."""
+    root, warehouse = shared_scratch(spark, "correction"), new_warehouse(spark, "correction")
+    zones = runs.Zones(f"{root}/pages", f"{root}/raw", f"{root}/bronze")
+    day = runs.process_date(F.lit(LOGICAL_DATE))
+    rows = shape.complaints(spark, sf_dir).filter(F.to_date("date_received") == day)
+    shape.land_pages(rows.withColumn("company", F.lit("Old")), pages.fetch_folder(zones.pages, EARLIER_TS))
+    runs.run_daily(warehouse, zones, LOGICAL_DATE, EARLIER_TS)
+    shape.land_pages(rows, pages.fetch_folder(zones.pages, RUN_TS))
+    runs.run_daily(warehouse, zones, LOGICAL_DATE, RUN_TS)
+    return plain_times(warehouse.source_table())
+
+
+def view(layer: str, model: str) -> Query:
+    """A view read by its layer's name."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        warehouse = new_warehouse(spark, layer)
+        warehouse.upsert(layers(spark, sf_dir).batch())
+        runs.define_views(warehouse)
+        return plain_times(spark.table(f"{warehouse.prefix}{schema_for_layer(layer)}.{model}"))
+
+    return query
+
+
+def listed(mart: str, *inputs: str) -> Query:
+    """A mart in its stored order, with the position of each row in it."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        rows = marts.listed(mart, marts.MARTS[mart](metrics(spark, sf_dir, *inputs)))
+        placed = rows.withColumn("place", F.monotonically_increasing_id())
+        return placed.withColumn("position", F.row_number().over(Window.orderBy("place")).cast("long")).drop("place")
+
+    return query
+
+
+def refreshed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A re-extraction of all records: those of the lookback window are replaced, older ones stay."""
+    warehouse, rows = new_warehouse(spark, "refresh"), shape.complaints(spark, sf_dir)
+    warehouse.upsert(normalize_schema(rows))
+    refresh_recent(warehouse, rows.withColumn("tags", F.lit("refreshed")), RUN_DATE)
+    return plain_times(warehouse.source_table())
+
+
 def run_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One day on top of a loaded table."""
+    """One day on top of a loaded table: its summary, counts of the fetch, and check report."""
     stored = layers(spark, sf_dir)
     warehouse = new_warehouse(spark, "daily")
     warehouse.upsert(stored.batch())
-    root = scratch_dir(spark, "daily")
-    zones = runs.Zones(stored.pages(), f"{root}/raw", f"{root}/bronze")
-    return runs.run_daily(warehouse, zones, LOGICAL_DATE, RUN_TS).summary
+    root = shared_scratch(spark, "daily")
+    stored.pages()
+    zones = runs.Zones(stored.zones.pages, f"{root}/raw", f"{root}/bronze")
+    run = runs.run_daily(warehouse, zones, LOGICAL_DATE, RUN_TS)
+    counts = ["records_processed", "total_records_in_table"]
+    checks = run.report.select(F.concat_ws(".", "model", "column_name", "test").alias("part"), F.col("failures").alias("n"))
+    found = [(run.summary, counts), (run.reconciliation, ["expected", "actual"])]
+    for frame, names in found:
+        checks = checks.unionByName(frame.select(*names).unpivot([], names, "part", "n"))
+    return checks
 
 
 def read_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -242,7 +315,7 @@ def read_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     warehouse = new_warehouse(spark, "stream")
     warehouse.create_if_absent()
-    stream = incremental_upsert(warehouse, layers(spark, sf_dir).raw(), scratch_dir(spark, "stream-checkpoint"))
+    stream = incremental_upsert(warehouse, layers(spark, sf_dir).raw(), shared_scratch(spark, "stream-checkpoint"))
     stream.awaitTermination()
     return plain_times(warehouse.source_table())
 
@@ -251,7 +324,8 @@ def table_exists(spark: SparkSession, sf_dir: str) -> DataFrame:
     warehouse = new_warehouse(spark, "exists")
     mart = marts.dim_companies(metrics(spark, sf_dir, "company"))
     stored = warehouse.materialize("marts", "dim_companies", mart)
-    return quality.dq_table_exists(spark, warehouse.name("marts", "dim_companies"), stored)
+    there = quality.dq_table_exists(spark, warehouse.name("marts", "dim_companies"), stored)
+    return there.unionByName(quality.dq_table_exists(spark, warehouse.name("marts", "dim_company"), stored))
 
 
 def dq_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -265,14 +339,23 @@ def dq_key_unique_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    source = shape.complaints(spark, sf_dir)
-    staged = models.stg_complaints(source)
-    relation = models.int_complaint_metrics(staged)
-    built = {name: build(relation) for name, build in marts.MARTS.items()}
-    base = {"complaints": source, "stg_complaints": staged, "fct_complaints": models.fct_complaints(relation)}
+    """Models of which some are broken: keys that repeat, a mart twice, a month that is NULL, a mart that is missing."""
+    versions = shape.complaints(spark, sf_dir, ["complaint_id"], shape.table(spark, sf_dir, "lineitem"))
+    relation = models.int_complaint_metrics(models.stg_complaints(shape.complaints(spark, sf_dir)))
+    built = {name: build(relation) for name, build in marts.MARTS.items() if name != "dim_states"}
+    built["dim_companies"] = built["dim_companies"].unionByName(built["dim_companies"])
+    months = built["agg_complaints_by_month"].select("complaint_month_date")
+    built["agg_complaints_by_month"] = months.union(spark.range(1).select(F.lit(None).cast("date")))
+    base = {"complaints": versions, "stg_complaints": versions, "fct_complaints": models.fct_complaints(relation)}
     return runs.check_models({**base, **built})
 
 
+def has_rows(complaints: DataFrame) -> DataFrame:
+    parts = {"all": complaints, "none": complaints.filter("complaint_id < 0")}
+    found = [quality.dq_has_rows(rows).select(F.lit(name).alias("part"), "*") for name, rows in parts.items()]
+    return found[0].unionByName(found[1])
+
+
 MONTH = ("company", "product", "state")
 COMPANY_COLUMNS = ("company",)
 STATE = ("state", "company", "product", "issue", "zip_code", "submitted_via")
@@ -317,6 +400,9 @@ def queries() -> dict[str, Query]:
         "schema_for_layer": layer_table,
         "source_table": source_table,
         "process_date": process_date,
+        "run_correction": run_correction,
+        "staging_view": view("staging", "stg_complaints"),
+        "metric_view": view("intermediate", "int_complaint_metrics"),
         "run_daily": run_daily,
         "run_backfill": run_backfill,
         "read_marts": read_marts,
@@ -344,6 +430,9 @@ def queries() -> dict[str, Query]:
         "issue_stats": on_metrics(marts.issue_stats, *ISSUE),
         "issue_totals": on_metrics(issue_totals, *ISSUE),
         "dim_issues": on_metrics(marts.dim_issues, *ISSUE),
+        "listed_months": listed("agg_complaints_by_month", *MONTH),
+        "listed_states": listed("dim_states", *STATE),
+        "listed_products": listed("dim_products", *PRODUCT),
         # serving
         "dash_monthly": served(serving.dash_monthly, marts.agg_complaints_by_month, *MONTH),
         "dash_companies": served(serving.dash_companies, marts.dim_companies, *COMPANY_COLUMNS),
@@ -363,6 +452,7 @@ def queries() -> dict[str, Query]:
         "kpi_header": served(serving.kpi_header, coverage, *MONTH),
         # incremental loads
         "incremental_upsert": stream_upsert,
+        "refresh_recent": refreshed,
         "lookback_window": on_complaints(lambda c: plain_times(normalize_schema(filters.lookback_window(c, RUN_DATE)))),
         # checks
         "dq_unique": dq_unique,
@@ -371,9 +461,9 @@ def queries() -> dict[str, Query]:
         ),
         "dq_table_exists": table_exists,
         "dq_required_columns": on_complaints(
-            quality.dq_required_columns, "complaint_id", "company", "product", "issue", "date_received"
+            quality.dq_required_columns, "complaint_id", "company", "product", "date_received"
         ),
-        "dq_has_rows": on_complaints(quality.dq_has_rows, "complaint_id"),
+        "dq_has_rows": on_complaints(has_rows, "complaint_id"),
         "dq_key_unique_ratio": dq_key_unique_ratio,
         "dq_sample_required": on_complaints(
             quality.dq_sample_required, "complaint_id", "company", "product", "issue", "date_received"

@@ -16,21 +16,21 @@ LINE_ORDER = ["l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice"]
 
 # Each complaint column: its expression and the tables it needs besides lineitem.
 COLUMNS: dict[str, tuple[str, tuple[str, ...]]] = {
-    "product": ("p_type", ("part",)),
+    "product": ("CASE WHEN l_partkey % 79 <> 0 THEN p_type END", ("part",)),
     "complaint_what_happened": ("p_name", ("part",)),
     "date_sent_to_company": ("l_shipdate", ()),
-    "issue": ("o_orderpriority", ("orders",)),
+    "issue": ("CASE WHEN l_partkey % 83 <> 0 THEN o_orderpriority END", ("orders",)),
     "sub_product": ("CASE WHEN p_size % 10 <> 0 THEN p_brand END", ("part",)),
     "zip_code": ("CAST(o_custkey % 1000 AS STRING)", ("orders",)),
     "tags": ("CASE WHEN l_quantity % 3 = 0 THEN c_mktsegment END", ("orders", "customer")),
     "has_narrative": ("l_discount >= 0.05D", ()),
     "complaint_id": ("l_orderkey * 8 + l_linenumber", ()),
     "timely": ("CASE WHEN l_tax <= 0.06D THEN CASE WHEN l_linestatus = 'F' THEN 'Yes' ELSE 'No' END END", ()),
-    "company_response": ("o_orderstatus", ("orders",)),
+    "company_response": ("CASE WHEN l_orderkey % 97 <> 0 THEN o_orderstatus END", ("orders",)),
     "submitted_via": ("l_returnflag", ()),
-    "company": ("s_name", ("supplier",)),
-    "date_received": ("o_orderdate", ("orders",)),
-    "state": ("n_name", ("orders", "customer", "nation")),
+    "company": ("CASE WHEN l_suppkey % 41 <> 0 THEN s_name END", ("supplier",)),
+    "date_received": ("CASE WHEN l_orderkey % 101 <> 0 THEN o_orderdate END", ("orders",)),
+    "state": ("CASE WHEN o_custkey % 89 <> 0 THEN n_name END", ("orders", "customer", "nation")),
     "company_public_response": ("o_orderpriority", ("orders",)),
     "sub_issue": ("CASE WHEN l_quantity % 5 <> 0 THEN c_mktsegment END", ("orders", "customer")),
     "extracted_at": ("l_shipdate", ()),
@@ -102,12 +102,15 @@ API_FIELDS = [f.name for f in BRONZE if f.name != "extracted_at"]
 PAGE_KEYS = 4800  # complaint keys per page, so a page holds at most that many records
 
 
-def land_pages(rows: DataFrame, path: str) -> None:
-    """Write complaints as response pages, one page per line; each page announces the total."""
+def land_pages(rows: DataFrame, path: str, missing: int = 0) -> None:
+    """Write complaints as response pages, one page per line; each page announces the total.
+
+    `missing` records are announced and not there, as in a fetch that was cut short.
+    """
     times = {name: utc_text(F.col(name)) for name in ("date_received", "date_sent_to_company")}
     source = F.struct(*[times.get(name, F.col(name)).alias(name) for name in API_FIELDS])
     hit = F.struct(source.alias("_source"), F.array(F.col("complaint_id").cast("string")).alias("sort"))
-    total = rows.agg(F.count(F.lit(1))).scalar()
+    total = rows.agg(F.count(F.lit(1)) + missing).scalar()
     pages = rows.groupBy(F.floor(F.col("complaint_id") / PAGE_KEYS).alias("page")).agg(F.collect_list(hit).alias("hits"))
     body = F.struct(F.struct(F.struct(total.alias("value")).alias("total"), F.col("hits")).alias("hits"))
     pages.select(F.to_json(body, {"ignoreNullFields": "false"})).write.text(path)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from plaintide.operators import filters
 from plaintide.operators.normalize import normalize_schema
 from plaintide.plans import runs
+from plaintide.plans.models import int_complaint_metrics, stg_complaints
 from plaintide.schemas import BRONZE
 from plaintide.session import scratch_dir
 from plaintide.sources import bronze as bronze_layer
@@ -18,6 +19,7 @@ from plaintide.sources.warehouse import schema_for_layer
 from tests.rows import bronze, by_key, complaint
 
 RUN_TS = "2026-07-11T02:00:00.000Z"
+LATER_TS = "2026-07-12T02:00:00.000Z"
 
 
 def record(key, day="2026-07-01", **changes):
@@ -118,7 +120,8 @@ def test_chunks(spark, zones):
 
 def test_read_raw_dir_takes_lines_of_json_files_only(spark, zones):
     folder = write_lines(zones.raw, [{"complaint_id": 1}, {"complaint_id": "2", "tags": ["a"]}])
-    write_lines(folder, ["not json\n"], "notes.md")
+    for name in ("notes.md", "notes.txt", "part_1.json.bak"):
+        write_lines(folder, ["not json\n"], name)
     write_lines(os.path.join(folder, "deeper"), [{"complaint_id": 3}])
     found = raw.read_raw_dir(spark, folder).select("complaint_id", "tags", "product").collect()
     assert sorted(map(tuple, found)) == [("1", None, None), ("2", '["a"]', None)]
@@ -184,59 +187,92 @@ def test_received_day_is_utc(spark, new_york):
     assert filters.filter_received_range(df, "2026-01-02", "2026-01-02").count() == 1
 
 
+def fetch(zones, run_ts, *found):
+    """Land the pages of one fetch."""
+    write_pages(pages.fetch_folder(zones.pages, run_ts), *found)
+    return run_ts
+
+
 def test_rerun_replaces_the_files_of_a_date(spark, zones):
-    write_pages(zones.pages, page([record(i) for i in range(12)] + [record(99, "2026-07-02")]))
-    runs.land_raw(spark, zones, "2026-07-01", "2026-07-02", RUN_TS, 5)
-    smaller = runs.Zones(zones.pages + "2", zones.raw, zones.bronze)
-    write_pages(smaller.pages, page([record(1)]))
-    runs.land_raw(spark, smaller, "2026-07-01", "2026-07-01", RUN_TS, 5)
+    first = fetch(zones, RUN_TS, page([record(i) for i in range(12)] + [record(99, "2026-07-02")]))
+    runs.land_raw(spark, zones, first, "2026-07-01", "2026-07-02", 5)
+    second = fetch(zones, LATER_TS, page([record(1)]))
+    runs.land_raw(spark, zones, second, "2026-07-01", "2026-07-01", 5)
     found = raw.read_raw(spark, zones.raw, "2026-07-01", "2026-07-02").select("complaint_id").collect()
     assert sorted(r[0] for r in found) == ["1", "99"]
+    assert raw.read_raw(spark, zones.raw).count() == 2 and raw.read_raw(spark, zones.raw, "2026-07-02").count() == 1
 
 
 def test_daily_run_end_to_end(spark, zones, warehouse):
-    write_pages(
-        zones.pages,
-        page([record(1), record(2, company="Beta"), record(3, "2026-07-02"), record(4, "2026-06-30")], 4),
-    )
-    result = runs.run_daily(warehouse, zones, "2026-07-02", RUN_TS)
+    ts = fetch(zones, RUN_TS, page([record(1), record(2, company="Beta"), record(4, "2026-06-30")], 3))
+    result = runs.run_daily(warehouse, zones, "2026-07-02", ts)
     assert tuple(result.summary.collect()[0]) == (2, 2, "success")
-    assert tuple(result.reconciliation.collect()[0]) == (4, 4, True)
+    assert tuple(result.reconciliation.collect()[0]) == (3, 3, True)
     report = result.report.collect()
     assert len(report) == 16 and all(r["failures"] == 0 for r in report)
-    # the next day, then both again
-    assert tuple(runs.run_daily(warehouse, zones, "2026-07-03", RUN_TS).summary.collect()[0]) == (1, 3, "success")
-    again = runs.run_backfill(warehouse, zones, "2026-07-01", "2026-07-02", RUN_TS)
+    # the next day, then a backfill of both
+    ts = fetch(zones, LATER_TS, page([record(3, "2026-07-02")], 2))
+    later = runs.run_daily(warehouse, zones, "2026-07-03", ts)
+    assert tuple(later.summary.collect()[0]) == (1, 3, "success")
+    assert tuple(later.reconciliation.collect()[0]) == (2, 1, False)
+    ts = fetch(zones, "2026-07-13T02:00:00Z", page([record(1), record(2, company="Beta"), record(3, "2026-07-02")]))
+    again = runs.run_backfill(warehouse, zones, "2026-07-01", "2026-07-02", ts)
     assert tuple(again.summary.collect()[0]) == (3, 3, "success")
     assert warehouse.table("marts", "fct_complaints").count() == 3
     frames = runs.read_marts(warehouse)
     assert [r["total_complaints"] for r in frames["companies"].collect()] == [2, 1]
     assert frames["coverage"].collect()[0]["total_complaints"] == 3
-    views = spark.sql("SHOW VIEWS").collect()
-    assert f"{warehouse.prefix}staging__stg_complaints" in [v["viewName"] for v in views]
-
-
-def test_record_without_a_day_is_loaded_and_one_without_a_key_fails(spark, zones, warehouse):
-    write_pages(zones.pages, page([record(1), record(2, date_received=None)]))
-    assert tuple(runs.run_daily(warehouse, zones, "2026-07-02", RUN_TS).summary.collect()[0]) == (2, 2, "success")
-    broken = runs.Zones(zones.pages + "_broken", zones.raw, zones.bronze)
-    write_pages(broken.pages, page([record(3), None]))
+    # results of earlier runs are values
+    assert tuple(result.summary.collect()[0]) == (2, 2, "success") and result.report.collect() == report
+    # the views are objects of their layers, and follow the table
+    staged, metrics = warehouse.name("staging", "stg_complaints"), warehouse.name("intermediate", "int_complaint_metrics")
+    assert spark.table(staged).count() == 3
+    warehouse.upsert(normalize_schema(spark.createDataFrame([("77",)], "complaint_id string")))
+    source = warehouse.source_table()
+    assert sorted(spark.table(metrics).collect(), key=str) == sorted(int_complaint_metrics(stg_complaints(source)).collect(), key=str)
+    assert spark.table(metrics).schema == int_complaint_metrics(stg_complaints(source)).schema
+
+
+def test_a_later_fetch_corrects_an_earlier_one(spark, zones, warehouse):
+    first = fetch(zones, RUN_TS, page([record(1, company="Old"), record(7, date_received=None, company="Undated")]))
+    runs.run_daily(warehouse, zones, "2026-07-02", first)
+    second = fetch(zones, LATER_TS, page([record(1, company="New"), record(7, company="Dated")]))
+    assert tuple(runs.run_daily(warehouse, zones, "2026-07-02", second).summary.collect()[0]) == (2, 2, "success")
+    third = fetch(zones, "2026-07-13T02:00:00Z", page([record(9, "2026-07-02")]))
+    assert tuple(runs.run_daily(warehouse, zones, "2026-07-03", third).summary.collect()[0]) == (1, 3, "success")
+    found = by_key(warehouse.source_table())
+    assert {k: r["company"] for k, r in found.items()} == {1: "New", 7: "Dated", 9: "Acmé"}
+    assert found[1]["extracted_at"] < found[9]["extracted_at"]
+
+
+def test_a_broken_fetch_fails_its_own_run_only(spark, zones, warehouse):
+    ts = fetch(zones, RUN_TS, page([record(1), record(2, date_received=None)]))
+    assert tuple(runs.run_daily(warehouse, zones, "2026-07-02", ts).summary.collect()[0]) == (2, 2, "success")
+    broken = fetch(zones, LATER_TS, page([record(3), None]))
     with pytest.raises(Exception, match="NULL in key column complaint_id"):
-        runs.run_daily(warehouse, broken, "2026-07-02", RUN_TS)
+        runs.run_daily(warehouse, zones, "2026-07-02", broken)
     assert sorted(by_key(warehouse.source_table())) == [1, 2]
+    good = fetch(zones, "2026-07-13T02:00:00Z", page([record(3)]))
+    runs.run_daily(warehouse, zones, "2026-07-02", good)
+    assert sorted(by_key(warehouse.source_table())) == [1, 2, 3]
 
 
 def test_day_without_records_changes_nothing(spark, zones, warehouse):
-    write_pages(zones.pages, page([record(1)]))
-    runs.run_daily(warehouse, zones, "2026-07-02", RUN_TS)
-    empty = runs.Zones(zones.pages + "_empty", zones.raw, zones.bronze)
-    write_pages(empty.pages, page([]))
-    assert tuple(runs.run_daily(warehouse, empty, "2026-07-05", RUN_TS).summary.collect()[0]) == (0, 1, "success")
+    runs.run_daily(warehouse, zones, "2026-07-02", fetch(zones, RUN_TS, page([record(1)])))
+    empty = fetch(zones, LATER_TS, page([]))
+    assert tuple(runs.run_daily(warehouse, zones, "2026-07-05", empty).summary.collect()[0]) == (0, 1, "success")
 
 
 def test_first_day_without_records(spark, zones, warehouse):
-    write_pages(zones.pages, page([]))
-    assert tuple(runs.run_daily(warehouse, zones, "2026-07-05", RUN_TS).summary.collect()[0]) == (0, 0, "success")
+    empty = fetch(zones, RUN_TS, page([]))
+    assert tuple(runs.run_daily(warehouse, zones, "2026-07-05", empty).summary.collect()[0]) == (0, 0, "success")
+
+
+def test_run_times_are_checked():
+    assert pages.fetch_folder("s3a://x/pages/", RUN_TS) == "s3a://x/pages/run=20260711T020000000Z"
+    for wrong in ('2026-07-11","x":"', "2026-07-11", "now", "2026-07-11T02:00:00+02:00"):
+        with pytest.raises(ValueError, match="UTC time"):
+            pages.fetch_folder("s3a://x", wrong)
 
 
 def test_typed_layer_round_trip(spark, zones):

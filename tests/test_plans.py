@@ -6,12 +6,14 @@ import re
 
 import pytest
 
+from plaintide.operators import filters
 from plaintide.operators.quality import dq_report
-from plaintide.operators.upsert import RANGE, key_range, latest_per_key
+from plaintide.operators.upsert import RANGE, RANGE_WIDTH, key_range, latest_per_key, touched_rows
 from plaintide.plans import marts, models, serving
+from plaintide.plans.runs import check_models
 from plaintide.session import scratch_dir
 from plaintide.sources import bronze as bronze_layer
-from plaintide.sources import raw
+from plaintide.sources import pages, raw
 from testbed import registry
 from tests.conftest import SF_DIR
 from tests.rows import bronze, complaint
@@ -80,6 +82,39 @@ def test_upsert_reads_the_touched_ranges(spark, warehouse):
     assert bronze(spark, [complaint(complaint_id=2_999_999)]).select(key_range()).collect()[0][0] == 2
 
 
+def test_the_ranges_of_a_batch_prune_the_table(spark, warehouse):
+    warehouse.upsert(bronze(spark, [complaint(complaint_id=k) for k in (1, 5_000_000, 9_000_000)]))
+    batch = bronze(spark, [complaint(complaint_id=5_000_001)]).persist()
+    batch.count()
+    target = touched_rows(spark.table(warehouse.name("raw", "complaints")), batch, "complaint_id", RANGE_WIDTH)
+    assert re.search(rf"PartitionFilters: \[.*dynamicpruning.*{RANGE}", plan(target))
+    assert [r["complaint_id"] for r in target.collect()] == [5_000_000]
+    batch.unpersist()
+
+
+def test_date_filters_reach_the_scan(spark, stored):
+    rows = spark.read.parquet(stored)
+    text = plan(filters.filter_received_range(rows, "2026-01-01", "2026-01-31"))
+    pushed = re.search(r"PushedFilters: \[(.*)\]", text)[1]
+    assert "GreaterThanOrEqual(date_received,2026-01-01" in pushed and "LessThan(date_received,2026-02-01" in pushed
+    text = plan(filters.lookback_window(rows, "2026-04-01"))
+    assert re.search(r"PushedFilters: \[.*GreaterThanOrEqual\(date_received,2026-01-01", text)
+
+
+def test_a_run_reads_its_own_fetch_only(spark, tmp_path):
+    one = pages.fetch_folder(str(tmp_path), "2026-07-11T02:00:00Z")
+    for run in ("2026-07-11T02:00:00Z", "2026-07-12T02:00:00Z"):
+        spark.createDataFrame([('{"hits":{}}',)], "value string").write.text(pages.fetch_folder(str(tmp_path), run))
+    files = pages.read_pages(spark, one).inputFiles()
+    assert files and all("run=20260711T020000Z" in f for f in files)
+
+
+def test_staging_keys_are_counted_with_the_table(spark, stored):
+    source = spark.read.parquet(stored)
+    built = {"complaints": source, "stg_complaints": models.stg_complaints(source)}
+    assert len(re.findall(r"^\(\d+\) Scan parquet", plan(check_models(built)), re.M)) == 1
+
+
 def test_no_python_in_any_plan(spark):
     for name in ["dim_states", "dim_products", "kpi_header", "dq_report", "upsert_by_key", "sort_created"]:
         text = plan(registry.queries()[name](spark, SF_DIR))

@@ -65,7 +65,12 @@ def test_report_lists_failures_without_raising(spark):
     built = {name: build(relation) for name, build in marts.MARTS.items()}
     report = quality.dq_report({"complaints": source, **built}).collect()
     found = {(r["model"], r["column_name"], r["test"]): r["failures"] for r in report}
-    assert len(found) == len(report) == 12
+    assert len(found) == len(report) == 16
     assert found[("complaints", "complaint_id", "unique")] == 1
     assert found[("complaints", "complaint_id", "not_null")] == 2
-    assert sum(found.values()) == 3
+    # two models are missing, with two tests each
+    assert {k[0] for k, n in found.items() if n and k[0] != "complaints"} == {"stg_complaints", "fct_complaints"}
+    assert sum(found.values()) == 7
+    shown = quality.dq_report({"complaints": source, "stg_complaints": source}, {"stg_complaints": "complaints"}).collect()
+    found = {(r["model"], r["test"]): r["failures"] for r in shown}
+    assert found[("stg_complaints", "unique")] == 1 and found[("stg_complaints", "not_null")] == 2

@@ -1,12 +1,12 @@
 from __future__ import annotations
 
-import glob
 import os
 
 import pytest
 
 from plaintide.operators import upsert
-from plaintide.operators.upsert import RANGE, finish_pending, key_range, latest_per_key, merge_rows, require_key
+from plaintide.operators.upsert import RANGE, key_range, latest_per_key, require_key
+from plaintide.sources.files import create_new, delete
 from plaintide.sources.warehouse import COMPLAINTS
 from tests.rows import bronze, by_key, complaint
 
@@ -75,7 +75,13 @@ def test_null_key_fails_and_leaves_the_table(spark, warehouse):
 
 
 def files_of(warehouse, width_range):
-    return sorted(glob.glob(os.path.join(warehouse.path("raw", COMPLAINTS), f"{RANGE}={width_range}", "*.parquet")))
+    """Files that the table reads for one range."""
+    rows = warehouse.spark.table(warehouse.name("raw", COMPLAINTS)).filter(f"{RANGE} = {width_range}")
+    return sorted(rows.inputFiles())
+
+
+def companies(warehouse):
+    return {k: r["company"] for k, r in by_key(warehouse.source_table()).items()}
 
 
 def test_only_touched_ranges_are_rewritten(spark, warehouse):
@@ -85,44 +91,101 @@ def test_only_touched_ranges_are_rewritten(spark, warehouse):
     warehouse.upsert(rows(spark, dict(complaint_id=1_000_005, company="B"), dict(complaint_id=1_000_006)))
     assert files_of(warehouse, 0) == before[0]
     assert files_of(warehouse, 9) == before[9]
-    assert files_of(warehouse, 1) != before[1]
+    assert not set(files_of(warehouse, 1)) & set(before[1])
     found = by_key(warehouse.source_table())
     assert sorted(found) == [5, 1_000_005, 1_000_006, 9_000_001]
     assert found[1_000_005]["company"] == "B"
 
 
-@pytest.mark.parametrize("listed", [1000, 1])
-def test_wide_batches_merge_the_same_rows(spark, warehouse, monkeypatch, listed):
-    monkeypatch.setattr(upsert, "MAX_LISTED_RANGES", listed)
-    warehouse.upsert(rows(spark, *[dict(complaint_id=k * 1_000_000) for k in range(6)]))
+def test_any_number_of_ranges(spark, warehouse):
+    """One way for one range and for more than a thousand, negative and very large keys included."""
+    keys = [k * 1_000_000 for k in range(-3, 1200)] + [2**62, -(2**63)]
+    one = bronze(spark, [complaint()]).drop("complaint_id")
+    many = spark.createDataFrame([(k,) for k in keys], "complaint_id long").crossJoin(one).select(bronze(spark, []).columns)
+    warehouse.upsert(many)
     between = files_of(warehouse, 2)
-    warehouse.upsert(rows(spark, *[dict(complaint_id=k * 1_000_000 + k % 2, company="B") for k in (1, 3, 4)]))
+    warehouse.upsert(rows(spark, dict(complaint_id=1_000_001, company="B"), dict(complaint_id=-3_000_000, company="B"), dict(complaint_id=2**62, company="B")))
     assert files_of(warehouse, 2) == between
-    found = {k: r["company"] for k, r in by_key(warehouse.source_table()).items()}
-    assert found == {
-        0: "Acme", 1_000_000: "Acme", 1_000_001: "B", 2_000_000: "Acme", 3_000_000: "Acme", 3_000_001: "B",
-        4_000_000: "B", 5_000_000: "Acme",
-    }
+    assert companies(warehouse) == dict.fromkeys(keys, "Acme") | {1_000_001: "B", -3_000_000: "B", 2**62: "B"}
+
+
+def test_key_ranges_are_exact(spark):
+    keys = [-(2**63), -1_000_001, -1_000_000, -1, 0, 999_999, 1_000_000, 2**53 + 1, 2**63 - 1]
+    found = spark.createDataFrame([(k,) for k in keys], "complaint_id long").select(key_range()).collect()
+    assert [r[0] for r in found] == [k // 1_000_000 for k in keys]
+
+
+def test_a_load_counts_without_the_marker_of_the_file_writer(spark, warehouse):
+    conf = spark._jsc.hadoopConfiguration()
+    conf.set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+    try:
+        assert warehouse.upsert(rows(spark, dict(complaint_id=1, company="A"), dict(complaint_id=2, company="B"))) == 2
+        assert warehouse.upsert(rows(spark, dict(complaint_id=2, company="C"))) == 1
+    finally:
+        conf.unset("mapreduce.fileoutputcommitter.marksuccessfuljobs")
+    assert companies(warehouse) == {1: "A", 2: "C"}
 
 
-def test_a_stopped_run_is_finished_by_the_next(spark, warehouse):
+def test_of_two_loads_at_once_the_later_one_fails_and_loses_nothing(spark, warehouse, monkeypatch):
+    warehouse.upsert(rows(spark, dict(complaint_id=1, company="A")))
+    real = upsert.finish
+
+    def late(spark_, location, name, before):
+        monkeypatch.setattr(upsert, "finish", real)
+        warehouse.upsert(rows(spark, dict(complaint_id=1, company="other"), dict(complaint_id=2, company="other")))
+        real(spark_, location, name, before)
+
+    monkeypatch.setattr(upsert, "finish", late)
+    mine = rows(spark, dict(complaint_id=3, company="mine"))
+    with pytest.raises(upsert.ConcurrentLoad):
+        warehouse.upsert(mine)
+    assert companies(warehouse) == {1: "other", 2: "other"}
+    warehouse.upsert(mine)
+    assert companies(warehouse) == {1: "other", 2: "other", 3: "mine"}
+
+
+def test_two_claims_stop_each_other(spark, warehouse):
+    warehouse.upsert(rows(spark, dict(complaint_id=1, company="A")))
+    claim = f"{warehouse.path('raw', COMPLAINTS)}/{upsert.CLAIMS}/load=9-x"
+    create_new(spark, claim)
+    with pytest.raises(upsert.ConcurrentLoad, match="load=9-x"):
+        warehouse.upsert(rows(spark, dict(complaint_id=2, company="B")))
+    delete(spark, claim)
+    warehouse.upsert(rows(spark, dict(complaint_id=2, company="B")))
+    assert companies(warehouse) == {1: "A", 2: "B"}
+
+
+@pytest.mark.parametrize("stop", ["finish", "point_partitions"])
+def test_a_stopped_load_is_absent_or_whole(spark, warehouse, monkeypatch, stop):
+    """Stopped before its marker a load is as if it had not been; after it, the next call finishes it."""
     warehouse.upsert(rows(spark, dict(complaint_id=1, company="A"), dict(complaint_id=2, company="B")))
-    pending = warehouse.path("raw", f"{COMPLAINTS}__pending")
-    batch = rows(spark, dict(complaint_id=2, company="C"))
-    merged = merge_rows(warehouse.source_table(), batch).withColumn(RANGE, key_range())
-    merged.write.partitionBy(RANGE).parquet(pending)
+    real, calls = getattr(upsert, stop), []
+
+    def stopped(*args):
+        calls.append(args)
+        if stop == "finish" or len(calls) == 2:
+            raise KeyboardInterrupt
+        return real(*args)
+
+    monkeypatch.setattr(upsert, stop, stopped)
+    with pytest.raises(KeyboardInterrupt):
+        warehouse.upsert(rows(spark, dict(complaint_id=2, company="C")))
+    monkeypatch.setattr(upsert, stop, real)
+    assert companies(warehouse) == {1: "A", 2: "B"}
     warehouse.upsert(rows(spark, dict(complaint_id=3, company="D")))
-    assert {k: r["company"] for k, r in by_key(warehouse.source_table()).items()} == {1: "A", 2: "C", 3: "D"}
-    assert not os.path.exists(pending)
+    assert companies(warehouse) == {1: "A", 2: "B" if stop == "finish" else "C", 3: "D"}
 
 
-def test_an_incomplete_pending_folder_is_ignored(spark, warehouse):
+def test_replaced_files_outlive_one_load(spark, warehouse):
     warehouse.upsert(rows(spark, dict(complaint_id=1, company="A")))
-    pending = warehouse.path("raw", f"{COMPLAINTS}__pending")
-    rows(spark, dict(complaint_id=7)).withColumn(RANGE, key_range()).write.partitionBy(RANGE).parquet(pending)
-    os.remove(os.path.join(pending, "_SUCCESS"))
-    finish_pending(spark, warehouse.name("raw", COMPLAINTS), pending)
-    assert sorted(by_key(warehouse.source_table())) == [1]
+    old = [f.removeprefix("file://") for f in files_of(warehouse, 0)]
+    warehouse.upsert(rows(spark, dict(complaint_id=1, company="B")))
+    assert old and all(map(os.path.exists, old))
+    for company in "CDE":
+        warehouse.upsert(rows(spark, dict(complaint_id=1, company=company)))
+    assert not any(map(os.path.exists, old))
+    assert len([n for n in os.listdir(warehouse.path("raw", COMPLAINTS)) if n.startswith(upsert.LOAD)]) == 2
+    assert companies(warehouse) == {1: "E"}
 
 
 def test_stored_data_is_found_by_a_new_catalog(spark, warehouse):
@@ -133,8 +196,8 @@ def test_stored_data_is_found_by_a_new_catalog(spark, warehouse):
 
 
 def test_empty_batch(spark, warehouse):
-    warehouse.upsert(rows(spark))
+    assert warehouse.upsert(rows(spark)) == 0
     assert warehouse.source_table().count() == 0
     warehouse.upsert(rows(spark, dict(complaint_id=1)))
-    warehouse.upsert(rows(spark))
-    assert tuple(warehouse.load_summary(rows(spark)).collect()[0]) == (0, 1, "success")
+    assert warehouse.upsert(rows(spark)) == 0
+    assert tuple(warehouse.load_summary(0).collect()[0]) == (0, 1, "success")
