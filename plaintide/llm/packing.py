@@ -17,6 +17,8 @@ from __future__ import annotations
 
 import os
 import re
+import sys
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -32,13 +34,15 @@ from plaintide.llm.shared import ship_package
 WINDOW = 1024
 PIECES = 1 << 14
 END = 0
-KNOWN = 300_000
+KNOWN = 800_000
 TEXTS = 1 << 21
 
 #: A token never spans a place where white space follows something else, so texts are encoded by such chunks.
 CHUNK = re.compile(r"[ \t\n\r]*[^ \t\n\r]+|[ \t\n\r]+")
+#: Nor does one span a letter and these marks.
+MARKS = ".,;:!?"
 #: Texts with rarer white space, or with a special token's string, are encoded whole.
-RARE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0  -     　]|<\\|endoftext\\|>")
+RARE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
 
 class Encoder:
@@ -49,24 +53,41 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.known: dict[str, bytes] = {}
 
     def whole(self, texts: list[str]) -> list[bytes]:
-        encoded = self.tokenizer.encode_batch(texts, add_special_tokens=False)
-        return [np.asarray(e.ids, "<u4").tobytes() for e in encoded]
+        """Little-endian 32-bit ids."""
+        return [ids_bytes(e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def learn(self, chunks: list[str]) -> None:
+        """Encode new chunks; a word with marks behind it is its word and the marks."""
+        stems = [c.rstrip(MARKS) for c in chunks]
+        cut = [s != c and s != "" and s[-1].isalpha() and s[-1] < "\u0250" for s, c in zip(stems, chunks, strict=True)]
+        parts = {s if k else c for s, c, k in zip(stems, chunks, cut, strict=True)}
+        parts.update(c[len(s) :] for s, c, k in zip(stems, chunks, cut, strict=True) if k)
+        fresh = list(parts.difference(self.known))
+        self.known.update(zip(fresh, self.whole(fresh), strict=True))
+        known = self.known
+        known.update((c, known[s] + known[c[len(s) :]]) for s, c, k in zip(stems, chunks, cut, strict=True) if k)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
         if len(self.known) > KNOWN:
             self.known.clear()
-        known = self.known
-        chunks = [None if RARE.search(t) else CHUNK.findall(t) for t in texts]
-        fresh = list(set().union(*(c for c in chunks if c)).difference(known))
-        known.update(zip(fresh, self.whole(fresh), strict=True))
-        get = known.__getitem__
+        chunks = [None if RARE.search(t) or any(s in t for s in self.special) else CHUNK.findall(t) for t in texts]
+        self.learn(list(set().union(*(c for c in chunks if c)).difference(self.known)))
+        get = self.known.__getitem__
         return [self.whole([t])[0] if c is None else b"".join(map(get, c)) for t, c in zip(texts, chunks, strict=True)]
 
 
+def ids_bytes(ids: list[int]) -> bytes:
+    packed = array("I", ids)
+    if sys.byteorder == "big":
+        packed.byteswap()
+    return packed.tobytes()
+
+
 @lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
     return Encoder(path)
