@@ -11,7 +11,7 @@
 4. Stars. In each bucket all nodes are compared with one leader, the node that shares most buckets with others.
    Nodes found linked become one component; buckets with several components get a further leader. What is
    still untested after STARS rounds is compared in blocks, component against component, so the pairs
-   inside a large group of copies are never made.
+   inside a large group of copies are never made; a block returns a forest of the links it finds.
 5. A candidate's similarity is estimated from the registers, corrected for chance collisions; below the
    threshold by more than six standard errors it goes. All others are confirmed on the full sets.
 
@@ -38,9 +38,9 @@ REGISTERS, BAND, MANTISSA = 128, 4, 10
 EMPTY = 65535
 SPARSE = 256
 SEEDS = np.random.default_rng(4).integers(0, 1 << 64, REGISTERS, dtype=U64)
-STARS = 3
+STARS = 2
 ERRORS = 6
-SIDE = 1024
+SIDE = 512
 
 SKETCH = pa.schema(
     [
@@ -230,7 +230,7 @@ def members(nodes: DataFrame) -> DataFrame:
         F.struct(F.lit(1).alias("kind"), F.col("dense").alias("bands")),
     )).alias("sketch")).select("node", "n", "sketch.kind", F.posexplode("sketch.bands").alias("band", "value"))
     vacant = np.full(BAND, EMPTY, np.uint16).view(np.int64)[0]
-    each = each.filter(F.col("value") != int(vacant)).select(F.xxhash64("kind", "band", "value").alias("key"), "kind", "node", "n")
+    each = each.filter(F.col("value") != int(vacant)).select(F.xxhash64("kind", "band", "value").alias("key"), "kind", "band", "node", "n")
     shared = each.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1")
     return stored(each.join(shared, "key"), "members")
 
@@ -252,17 +252,18 @@ def star_pairs(buckets: DataFrame, percent: int) -> DataFrame:
     return pairs.filter((F.col("component") != F.col("c_b")) & sizes_allow(F.col("n"), F.col("n_b"), percent)).groupBy("a", "b").agg(F.min("kind").alias("kind"))
 
 
-def block_pairs(buckets: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """All promising pairs between different components of a bucket, in tasks of SIDE by SIDE members.
+def block_links(buckets: DataFrame, nodes: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links (a, b) between all components of a bucket, found in tasks of SIDE by SIDE members on their full sets.
 
     The largest component of a bucket is not compared with itself: its blocks meet the blocks of the others,
-    and the others meet each other.
+    and the others meet each other. A pair is looked at in the first band that it shares. A task returns a
+    forest of its links, so no more rows than it has members, however many pairs are alike.
     """
     counts = buckets.groupBy("key", "component").agg(F.count("*").alias("m"))
     whole = counts.groupBy("key").agg(F.max(F.struct("m", "component")).alias("top"), F.sum("m").alias("all"))
     whole = whole.select("key", F.col("top.component").alias("main"), F.ceil(F.col("top.m") / SIDE).alias("wide"),
                          F.greatest(F.ceil((F.col("all") - F.col("top.m")) / SIDE), F.lit(1)).alias("long"))
-    rows = buckets.join(whole, "key").join(nodes.select("node", "sparse", "dense"), "node")
+    rows = buckets.join(whole, "key").join(nodes.select("node", "sparse", "dense").join(texts, "node"), "node")
     mine = F.xxhash64("node")
     is_main = F.col("component") == F.col("main")
     block = F.when(is_main, F.pmod(mine, F.col("wide"))).otherwise(F.pmod(mine, F.col("long")))
@@ -270,25 +271,70 @@ def block_pairs(buckets: DataFrame, nodes: DataFrame, percent: int) -> DataFrame
     down = F.transform(F.sequence(F.lit(0).cast("long"), F.col("wide") - 1), lambda i: F.struct(F.lit(0).alias("part"), i.alias("x"), F.col("block").alias("y")))
     among = F.transform(F.sequence(F.lit(0).cast("long"), F.col("long") - 1), lambda j: F.struct(F.lit(1).alias("part"), F.least(j, "block").alias("x"), F.greatest(j, "block").alias("y")))
     rows = rows.withColumn("block", block).withColumn("task", F.explode(F.when(is_main, across).otherwise(F.concat(down, among))))
-    rows = rows.select("key", "task.part", "task.x", "task.y", "node", "n", "component", is_main.alias("first"),
+    rows = rows.select("task.part", "node", "n", "component", "band", is_main.alias("first"), "text", "key", "task.x", "task.y",
                        F.when(F.col("kind") == 0, F.col("sparse")).otherwise(F.col("dense")).alias("r"))
 
-    def compared(f: pd.DataFrame) -> pd.DataFrame:
-        if f.part.iloc[0] == 0:
-            left, right = f[f["first"]], f[~f["first"]]
-        else:
-            left = right = f[~f["first"]]
-        found = []
-        if len(left) and len(right):
-            registers, sizes = register_rows(right.r), right.n.to_numpy()
-            ids, owners = right.node.to_numpy(), right.component.to_numpy()
-            for node, n, own, r in zip(left.node, left.n, left.component, register_rows(left.r), strict=True):
-                near = (owners != own) & (np.minimum(sizes, n) * 100 >= np.maximum(sizes, n) * percent)
-                near &= promising(r[None, :], registers, np.float64(n), sizes, percent)
-                found += [(max(node, x), min(node, x)) for x in ids[near]]
-        return pd.DataFrame(found, columns=["a", "b"]).drop_duplicates()
-
-    return rows.groupBy("key", "part", "x", "y").applyInPandas(compared, "a long, b long").distinct()
+    def linked(f: pd.DataFrame) -> pd.DataFrame:
+        f = f.sort_values("node", ignore_index=True)
+        first = f["first"].to_numpy()
+        pairs = candidates(f, np.flatnonzero(first if f.part.iloc[0] == 0 else ~first), np.flatnonzero(~first), percent)
+        return pd.DataFrame(forest(f, pairs, words, percent), columns=["a", "b"])
+
+    return rows.groupBy("key", "part", "x", "y").applyInPandas(linked, "a long, b long")
+
+
+def candidates(f: pd.DataFrame, left: np.ndarray, right: np.ndarray, percent: int) -> list[tuple[int, np.ndarray]]:
+    """For each row of the left the rows of the right that may be linked with it and were not met before."""
+    if not len(left) or not len(right):
+        return []
+    bands = np.stack(f.r.to_numpy())
+    registers, sizes, owners, band = bands.view(np.uint16), f.n.to_numpy(), f.component.to_numpy(), int(f.band.iloc[0])
+    vacant = int(np.full(BAND, EMPTY, np.uint16).view(np.int64)[0])
+    found = []
+    for i in left:
+        rest = right[owners[right] != owners[i]]
+        rest = rest[np.minimum(sizes[rest], sizes[i]) * 100 >= np.maximum(sizes[rest], sizes[i]) * percent]
+        before = (bands[rest, :band] == bands[i, :band]) & (bands[i, :band] != vacant)
+        rest = rest[~before.any(1)]
+        rest = rest[promising(registers[i][None, :], registers[rest], np.float64(sizes[i]), sizes[rest], percent)]
+        if len(rest):
+            found.append((int(i), rest))
+    return found
+
+
+def forest(f: pd.DataFrame, pairs: list[tuple[int, np.ndarray]], words: int, percent: int) -> list[tuple[int, int]]:
+    """Of the pairs that reach the threshold on their full sets, as many as join what was apart."""
+    if not pairs:
+        return []
+    rows = np.unique(np.concatenate([np.append(r, i) for i, r in pairs]))
+    batch = pa.record_batch([pa.array(f.text.iloc[rows].tolist(), pa.string())], names=["text"])
+    parts = [shingle_sets(data, offsets, words)[:2] for _, data, offsets in blocks(batch, "text")]
+    sizes = np.concatenate([np.diff(begin) for _, begin in parts])
+    _, ids = np.unique(np.concatenate([h for h, _ in parts]), return_inverse=True)
+    begin = np.concatenate([[0], np.cumsum(sizes)])
+    place = {int(r): k for k, r in enumerate(rows)}
+    nodes, owner = f.node.to_numpy(), dict(enumerate(f.component.tolist()))
+    above: dict[int, int] = {}
+
+    def root(c: int) -> int:
+        while c in above:
+            c = above[c]
+        return c
+
+    mask, links = np.zeros(len(ids) + 1, bool), []
+    for i, others in pairs:
+        own = ids[begin[place[i]] : begin[place[i] + 1]]
+        mask[own] = True
+        at = np.array([place[int(o)] for o in others])
+        hits = np.concatenate([[0], np.cumsum(mask[ids])])
+        both = hits[begin[at + 1]] - hits[begin[at]]
+        mask[own] = False
+        for o in others[100 * both >= percent * (len(own) + sizes[at] - both)]:
+            low, high = sorted((root(owner[i]), root(owner[int(o)])))
+            if low != high:
+                above[high] = low
+                links.append((int(max(nodes[i], nodes[o])), int(min(nodes[i], nodes[o]))))
+    return links
 
 
 def near_links(nodes: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
@@ -301,7 +347,7 @@ def near_links(nodes: DataFrame, texts: DataFrame, words: int, percent: int) ->
         if labels is None:
             open_ = buckets.withColumn("component", F.col("node")).withColumn("leading", F.lit(True))
         else:
-            now = buckets.filter(F.col("size") >= star + 2).join(labels, "node", "left")
+            now = buckets.filter("size > 2").join(labels, "node", "left")
             now = stored(now.withColumn("component", F.coalesce("component", "node")), "buckets")
             several = now.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high")
             counts = now.groupBy("key", "component").agg(F.count("*").alias("m")).groupBy("key").agg(F.max(F.struct("m", "component")).alias("top"))
@@ -311,11 +357,12 @@ def near_links(nodes: DataFrame, texts: DataFrame, words: int, percent: int) ->
                 break
         if star < STARS:
             pairs = estimated(star_pairs(open_, percent), nodes, percent)
+            if edges is not None:
+                pairs = pairs.join(edges, ["a", "b"], "left_anti")
+            fresh = verified(pairs, texts, words, percent)
         else:
-            pairs = block_pairs(open_, nodes, percent)
-        if edges is not None:
-            pairs = pairs.join(edges, ["a", "b"], "left_anti")
-        fresh = stored(verified(pairs, texts, words, percent), "links")
+            fresh = block_links(open_, nodes, texts, words, percent)
+        fresh = stored(fresh.select("a", "b"), "links")
         edges = fresh if edges is None else edges.unionByName(fresh)
         labels = components(edges)
     return labels
