@@ -21,9 +21,10 @@ from pyspark.sql import functions as F
 from plaintide.operators.normalize import normalize_schema
 from plaintide.operators.quality import dq_report
 from plaintide.operators.upsert import latest_per_key
-from plaintide.plans import marts, models, serving
+from plaintide.plans import marts, models, runs, serving
 from plaintide.schemas import BRONZE
 from plaintide.session import get_session, scratch_dir
+from plaintide.sources.pages import fetch_folder
 from plaintide.sources.warehouse import Warehouse
 from testbed import oracle, shape
 
@@ -88,6 +89,14 @@ def main() -> None:
         "latest_per_key": lambda: drained(latest_per_key(spark.read.schema(BRONZE).parquet(versions))),
         "upsert_by_key": lambda: warehouse.upsert(batch("R")),
     }
+    zones = runs.Zones(*[scratch_dir(spark, f"bench-{layer}") for layer in ("pages", "raw", "bronze")])
+    shape.land_pages(spark.read.schema(BRONZE).parquet(stored), fetch_folder(zones.pages, oracle.RUN_TS))
+    month = ("1996-01-01", "1996-01-31")
+    queries |= {
+        "land_raw_month": lambda: runs.land_raw(spark, zones, oracle.RUN_TS, *month),
+        "raw_to_bronze_month": lambda: runs.raw_to_bronze(spark, zones, *month),
+        "run_daily": lambda: runs.run_daily(warehouse, zones, "1996-01-10", oracle.RUN_TS),
+    }
     warehouse.upsert(batch("A"))
     warehouse.upsert(batch("N"))
     for name, query in queries.items():
