@@ -184,7 +184,7 @@ def test_replaced_files_outlive_one_load(spark, warehouse):
     for company in "CDE":
         warehouse.upsert(rows(spark, dict(complaint_id=1, company=company)))
     assert not any(map(os.path.exists, old))
-    assert len([n for n in os.listdir(warehouse.path("raw", COMPLAINTS)) if n.startswith(upsert.LOAD)]) == 2
+    assert len([n for n in os.listdir(warehouse.path("raw", COMPLAINTS)) if n.startswith(upsert.LOAD)]) == 3
     assert companies(warehouse) == {1: "E"}
 
 
