@@ -18,6 +18,7 @@ capture and give one row.
 
 from __future__ import annotations
 
+import hashlib
 import zlib
 from collections.abc import Iterator
 
@@ -132,7 +133,7 @@ class Reader:
 
 RECORD = (
     "record_id string, type string, target_uri string, concurrent_to string, refers_to string, digest string, "
-    "http_length long, payload binary, block binary"
+    "http_length long, payload_bytes long, payload_sha256 string, payload binary, block binary"
 )
 
 
@@ -146,37 +147,45 @@ def http_parts(block: bytes) -> tuple[int | None, bytes]:
     return None, body
 
 
-def parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def parser(payloads: bool):
     names = [f.split()[0] for f in RECORD.split(", ")]
     types = [pa.int64() if "long" in f else pa.binary() if "binary" in f else pa.string() for f in RECORD.split(", ")]
 
     def batch_of(rows: list[tuple]) -> pa.RecordBatch:
         return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)
 
-    for batch in batches:
-        for content in batch.column(0):
-            rows, size = [], 0
-            for fields, block in Reader(content.as_py()).records():
-                kind = fields.get("warc-type")
-                length, body = http_parts(block) if kind in ("response", "revisit") else (None, None)
-                rows.append((
-                    fields.get("warc-record-id"), kind, fields.get("warc-target-uri"), fields.get("warc-concurrent-to"),
-                    fields.get("warc-refers-to"), fields.get("warc-payload-digest"), length,
-                    body if kind == "response" else None, None if kind == "response" else block,
-                ))
-                size += len(block)
-                if size > 1 << 22:
+    def row(fields: dict[str, str], block: bytes) -> tuple:
+        kind = fields.get("warc-type")
+        whole = kind == "response"
+        length, body = http_parts(block) if kind in ("response", "revisit") else (None, None)
+        return (
+            fields.get("warc-record-id"), kind, fields.get("warc-target-uri"), fields.get("warc-concurrent-to"),
+            fields.get("warc-refers-to"), fields.get("warc-payload-digest"), length,
+            len(body) if whole else None, hashlib.sha256(body).hexdigest() if whole else None,
+            body if whole and payloads else None, None if whole else block,
+        )
+
+    def parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for content in batch.column(0):
+                rows, size = [], 0
+                for fields, block in Reader(content.as_py()).records():
+                    rows.append(row(fields, block))
+                    size += len(block)
+                    if size > 1 << 22:
+                        yield batch_of(rows)
+                        rows, size = [], 0
+                if rows:
                     yield batch_of(rows)
-                    rows, size = [], 0
-            if rows:
-                yield batch_of(rows)
 
+    return parsed
 
-def read_archives(spark: SparkSession, folder: str) -> DataFrame:
-    """One row per record of all archives of a folder."""
+
+def read_archives(spark: SparkSession, folder: str, payloads: bool = True) -> DataFrame:
+    """One row per record of all archives of a folder; payloads are read and digested, and returned if wanted."""
     ship_package(spark)
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*part-*").load(folder)
-    return files.select("content").mapInArrow(parsed, RECORD)
+    return files.select("content").mapInArrow(parser(payloads), RECORD)
 
 
 def assemble(records: DataFrame) -> DataFrame:
@@ -201,9 +210,7 @@ def assemble(records: DataFrame) -> DataFrame:
     metadata = anchored(records.filter("type = 'metadata'").drop("payload"), links)
     asked = requests.groupBy(F.col("anchor").alias("record_id")).agg(F.min(small).alias("request"))
     told = metadata.groupBy(F.col("anchor").alias("record_id")).agg(F.sort_array(F.collect_list(small)).alias("metadata"))
-    # What is derived from a payload is derived before the joins, so that these need not carry it.
-    sizes = {"payload_bytes": F.octet_length("payload").cast("long"), "payload_sha256": F.sha2("payload", 256)}
-    whole = answers.withColumns(sizes).join(asked, "record_id", "left").join(told, "record_id", "left")
+    whole = answers.join(asked, "record_id", "left").join(told, "record_id", "left")
     response = F.struct("type", "target_uri", "refers_to", "digest", "http_length", "payload_bytes", "payload_sha256", "payload")
     none = F.array().cast(whole.schema["metadata"].dataType)
     return whole.select("record_id", response.alias("response"), "request", F.coalesce("metadata", none).alias("metadata"))
@@ -225,9 +232,9 @@ def payload_report(assembled: DataFrame) -> DataFrame:
     return rows.join(spread, ["first", "slice"], "left").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
-def archived(pages: DataFrame, folder: str | None = None, least: int = LEAST) -> DataFrame:
-    """The captures of ``pages``, written to archives and read back."""
+def archived(pages: DataFrame, folder: str | None = None, least: int = LEAST, payloads: bool = True) -> DataFrame:
+    """The captures of ``pages``, written to archives and read back; without ``payloads`` their digests only."""
     spark = pages.sparkSession
     folder = folder or shared_folder(spark, "warc")
     write_archives(pages, folder, least)
-    return assemble(stored(read_archives(spark, folder), "records"))
+    return assemble(stored(read_archives(spark, folder, payloads), "records"))
