@@ -23,10 +23,14 @@ from plaintide.llm.shared import ship_package
 
 LEVEL = 3
 CHUNK = 4096
-CHUNK_LIMITS = (1.2, 3.5)
+CHUNK_LIMITS = (1.45, 3.5)
 CHUNKS_OUTSIDE = 0.2
 #: (bytes from, least ratio, greatest ratio); below 128 bytes the frame itself weighs too much for a lower limit.
-BANDS = [(0, 0.0, 3.0), (128, 1.0, 2.8), (512, 1.2, 3.2), (2048, 1.3, 4.0), (16384, 1.4, 5.0)]
+#: From 192 bytes on a least ratio lies above base64 at the band's end and below clean text at its start.
+BANDS = [
+    (0, 0.0, 3.0), (128, 1.0, 2.8), (192, 1.09, 2.8), (256, 1.16, 2.8), (384, 1.22, 2.8), (512, 1.3, 3.2),
+    (1024, 1.38, 3.2), (2048, 1.42, 4.0), (4096, 1.45, 4.0), (16384, 1.45, 5.0),
+]
 LEAST_WORDS = 20
 WINDOW = 8
 REPEATED_PERCENT = 30

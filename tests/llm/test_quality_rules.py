@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import base64
 import random
 import re
 
+import pytest
 import zstandard
 
 from plaintide.llm import quality_rules as rules
@@ -68,3 +70,41 @@ def test_repeated_rows_and_empty_tables(documents):
     rows = documents([(None, "x"), (1, "x"), (1, "x")])
     assert [v for _, v in found(rows)] == [plain("x")] * 3
     assert found(rows.limit(0)) == []
+
+
+def encoded(size, seed=0, line=76):
+    text = base64.b64encode(random.Random(seed).randbytes(size)).decode()
+    return "\n".join(text[i : i + line] for i in range(0, size, line))[:size]
+
+
+@pytest.fixture(scope="module")
+def clean(spark):
+    """Clean rows by their labels, of each language."""
+    docs, labels = (spark.read.parquet(f"{SF_DIR}/../sf0.01/{n}.parquet") for n in ("documents", "labels"))
+    rows = docs.join(labels.filter("quality = 1").select("doc_id"), "doc_id").collect()
+    return [r for r in rows if len(r.text.encode()) >= 192]
+
+
+def verdicts(documents, texts):
+    return [r.kept for r in sorted(rules.quality_rules(documents(list(enumerate(texts)))).collect(), key=lambda r: r.doc_id)]
+
+
+def test_base64_at_the_ends_of_the_bands(documents):
+    """Below 1,540 bytes such texts have too few words as well, so the limits are looked at by themselves."""
+    starts = [a for a, *_ in rules.BANDS][2:]
+    sizes = sorted({*starts, *(a - 1 for a in starts[1:]), 1600, 3000, 12000, 16000, 17000, 60000})
+    texts = [encoded(n, s, line) for n in sizes for s in range(3) for line in (64, 76, 10**6)]
+    frame = rules.quality_rules(documents(list(enumerate(texts))))
+    assert [r.doc_id for r in frame.filter(rules.within_bands()).collect()] == []
+    assert not any(verdicts(documents, texts))
+
+
+def test_base64_as_part_of_a_long_text(documents, clean):
+    long = [r.text for r in clean if len(r.text) >= 20000]
+    assert long and not any(verdicts(documents, [t[:20000] + "\n" + encoded(20000, i) for i, t in enumerate(long)]))
+
+
+def test_clean_texts_of_each_language_are_inside(documents, clean):
+    assert {r.lang for r in clean} == {"en", "de", "fr", "es"}
+    frame = rules.quality_rules(documents([(r.doc_id, r.text) for r in clean]))
+    assert frame.filter(~rules.within_bands() | (rules.F.col("n_chunks_outside") > 0)).collect() == []
