@@ -1,9 +1,13 @@
 """Quality rules: a few counts of a text, and bands of its zstandard compression ratio.
 
-The ratio (bytes by compressed bytes) of the whole text and of each full chunk of CHUNK bytes must lie between
-limits. A whole text's limits depend on its length, as short texts compress less: repetitive text lies above
-them, random or encoded text below. A text is rejected if its own ratio is outside, or if more than a fifth of
-its chunks are: that finds long repetitive parts of an ordinary text.
+The ratio (bytes by compressed bytes) of the whole text and of its chunks must lie between limits, which depend on
+the length, as short texts compress less: repetitive text lies above them, random or encoded text below. A text is
+rejected if its own ratio is outside, or if chunks outside hold more than a fifth of its bytes: that finds
+repetitive and encoded parts of an ordinary text.
+
+Chunks of CHUNK bytes see repetitions of a long period. Each is cut into parts of an eighth of the text at most (PART
+bytes at least), which see junk that a chunk dilutes. The last chunk and part may be shorter. The bytes of a
+chunk are outside if it is, or else those of its parts that are.
 
 Words are ``[^\\x20\\x09-\\x0D]+``. Null and empty texts have no words, a ratio of zero, and fail the base rules.
 One pass, no shuffle; a row does not depend on any other, so repeated rows and null ids are returned as they are.
@@ -24,7 +28,8 @@ from plaintide.llm.shared import ship_package
 LEVEL = 3
 CHUNK = 4096
 CHUNK_LIMITS = (1.45, 3.5)
-CHUNKS_OUTSIDE = 0.2
+PART = 256
+BYTES_OUTSIDE = 0.2
 #: (bytes from, least ratio, greatest ratio); below 128 bytes the frame itself weighs too much for a lower limit.
 #: From 192 bytes on a least ratio lies above base64 at the band's end and below clean text at its start.
 BANDS = [
@@ -38,7 +43,7 @@ REPEATED_PERCENT = 30
 SYMBOL = np.isin(np.arange(256), list(b"#*$%&|<>"))
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-RATIOS = ["n_bytes", "n_chunks", "n_chunks_outside"]
+RATIOS = ["n_bytes", "n_chunks", "n_chunks_outside", "n_bytes_outside"]
 
 
 def per_document(flags: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -85,13 +90,36 @@ def repeated_words(data: np.ndarray, found: Words) -> np.ndarray:
     return per_document(np.cumsum(change[:-1]) > 0, found.offsets)
 
 
-def ratios(raw: bytes, compress) -> tuple[float, int, int]:
-    """Ratio of the whole text, its full chunks, and how many of them lie outside the chunk limits."""
+def limits(size: int) -> tuple[float, float]:
+    """Least and greatest ratio of a chunk or part of so many bytes."""
+    return CHUNK_LIMITS if size == CHUNK else next((low, high) for least, low, high in reversed(BANDS) if size >= least)
+
+
+def part_size(size: int) -> int:
+    """The greatest power of two up to an eighth of a text, from PART to CHUNK."""
+    return min(max(1 << (size // 8).bit_length() >> 1, PART), CHUNK)
+
+
+def ratios(raw: bytes, compress) -> tuple[float, int, int, int]:
+    """Ratio of the whole text, its chunks, how many of them lie outside their limits, and the bytes outside."""
     if not raw:
-        return 0.0, 0, 0
-    chunks = range(0, len(raw) - CHUNK + 1, CHUNK)
-    outside = sum(not CHUNK_LIMITS[0] <= CHUNK / len(compress(raw[i : i + CHUNK])) <= CHUNK_LIMITS[1] for i in chunks)
-    return len(raw) / len(compress(raw)), len(chunks), outside
+        return 0.0, 0, 0, 0
+
+    def outside(piece: bytes) -> bool:
+        low, high = limits(len(piece))
+        return not low <= len(piece) / len(compress(piece)) <= high
+
+    step = part_size(len(raw))
+    chunks = [raw[i : i + CHUNK] for i in range(0, len(raw), CHUNK)]
+    n_outside = bytes_outside = 0
+    for chunk in chunks:
+        if outside(chunk):
+            n_outside += 1
+            bytes_outside += len(chunk)
+        elif step < len(chunk):
+            parts = (chunk[i : i + step] for i in range(0, len(chunk), step))
+            bytes_outside += sum(len(p) for p in parts if outside(p))
+    return len(raw) / len(compress(raw)), len(chunks), n_outside, bytes_outside
 
 
 def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -113,6 +141,7 @@ def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 np.diff(offsets),
                 np.array([r[1] for r in ratio]),
                 np.array([r[2] for r in ratio]),
+                np.array([r[3] for r in ratio]),
             ]
             arrays = [batch.column(0)[rows], *(pa.array(c, pa.int64()) for c in counts), pa.array([r[0] for r in ratio], pa.float64())]
             yield pa.record_batch(arrays, names=["id", *COUNTS, *RATIOS, "ratio"])
@@ -128,11 +157,11 @@ def within_bands() -> Column:
 
 
 def quality_rules(documents: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document: id, the counts, ratio, n_chunks, n_chunks_outside, base_failed, kept."""
+    """One row per document: id, the counts, ratio, n_chunks, n_chunks_outside, n_bytes_outside, base_failed, kept."""
     ship_package(documents.sparkSession)
     rows = documents.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text"))
     counts = ", ".join(f"{c} long" for c in [*COUNTS, *RATIOS])
     found = rows.mapInArrow(measured, f"id long, {counts}, ratio double")
     base_failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > REPEATED_PERCENT * F.col("n_words"))
-    chunks_fine = F.col("n_chunks_outside") <= CHUNKS_OUTSIDE * F.col("n_chunks")
+    chunks_fine = F.col("n_bytes_outside") <= BYTES_OUTSIDE * F.col("n_bytes")
     return found.withColumns({"base_failed": base_failed, "kept": ~base_failed & within_bands() & chunks_fine}).withColumnRenamed("id", id)

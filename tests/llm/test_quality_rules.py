@@ -108,3 +108,31 @@ def test_clean_texts_of_each_language_are_inside(documents, clean):
     assert {r.lang for r in clean} == {"en", "de", "fr", "es"}
     frame = rules.quality_rules(documents([(r.doc_id, r.text) for r in clean]))
     assert frame.filter(~rules.within_bands() | (rules.F.col("n_chunks_outside") > 0)).collect() == []
+
+
+def cut(text, size):
+    return text.encode()[:size].decode("utf-8", "ignore")
+
+
+@pytest.mark.parametrize("size,junk", [(4096, 2500), (2500, 2500), (2500, 1500), (2000, 2000), (1000, 600), (6000, 2500)])
+def test_junk_without_words_at_the_end(documents, clean, size, junk):
+    texts = [cut(r.text, size) for r in clean if len(r.text.encode()) >= size]
+    assert texts and all(verdicts(documents, texts))
+    assert not any(verdicts(documents, [t + "=-=-" * (junk // 4) for t in texts]))
+
+
+@pytest.mark.parametrize("before,size,after", [(4096, 4000, 0), (2000, 3000, 3000), (1500, 900, 0), (0, 1000, 3000), (9000, 5000, 4000)])
+def test_base64_among_prose(documents, clean, before, size, after):
+    texts = [r.text for r in clean if len(r.text) >= before + after]
+    assert texts
+    mixed = [t[:before] + "\n" + encoded(size, i) + "\n" + t[before : before + after] for i, t in enumerate(texts)]
+    assert not any(verdicts(documents, mixed))
+
+
+def test_parts_are_small_and_cover_the_text():
+    for size in (1, 255, 2047, 2048, 4095, 4096, 9000, 32767, 32768, 10**6):
+        step = rules.part_size(size)
+        assert rules.CHUNK % step == 0 and rules.PART <= step <= max(size // 8, rules.PART)
+    compress = zstandard.ZstdCompressor(level=3).compress
+    raw = random.Random(1).randbytes(9001)
+    assert rules.ratios(raw, compress)[1:] == (3, 3, 9001)
