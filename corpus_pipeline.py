@@ -9,10 +9,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from plaintide.llm.exact_dedup import exact_dedup
+from plaintide.llm.exact_dedup import exact_dedup, squeezed
 from plaintide.llm.hyperminhash import near_dedup
 from plaintide.llm.packing import pack
 from plaintide.llm.quality_classifier import fit, scored
@@ -22,10 +22,9 @@ from plaintide.llm.suffix_dedup import removed_repeats
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
-def kept_rows(docs: DataFrame, decisions: DataFrame) -> DataFrame:
-    """The rows whose id was kept; null ids are matched with null."""
-    ids = decisions.filter("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
-    return docs.join(ids.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("_kept_id")), "left_semi")
+def with_key(docs: DataFrame, key: Column, kept: DataFrame) -> DataFrame:
+    """The rows whose key is a ``_key`` of kept, with it."""
+    return docs.withColumn("_key", key).join(kept.hint("shuffle_hash"), "_key", "left_semi")
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,12 +34,34 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return kept_rows(docs, exact_dedup(docs))
+    """The row of each group of copies that is kept; of rows that share its id, the longest text's, then least hash's.
+
+    Rows that agree in id and text are one document here; the near stage leaves one of them.
+    """
+
+    def key(id: str, sha256: Column) -> Column:
+        return F.concat_ws(":", F.coalesce(F.col(id).cast("string"), F.lit("")), sha256)
+
+    kept = exact_dedup(docs).filter("kept").select(key("doc_id", F.col("text_sha256")).alias("_key")).distinct()
+    rows = with_key(docs, key("doc_id", F.sha2(squeezed(F.col("text")).cast("binary"), 256)), kept)
+    text = F.coalesce("text", F.lit(""))
+    best = Window.partitionBy("_key").orderBy(F.length(text).desc(), F.xxhash64(text))
+    return rows.withColumn("_rank", F.rank().over(best)).filter("_rank = 1").select(*docs.columns)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that is linked on five-word shingles at a similarity of 0.8."""
-    return kept_rows(docs, near_dedup(docs, words=5, percent=80))
+    """One row of each group that is linked on five-word shingles at a similarity of 0.8: the least id, null last.
+
+    A document is an id and a text, named by a hash of both, so a null or shared id joins no other text.
+    """
+    name = F.xxhash64(F.col("doc_id").isNull(), "doc_id", F.coalesce("text", F.lit("")))
+    named = docs.select(name.alias("_key"), "doc_id", "text")
+    decisions = near_dedup(named, id="_key", words=5, percent=80).select("_key", "component_id")
+    order = F.struct(F.col("doc_id").isNull().alias("absent"), "doc_id", "_key")
+    members = decisions.distinct().join(named.select("_key", "doc_id").distinct(), "_key")
+    kept = members.groupBy("component_id").agg(F.min(order).alias("first")).select(F.col("first._key").alias("_key"))
+    one = Window.partitionBy("_key").orderBy(*docs.columns)
+    return with_key(docs, name, kept).withColumn("_row", F.row_number().over(one)).filter("_row = 1").select(*docs.columns)
 
 
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -89,3 +89,42 @@ def test_edges(spark, documents):
         assert stage(spark, docs.limit(0), SF_DIR).collect() == []
     exact = sorted([(r.doc_id, r.text) for r in STAGE["exact_dedup"](spark, docs, SF_DIR).collect()], key=repr)
     assert exact == sorted([(3, text), (3, text), (5, text + "x"), (6, " \n")], key=repr)
+
+
+def words(seed, count=60):
+    r = np.random.default_rng(seed)
+    return " ".join("".join(r.choice(list("etaoinshrdlu"), 7)) for _ in range(count))
+
+
+def test_repeated_rows_null_ids_and_shared_ids_through_all_stages(spark, documents):
+    a, b, c, d, e, f = (words(i) for i in range(6))
+    near_f = f.replace(f.split(" ")[30], "changed")
+    rows = [
+        (1, a), (1, a), (None, a), (None, a),  # a repeated row, and copies of it without ids
+        (None, b), (None, b), (None, c),  # documents of their own without ids
+        (3, d), (4, d), (4, e),  # an id that is shared by a copy and another document
+        (5, f), (None, near_f), (5, near_f),  # near copies without an id, and under the id itself
+        (None, c.replace(" ", "  ")), (7, None), (7, ""), (None, None),
+    ]
+    docs = documents(rows)
+    for name in ("exact_dedup", "near_dedup"):
+        docs = spark.createDataFrame(STAGE[name](spark, docs, SF_DIR).collect(), docs.schema)
+    (kept_f,) = [r.text for r in docs.collect() if r.doc_id == 5]
+    assert kept_f in (f, near_f)
+    texts = sorted([(r.doc_id, r.text) for r in docs.collect() if r.text], key=repr)
+    assert texts == sorted([(1, a), (None, b), (None, c.replace(" ", "  ")), (3, d), (4, e), (5, kept_f)], key=repr)
+    assert [r.doc_id for r in docs.collect() if not r.text] == [7]
+    rest = STAGE["suffix_dedup"](spark, docs, SF_DIR)
+    assert rows_of(rest) == rows_of(docs)
+    pieces = STAGE["packing"](spark, rest.filter("doc_id is not null"), SF_DIR).collect()
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    for i, text in texts:
+        if i is not None:
+            ids = np.concatenate([np.frombuffer(r.ids, "<u4") for r in sorted(pieces, key=lambda r: r.start) if r.doc_id == i])
+            assert ids.tolist() == [*tokenizer.encode(text, add_special_tokens=False).ids, 0]
+
+
+def test_exact_tells_the_texts_of_one_id_apart(spark, documents):
+    docs = documents([(3, "some words"), (None, "some words"), (None, "other words"), (4, "a text"), (4, "some words"), (5, "a b"), (5, "ab")])
+    found = sorted([(r.doc_id, r.text) for r in STAGE["exact_dedup"](spark, docs, SF_DIR).collect()], key=repr)
+    assert found == sorted([(3, "some words"), (None, "other words"), (4, "a text"), (5, "a b")], key=repr)
