@@ -27,7 +27,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return payload_report(archived(spark.read.parquet(f"{sf_dir}/pages.parquet"), payloads=False))
+    return payload_report(archived(spark.read.parquet(f"{sf_dir}/pages.parquet"), payloads=False, every=True))
 
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,7 +13,7 @@ response that many revisits refer to: that join is dealt over slices.
 
 Payloads are equal if their SHA-256 is. A null payload is empty. Of equal payloads of at least ``least`` bytes the
 one with the smallest page_id (null last) is the response. Rows that agree in page_id, url and html are one
-capture and give one row.
+capture and give one row, or as many as were archived with ``every``.
 """
 
 from __future__ import annotations
@@ -188,8 +188,12 @@ def read_archives(spark: SparkSession, folder: str, payloads: bool = True) -> Da
     return files.select("content").mapInArrow(parser(payloads), RECORD)
 
 
-def assemble(records: DataFrame) -> DataFrame:
-    """One nested row per capture: record_id, response, request (null if absent), metadata (a list)."""
+def assemble(records: DataFrame, every: bool = False) -> DataFrame:
+    """One nested row per capture: record_id, response, request (null if absent), metadata (a list).
+
+    With ``every``, a capture whose response is there more than once gives a row for each.
+    """
+    copies = records.filter("type in ('response', 'revisit')").groupBy("record_id").agg(F.count("*").alias("copies"))
     records = records.dropDuplicates(["record_id"])
     answers = records.filter("type in ('response', 'revisit')")
     named = answers.select(F.col("record_id").alias("named"), F.col("record_id").alias("anchor")).unionByName(
@@ -212,6 +216,9 @@ def assemble(records: DataFrame) -> DataFrame:
     told = metadata.groupBy(F.col("anchor").alias("record_id")).agg(F.sort_array(F.collect_list(small)).alias("metadata"))
     whole = answers.join(asked, "record_id", "left").join(told, "record_id", "left")
     response = F.struct("type", "target_uri", "refers_to", "digest", "http_length", "payload_bytes", "payload_sha256", "payload")
+    if every:
+        times = F.array_repeat(F.lit(0), F.coalesce(F.col("copies"), F.lit(1)).cast("int"))
+        whole = whole.join(copies.filter("copies > 1"), "record_id", "left").withColumn("copy", F.explode(times)).drop("copies", "copy")
     none = F.array().cast(whole.schema["metadata"].dataType)
     return whole.select("record_id", response.alias("response"), "request", F.coalesce("metadata", none).alias("metadata"))
 
@@ -227,14 +234,17 @@ def payload_report(assembled: DataFrame) -> DataFrame:
         F.col("response.type").alias("record_type"),
         F.col("response.refers_to").alias("first"),
     ).withColumn("slice", slice_of("record_id"))
-    first = rows.select(F.col("record_id").alias("first"), F.col("page_id").alias("refers_to"))
+    first = rows.select(F.col("record_id").alias("first"), F.col("page_id").alias("refers_to")).dropDuplicates(["first"])
     spread = rows.filter("first is not null").select("first", "slice").distinct().join(first, "first")
     return rows.join(spread, ["first", "slice"], "left").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
-def archived(pages: DataFrame, folder: str | None = None, least: int = LEAST, payloads: bool = True) -> DataFrame:
-    """The captures of ``pages``, written to archives and read back; without ``payloads`` their digests only."""
+def archived(pages: DataFrame, folder: str | None = None, least: int = LEAST, payloads: bool = True, every: bool = False) -> DataFrame:
+    """The captures of ``pages``, written to archives and read back; without ``payloads`` their digests only.
+
+    With ``every``, each row of ``pages`` gives one.
+    """
     spark = pages.sparkSession
     folder = folder or shared_folder(spark, "warc")
     write_archives(pages, folder, least)
-    return assemble(stored(read_archives(spark, folder, payloads), "records"))
+    return assemble(stored(read_archives(spark, folder, payloads), "records"), every)

@@ -7,6 +7,7 @@ import hashlib
 
 import pytest
 
+from plaintide.llm.queries import op1_warc
 from plaintide.llm.warc import archived, assemble, payload_report, read_archives
 from tests.conftest import SF_DIR
 
@@ -70,3 +71,11 @@ def test_foreign_archives(spark, tmp_path, pack):
     (row,) = assemble(read_archives(spark, str(tmp_path))).collect()
     assert row.record_id == "<r>" and row.request.record_id == "<q>" and [m.record_id for m in row.metadata] == ["<m1>", "<m2>"]
     assert bytes(row.response.payload) == b"\xff\r\n\r\n" and row.response.target_uri == "http://a/?x:y"
+
+
+def test_query_returns_every_row(spark, tmp_path):
+    """Equal rows of a response, of its revisit, and of a page too short to be referred to."""
+    rows = [(1, "u", "q" * 200)] * 2 + [(2, "v", "q" * 200)] * 3 + [(3, "w", "short")] * 2 + [(4, "x", "z" * 200)]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = sorted([(r.page_id, r.record_type, r.refers_to) for r in op1_warc(spark, str(tmp_path)).collect()], key=repr)
+    assert got == [(1, "response", None)] * 2 + [(2, "revisit", 1)] * 3 + [(3, "response", None)] * 2 + [(4, "response", None)]
