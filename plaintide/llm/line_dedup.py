@@ -11,8 +11,9 @@ code points or more found in ``fewest`` documents or more lose all their lines,
    a third of all documents hold is neither one task nor one group.
 3. The keys confirmed go back to the documents that hold them.
 
-Each row is one document. Null ids count as the smallest; rows that share the largest id all keep the line. Null
-and empty texts are one empty line.
+Rows that share an id are one document to the count, and all keep the line if their id is the largest; each row is
+returned. Null ids count as the smallest, and each text without an id as a document. Null and empty texts are one
+empty line.
 """
 
 from __future__ import annotations
@@ -150,6 +151,14 @@ def dropper(shortest: int):
     return rows
 
 
+def one_row_per_document(found: DataFrame, rows: DataFrame) -> DataFrame:
+    """(key, slice, id) once per key and document. Only rows of repeated ids are compared, so others combine map-side."""
+    repeated = stored(rows.groupBy("document").count().filter("count > 1").select("document"), "repeated")
+    once = found.join(repeated, "document", "left_anti").select("key", "slice", "id")
+    more = found.join(repeated, "document", "left_semi").select("key", "slice", "id", "document").distinct()
+    return once.unionByName(more.drop("document"))
+
+
 def line_dedup(documents: DataFrame, id: str = "doc_id", text: str = "text", shortest: int = SHORTEST, fewest: int = FEWEST) -> DataFrame:
     """One row per document: id, text without the lines dropped, n_lines before, n_dropped."""
     spark = documents.sparkSession
@@ -157,8 +166,11 @@ def line_dedup(documents: DataFrame, id: str = "doc_id", text: str = "text", sho
     rows = documents.select(F.col(id).cast("long").alias("id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("mark"), F.col(text).alias("text"))
     held = spark.sparkContext.broadcast(twice_seen(rows.select("text"), shortest))
     found = rows.mapInArrow(suspects(held, shortest), "id long, mark long, hash long, key binary")
-    found = stored(found.withColumn("slice", slice_of("id", "mark")), "suspects")
-    partial = found.groupBy("key", "slice").agg(F.count("*").alias("n"), F.max("id").alias("last"))
+    # The bits of a null id's mark tell texts apart, and its flag tells them from ids.
+    document = F.struct(F.col("id").isNull().alias("absent"), F.coalesce("id", "mark").alias("number")).alias("document")
+    found = stored(found.withColumn("slice", slice_of(F.coalesce("id", "mark"))), "suspects")
+    partial = one_row_per_document(found.withColumn("document", document), rows.select(document))
+    partial = partial.groupBy("key", "slice").agg(F.count("*").alias("n"), F.max("id").alias("last"))
     often = spread_totals(partial, ["key"], {"n": F.sum("n"), "last": F.max("last")}).filter(F.col("n") >= fewest)
     drops = found.join(often.select("key", "slice", "last"), ["key", "slice"]).filter(~F.col("id").eqNullSafe(F.col("last")))
     drops = drops.groupBy(F.col("id").alias("_id"), F.col("mark").alias("_mark")).agg(F.collect_set("hash").alias("drops"))

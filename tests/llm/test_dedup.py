@@ -224,3 +224,15 @@ def test_line_edges(documents):
     frame = documents(rows)
     assert line_rows(frame) == plain_lines(rows)
     assert line_rows(frame.limit(0)) == []
+
+
+def test_line_holders_are_documents(documents):
+    """Of two documents one is there twice, also with another text: the line stays. With a third document it goes."""
+    line = "a line of two documents only"
+    rows = [(1, line + "\none"), (2, line + "\ntwo"), (2, line + "\ntwo"), (2, "x\n" + line)]
+    assert [(n, t) for _, _, n, t in line_rows(documents(rows))] == [(0, t) for _, t in sorted(rows)]
+    found = line_rows(documents([*rows, (3, line)]))
+    assert [n for *_, n, _ in found] == [1, 1, 1, 1, 0]
+    null = [(None, line), (None, line), (1, line)]
+    assert [n for *_, n, _ in line_rows(documents(null))] == [0, 0, 0]
+    assert sorted(n for *_, n, _ in line_rows(documents([*null, (None, "y\n" + line)]))) == [0, 1, 1, 1]
