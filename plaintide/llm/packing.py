@@ -29,6 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from plaintide.llm.byte_bpe import piece_encoder
 from plaintide.llm.shared import ship_package
 
 WINDOW = 1024
@@ -53,6 +54,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.piece = piece_encoder(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.known: dict[str, bytes] = {}
 
@@ -66,8 +68,8 @@ class Encoder:
         cut = [s != c and s != "" and s[-1].isalpha() and s[-1] < "\u0250" for s, c in zip(stems, chunks, strict=True)]
         parts = {s if k else c for s, c, k in zip(stems, chunks, cut, strict=True)}
         parts.update(c[len(s) :] for s, c, k in zip(stems, chunks, cut, strict=True) if k)
-        fresh = list(parts.difference(self.known))
-        self.known.update(zip(fresh, self.whole(fresh), strict=True))
+        piece = self.piece
+        self.known.update((p, ids_bytes(piece(p))) for p in parts.difference(self.known))
         known = self.known
         known.update((c, known[s] + known[c[len(s) :]]) for s, c, k in zip(stems, chunks, cut, strict=True) if k)
 

@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plaintide.llm.alignment import align, linked_counts
 from plaintide.llm.exact_dedup import exact_dedup
 from plaintide.llm.hyperminhash import near_dedup
 from plaintide.llm.line_dedup import line_dedup
@@ -15,8 +16,11 @@ from plaintide.llm.packing import pack
 from plaintide.llm.quality_classifier import quality_scores
 from plaintide.llm.quality_rules import quality_rules
 from plaintide.llm.sentencepiece_codec import decode, encode
+from plaintide.llm.shared import stored
+from plaintide.llm.spelling import spelling_variants, vocabulary
 from plaintide.llm.suffix_dedup import suffix_dedup
 from plaintide.llm.token_counts import token_counts
+from plaintide.llm.url_filter import RULES, url_filter
 from plaintide.llm.warc import archived, payload_report
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -76,6 +80,22 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Group texts are digested before the rows are stored for the second pass."""
+    paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    digest = F.when(F.col("n_a") > 0, F.sha2(F.col("groups").cast("binary"), 256)).otherwise(F.lit(""))
+    aligned = align(documents(spark, sf_dir), *paths).withColumn("groups_sha256", digest).drop("groups")
+    return linked_counts(stored(aligned, "aligned"), *paths)
+
+
+def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter(spark.read.parquet(f"{sf_dir}/pages.parquet"), RULES)
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(vocabulary(documents(spark, sf_dir), delete_every=31))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_warc": op1_warc,
@@ -88,6 +108,9 @@ def queries() -> dict[str, Query]:
         "op8_line_dedup": op8_line_dedup,
         "op9_sentencepiece": op9_sentencepiece,
         "op10_quality_classifier": op10_quality_classifier,
+        "op11_alignment": op11_alignment,
+        "op12_url_filter": op12_url_filter,
+        "op13_spelling": op13_spelling,
     }
 
 
