@@ -20,7 +20,6 @@ as often as they occur. An empty table gives no rows; extra columns are not read
 
 from __future__ import annotations
 
-import re
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
@@ -32,19 +31,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plaintide.llm.byte_bpe import byte_of_character, piece_encoder
+from plaintide.llm.byte_bpe import Recent, byte_of_character, piece_encoder, units_of
 from plaintide.llm.shared import ship_package
 
-#: Characters of text in one set of arrays; units kept in each of two generations, and the longest one that is.
+#: Characters of text in one set of arrays; units kept in each of two generations.
 STRETCH = 1 << 20
-KNOWN = 250_000
-LONGEST = 64
+KNOWN = 200_000
 SLOTS = 21
 SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
-CUT = re.compile(r"(?<=[^ ])(?= \S)")
-#: White space that is not one space before a solid character.
-UNEVEN = re.compile(r"^\s| (?:\s|$)")
 MARKED = "▁"
 
 
@@ -68,8 +63,7 @@ class Vocabularies:
         self.codes = self.pairs()
         self.slots = np.full(1 << SLOTS, -1, np.int64)
         self.slots[self.slot(self.codes)] = np.arange(len(self.codes))
-        self.known: dict[str, tuple[bytes, bytes]] = {}
-        self.older: dict[str, tuple[bytes, bytes]] = {}
+        self.recent = Recent(KNOWN)
         self.bad: set[str] = set()
 
     def piece(self, number: int) -> bytes:
@@ -105,29 +99,25 @@ class Vocabularies:
 
     def learn(self, units: set[str]) -> None:
         """The ids of units that are not at hand; a unit stands behind a space."""
-        known, older = self.known, self.older
-        missing = units.difference(known)
-        known.update((u, older[u]) for u in missing if u in older)
-        fresh = [u for u in missing if u not in known]
+        fresh = self.recent.fresh(units)
         if not fresh:
             return
         behind = [f" {u}" for u in fresh]
         found_a = [self.encode_a(t) for t in behind]
         found_b = self.b.encode(fresh, num_threads=1)
         for unit, ids_a, ids_b in zip(fresh, found_a, found_b, strict=True):
-            self.known[unit] = array("I", ids_a).tobytes(), array("I", ids_b).tobytes()
+            self.recent.young[unit] = array("I", ids_a).tobytes(), array("I", ids_b).tobytes()
         whole = "".join(behind).encode()
         for tokens, found in ((self.a_bytes, found_a), (self.b_bytes, found_b)):
             if b"".join(map(tokens.__getitem__, chain.from_iterable(found))) != whole:
                 self.bad.update(u for u, ids, t in zip(fresh, found, behind, strict=True) if b"".join([tokens[i] for i in ids]) != t.encode())
 
     def forget(self, units: set[str]) -> None:
-        """Drop long units; when there are many, those that two generations did not use. What is bad is not kept."""
-        for unit in [u for u in units if len(u) > LONGEST] + list(self.bad):
-            self.known.pop(unit, None)
+        """What is bad is not kept, and long units and those not used of late neither."""
+        for unit in self.bad:
+            self.recent.young.pop(unit, None)
         self.bad.clear()
-        if len(self.known) > KNOWN:
-            self.known, self.older = {}, self.known
+        self.recent.trim(units)
 
 
 @lru_cache(maxsize=1)
@@ -135,13 +125,6 @@ def vocabularies(a_path: str, b_path: str) -> Vocabularies:
     return Vocabularies(a_path, b_path)
 
 
-def units_of(text: str) -> list[str]:
-    """The units of a text without the space before each; joined by spaces they are the text."""
-    if UNEVEN.search(text) is None:
-        return text.split(" ")
-    return [u[1:] for u in CUT.split(f" {text}")]
-
-
 def decimals(count: int) -> tuple[np.ndarray, np.ndarray]:
     """Digits of each number below ``count``, left-aligned with a column to spare, and how many they are."""
     numbers = [str(i).encode() for i in range(count)]
@@ -213,7 +196,7 @@ def aligner(a_path: str, b_path: str, stretch: int):
 
         def coalesced(spans: list[list[str]], sizes: list[int]) -> tuple[list[np.ndarray], pa.Array, np.ndarray]:
             """Counts, group texts and links of spans of units; links go by ``link_cut``."""
-            found = [own.known[u] for u in chain.from_iterable(spans)]
+            found = list(map(own.recent.young.__getitem__, chain.from_iterable(spans)))
             a = np.frombuffer(b"".join([f[0] for f in found]), np.uint32).astype(np.int64)
             b = np.frombuffer(b"".join([f[1] for f in found]), np.uint32).astype(np.int64)
             whole = Coalesced(a, b, own.a_size, own.b_size, np.array(sizes, np.int64))
@@ -278,6 +261,7 @@ def aligner(a_path: str, b_path: str, stretch: int):
                     ids, texts, held = [], [], 0
             if ids:
                 yield many(ids, texts)
+        own.recent.clear()
 
     return rows
 

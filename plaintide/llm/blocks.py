@@ -1,13 +1,15 @@
 """Texts of an Arrow column as byte arrays: documents, words, lines and their hashes, a block at a time.
 
-A block holds whole documents, about BLOCK bytes of them; a longer document is a block of its own. Hashes are
-polynomials modulo 2**64 over random byte values, taken from prefix sums, so the hash of any span costs two
-reads; a final mixing step makes all bits usable.
+A block holds whole documents, about BLOCK bytes of them; a longer document is a block of its own. Hashes are two
+polynomials modulo the prime 2**31 - 1 over random values, taken from prefix sums, so the hash of any span costs two
+reads; a final mixing step makes all bits usable. Modulo a prime no structure of a text makes two hashes equal,
+as it does modulo a power of two (words that are sums of alternating signs, such as Thue and Morse's); still, who
+decides by equal hashes compares the bytes behind them.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -15,9 +17,10 @@ import pyarrow.compute as pc
 
 BLOCK = 1 << 20
 U64 = np.uint64
-STEP = 0x9E3779B97F4A7C15
-BACK = pow(STEP, -1, 1 << 64)
-BYTES = np.random.default_rng(2).integers(1, 1 << 64, 256, dtype=U64)
+PRIME = U64((1 << 31) - 1)
+STEPS = (1_389_671_077, 0x5DEECE66 | 1)
+BACKS = tuple(pow(step, -1, (1 << 31) - 1) for step in STEPS)
+BYTES = np.random.default_rng(2).integers(1, (1 << 31) - 1, (2, 256), dtype=U64)
 WHITE = np.zeros(256, bool)
 WHITE[[9, 10, 11, 12, 13, 32]] = True
 LOWER = np.arange(256, dtype=np.uint8)
@@ -27,19 +30,28 @@ CODE_POINT = (np.arange(256) & 0xC0) != 0x80
 _powers: dict[int, np.ndarray] = {}
 
 
+def reduced(x: np.ndarray) -> np.ndarray:
+    """x modulo PRIME, for x below 2**63; the prime itself may stand for 0."""
+    x = (x & PRIME) + (x >> U64(31))
+    return (x & PRIME) + (x >> U64(31))
+
+
 def powers(base: int, size: int) -> np.ndarray:
-    """base**0, base**1, … modulo 2**64; kept for the usual block, made anew for a longer one."""
+    """base**0, base**1, … modulo PRIME; kept for the usual block, made anew for a longer one."""
     have = _powers.get(base)
     if have is None or len(have) < size:
-        steps = np.full(max(size, BLOCK + 4096), base, U64)
-        steps[0] = 1
-        have = np.cumprod(steps, dtype=U64)
+        have = np.ones(max(size, BLOCK + 4096), U64)
+        done = 1
+        while done < len(have):
+            more = have[: min(done, len(have) - done)] * U64(pow(base, done, int(PRIME)))
+            have[done : done + len(more)] = reduced(more)
+            done += len(more)
         if size <= BLOCK + 4096:
             _powers[base] = have
     return have
 
 
-def mixed(x: np.ndarray) -> np.ndarray:
+def mixed(x: np.ndarray | U64) -> np.ndarray:
     """Every output bit depends on every input bit (the splitmix64 finaliser)."""
     x = (x ^ (x >> U64(30))) * U64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> U64(27))) * U64(0x94D049BB133111EB)
@@ -50,21 +62,32 @@ class SpanHash:
     """Hashes of spans of a sequence of 64-bit values."""
 
     def __init__(self, values: np.ndarray) -> None:
-        self.sums = np.zeros(len(values) + 1, U64)
-        np.cumsum(values * powers(STEP, len(values))[: len(values)], out=self.sums[1:])
-        self.back = powers(BACK, len(values) + 1)
+        self.fill(((values >> U64(31 * k)) & PRIME for k in range(2)), len(values))
 
     @classmethod
     def of_bytes(cls, data: np.ndarray) -> SpanHash:
-        return cls(BYTES[data])
+        new = cls.__new__(cls)
+        new.fill((table[data] for table in BYTES), len(data))
+        return new
+
+    def fill(self, values: Iterable[np.ndarray], size: int) -> None:
+        """Plain sums of values below 2**31 times powers, so a difference of sums is exact."""
+        self.sums = np.zeros((2, size + 1), U64)
+        for sums, part, step in zip(self.sums, values, STEPS, strict=True):
+            np.cumsum(reduced(part * powers(step, size)[:size]), out=sums[1:])
+        self.back = [powers(back, size + 1) for back in BACKS]
+
+    def between(self, start: np.ndarray | slice, end: np.ndarray | slice, length: np.ndarray | U64) -> np.ndarray:
+        parts = [reduced(reduced(sums[end] - sums[start]) % PRIME * back[: len(sums)][start]) % PRIME for sums, back in zip(self.sums, self.back, strict=True)]
+        return mixed((parts[0] << U64(31) | parts[1]) ^ (length << U64(62)) ^ mixed(length))
 
     def spans(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return mixed((self.sums[end] - self.sums[start]) * self.back[start] + (end - start).astype(U64))
+        return self.between(start, end, (end - start).astype(U64))
 
     def rolling(self, width: int) -> np.ndarray:
         """Hashes of all spans of one width, by their start."""
-        count = max(0, len(self.sums) - width)
-        return mixed((self.sums[width:] - self.sums[:count]) * self.back[:count] + U64(width))
+        count = max(0, self.sums.shape[1] - width)
+        return self.between(slice(0, count), slice(width, width + count), U64(width))
 
 
 def columns(batch: pa.RecordBatch, name: str) -> tuple[np.ndarray, np.ndarray]:

@@ -1,12 +1,53 @@
-"""The bytes of byte-level vocabularies, and a fast encoder for short pieces of text."""
+"""Byte-level vocabularies: the bytes of tokens, units of text that no token spans, and a fast encoder for them."""
 
 from __future__ import annotations
 
 import json
+import re
 
 #: The split of byte-level BPE before merging: contractions, letters, digits, marks, white space.
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
+#: No token spans a space between another character and a solid one.
+CUT = re.compile(r"(?<=[^ ])(?= \S)")
+#: White space that is not one space before a solid character.
+UNEVEN = re.compile(r"^\s| (?:\s|$)")
+#: Longer units are not kept for later.
+LONGEST = 64
+
+
+def units_of(text: str) -> list[str]:
+    """The units of a space and a text, each without its space: no token spans two of them. Joined by spaces they are the text."""
+    if UNEVEN.search(text) is None:
+        return text.split(" ")
+    return [u[1:] for u in CUT.split(f" {text}")]
+
+
+class Recent:
+    """Values of the units used of late: two generations of ``limit`` units each, beside those of one call."""
+
+    def __init__(self, limit: int) -> None:
+        self.limit = limit
+        self.young: dict = {}
+        self.old: dict = {}
+
+    def fresh(self, units: set[str]) -> list[str]:
+        """The units without a value; those of the older generation become young."""
+        young, old = self.young, self.old
+        missing = units.difference(young)
+        young.update((u, old[u]) for u in missing if u in old)
+        return [u for u in missing if u not in young]
+
+    def trim(self, units: set[str]) -> None:
+        """Drop the long ones of ``units``, and what two generations did not use."""
+        for unit in [u for u in units if len(u) > LONGEST]:
+            self.young.pop(unit, None)
+        if len(self.young) > self.limit:
+            self.young, self.old = {}, self.young
+
+    def clear(self) -> None:
+        self.young, self.old = {}, {}
+
 
 def byte_of_character() -> dict[str, int]:
     """The byte behind each character of a vocabulary file: visible Latin-1 as it is, the others from U+0100 on."""

@@ -5,7 +5,7 @@
    hash and deal the shingles over the buckets; sets below ``SPARSE`` shingles, which would leave buckets empty,
    hash every shingle anew for each register. Sets near the border get both kinds, so two sets that can reach
    the threshold always have a kind in common.
-2. Copies of one word sequence are one node from here on.
+2. Copies of one word sequence, by its SHA-256, are one node from here on.
 3. Bands of four registers (64 bits, as they are stored) are the buckets in which candidates meet. At a
    similarity of 0.85 all 32 bands miss with a probability of 6e-11, at 0.8 of 5e-8.
 4. Stars. In each bucket all nodes are compared with one leader, the node that shares most buckets with others.
@@ -13,7 +13,8 @@
    still untested after STARS rounds is compared in blocks, component against component, so the pairs
    inside a large group of copies are never made; a block returns a forest of the links it finds.
 5. A candidate's similarity is estimated from the registers, corrected for chance collisions; below the
-   threshold by more than six standard errors it goes. All others are confirmed on the full sets.
+   threshold by more than six standard errors it goes. All others are confirmed on the full sets, first by
+   hashes, and those that pass by the shingles' words.
 
 Rows whose id is null are returned with a null component and are kept; rows that share an id are one document.
 Null, empty and white texts have an empty set and are linked with nothing. Words are ``[^\\x20\\x09-\\x0D]+`` with
@@ -22,6 +23,7 @@ A-Z lower-cased; a text with fewer words than a shingle is one shingle.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plaintide.llm.blocks import LOWER, U64, SpanHash, Words, blocks, mixed, runs
+from plaintide.llm.blocks import LOWER, U64, WHITE, SpanHash, Words, blocks, mixed, runs
 from plaintide.llm.components import components
 from plaintide.llm.shared import ship_package, slice_of, stored
 
@@ -45,8 +47,7 @@ SIDE = 512
 SKETCH = pa.schema(
     [
         ("id", pa.int64()),
-        ("k1", pa.int64()),
-        ("k2", pa.int64()),
+        ("key", pa.binary()),
         ("n", pa.int64()),
         ("sparse", pa.list_(pa.int64())),
         ("dense", pa.list_(pa.int64())),
@@ -54,7 +55,7 @@ SKETCH = pa.schema(
 )
 
 
-def shingle_sets(data: np.ndarray, offsets: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray, SpanHash, Words]:
+def shingle_sets(data: np.ndarray, offsets: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct shingle hashes of each document of a block, and where each document's begin."""
     lower = LOWER[data]
     found = Words(data, offsets)
@@ -72,7 +73,7 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, words: int) -> tuple[np.
     new = np.ones(len(hashes), bool)
     new[1:] = hashes[1:] != hashes[:-1]
     new[begin[:-1][begin[:-1] < len(hashes)]] = True
-    return hashes[new], np.concatenate([[0], np.cumsum(new)])[begin], sequence, found
+    return hashes[new], np.concatenate([[0], np.cumsum(new)])[begin]
 
 
 def codes(value: np.ndarray) -> np.ndarray:
@@ -119,16 +120,13 @@ def sketcher(words: int, percent: int):
     def sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows, data, offsets in blocks(batch, "text"):
-                hashes, begin, sequence, found = shingle_sets(data, offsets, words)
+                hashes, begin = shingle_sets(data, offsets, words)
                 sizes = np.diff(begin)
                 few, many = (sizes > 0) & (sizes * percent <= SPARSE * 100), sizes > SPARSE
-                whole = sequence.spans(found.offsets[:-1], found.offsets[1:])
-                again = SpanHash(mixed(sequence_values(sequence) ^ SEEDS[0])).spans(found.offsets[:-1], found.offsets[1:])
                 yield pa.record_batch(
                     [
                         batch.column(batch.schema.get_field_index("id"))[rows],
-                        pa.array(whole.view(np.int64)),
-                        pa.array(again.view(np.int64)),
+                        pa.array(sequence_keys(data, offsets), pa.binary()),
                         pa.array(sizes),
                         lists(sparse_registers(*chosen(hashes, begin, few)), few),
                         lists(dense_registers(*chosen(hashes, begin, many)), many),
@@ -139,9 +137,28 @@ def sketcher(words: int, percent: int):
     return sketches
 
 
-def sequence_values(sequence: SpanHash) -> np.ndarray:
-    """The summands of a span hash again, as values for a second hash."""
-    return np.diff(sequence.sums) * sequence.back[: len(sequence.sums) - 1]
+def sequence_keys(data: np.ndarray, offsets: np.ndarray) -> list[bytes]:
+    """SHA-256 of each document's word sequence: words lower-cased and joined by one space."""
+    lower = LOWER[data]
+    white = WHITE[data]
+    lower[white] = 32
+    kept = ~white
+    kept[1:] |= ~white[:-1]
+    kept[offsets[:-1][np.diff(offsets) > 0]] &= ~white[offsets[:-1][np.diff(offsets) > 0]]
+    ends = np.concatenate([[0], np.cumsum(kept)])[offsets].tolist()
+    raw = lower[kept].tobytes()
+    return [hashlib.sha256(raw[a:b].rstrip(b" ")).digest() for a, b in zip(ends[:-1], ends[1:], strict=True)]
+
+
+def text_shingles(text: bytes, words: int) -> set[tuple[bytes, ...]]:
+    """The shingles themselves, for the confirmation of links."""
+    found = text.lower().split()
+    return set(zip(*(found[i:] for i in range(words)), strict=False)) if len(found) >= words else {tuple(found)} if found else set()
+
+
+def same_enough(a: set, b: set, percent: int) -> bool:
+    both = len(a & b)
+    return both > 0 and 100 * both >= percent * (len(a) + len(b) - both)
 
 
 def alike(a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -201,21 +218,25 @@ def verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Da
     rows = heads.unionByName(rest).repartition("b", "slice").sortWithinPartitions("b", "slice", F.col("a").asc_nulls_first())
 
     def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, head = None, np.empty(0, U64)
+        own, head, first, whole = None, np.empty(0, U64), b"", None
         for batch in batches:
             b_ids, a_ids = batch.column(0).to_pylist(), batch.column(2).to_pylist()
             good_a, good_b = [], []
             for rows, data, offsets in blocks(batch, "text"):
-                hashes, begin, _, _ = shingle_sets(data, offsets, words)
+                hashes, begin = shingle_sets(data, offsets, words)
                 for i, row in enumerate(range(rows.start, rows.stop)):
                     mine = hashes[begin[i] : begin[i + 1]]
+                    text = data[offsets[i] : offsets[i + 1]]
                     if a_ids[row] is None:
-                        own, head = b_ids[row], mine
+                        own, head, first, whole = b_ids[row], mine, text.tobytes(), None
                     elif b_ids[row] == own:
                         small, large = (mine, head) if len(mine) < len(head) else (head, mine)
                         at = np.minimum(np.searchsorted(large, small), max(len(large) - 1, 0))
                         both = int((large[at] == small).sum()) if len(small) else 0
                         if both and 100 * both >= percent * (len(mine) + len(head) - both):
+                            whole = text_shingles(first, words) if whole is None else whole
+                            if not same_enough(whole, text_shingles(text.tobytes(), words), percent):
+                                continue
                             good_a.append(a_ids[row])
                             good_b.append(own)
             yield pa.record_batch([pa.array(good_a, pa.int64()), pa.array(good_b, pa.int64())], names=["a", "b"])
@@ -308,7 +329,7 @@ def forest(f: pd.DataFrame, pairs: list[tuple[int, np.ndarray]], words: int, per
         return []
     rows = np.unique(np.concatenate([np.append(r, i) for i, r in pairs]))
     batch = pa.record_batch([pa.array(f.text.iloc[rows].tolist(), pa.string())], names=["text"])
-    parts = [shingle_sets(data, offsets, words)[:2] for _, data, offsets in blocks(batch, "text")]
+    parts = [shingle_sets(data, offsets, words) for _, data, offsets in blocks(batch, "text")]
     sizes = np.concatenate([np.diff(begin) for _, begin in parts])
     _, ids = np.unique(np.concatenate([h for h, _ in parts]), return_inverse=True)
     begin = np.concatenate([[0], np.cumsum(sizes)])
@@ -321,7 +342,7 @@ def forest(f: pd.DataFrame, pairs: list[tuple[int, np.ndarray]], words: int, per
             c = above[c]
         return c
 
-    mask, links = np.zeros(len(ids) + 1, bool), []
+    mask, links, shown = np.zeros(len(ids) + 1, bool), [], f.text
     for i, others in pairs:
         own = ids[begin[place[i]] : begin[place[i] + 1]]
         mask[own] = True
@@ -331,7 +352,7 @@ def forest(f: pd.DataFrame, pairs: list[tuple[int, np.ndarray]], words: int, per
         mask[own] = False
         for o in others[100 * both >= percent * (len(own) + sizes[at] - both)]:
             low, high = sorted((root(owner[i]), root(owner[int(o)])))
-            if low != high:
+            if low != high and same_enough(text_shingles(shown.iloc[i].encode(), words), text_shingles(shown.iloc[int(o)].encode(), words), percent):
                 above[high] = low
                 links.append((int(max(nodes[i], nodes[o])), int(min(nodes[i], nodes[o]))))
     return links
@@ -372,15 +393,15 @@ def near_dedup(documents: DataFrame, id: str = "doc_id", text: str = "text", wor
     """One row per document: id, n_shingles, component_id, kept."""
     ship_package(documents.sparkSession)
     rows = documents.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text"))
-    sketches = stored(rows.mapInArrow(sketcher(words, percent), "id long, k1 long, k2 long, n long, sparse array<long>, dense array<long>"), "sketches")
+    sketches = stored(rows.mapInArrow(sketcher(words, percent), "id long, key binary, n long, sparse array<long>, dense array<long>"), "sketches")
     named = sketches.filter("id is not null and n > 0")
-    nodes = named.groupBy("k1", "k2").agg(F.min(F.struct("id", "n", "sparse", "dense")).alias("s"))
-    nodes = stored(nodes.select("k1", "k2", F.col("s.id").alias("node"), "s.n", "s.sparse", "s.dense"), "nodes")
-    labels = near_links(nodes.drop("k1", "k2"), rows.select(F.col("id").alias("node"), "text"), words, percent)
-    of_key = nodes.select("k1", "k2", "node").join(labels, "node", "left").select("k1", "k2", F.coalesce("component", "node").alias("component"))
-    slim = sketches.select("id", "k1", "k2", "n", slice_of("id").alias("slice"))
-    spread = slim.select("k1", "k2", "slice").distinct().join(of_key, ["k1", "k2"])
-    found = slim.join(spread, ["k1", "k2", "slice"], "left")
+    nodes = named.groupBy("key").agg(F.min(F.struct("id", "n", "sparse", "dense")).alias("s"))
+    nodes = stored(nodes.select("key", F.col("s.id").alias("node"), "s.n", "s.sparse", "s.dense"), "nodes")
+    labels = near_links(nodes.drop("key"), rows.select(F.col("id").alias("node"), "text"), words, percent)
+    of_key = nodes.select("key", "node").join(labels, "node", "left").select("key", F.coalesce("component", "node").alias("component"))
+    slim = sketches.select("id", "key", "n", slice_of("id").alias("slice"))
+    spread = slim.select("key", "slice").distinct().join(of_key, "key")
+    found = slim.join(spread, ["key", "slice"], "left")
     component = F.when(F.col("id").isNotNull(), F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id")))
     return found.select(
         F.col("id").alias(id), F.col("n").alias("n_shingles"), component.alias("component_id"),

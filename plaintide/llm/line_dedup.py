@@ -9,7 +9,8 @@ code points or more found in ``fewest`` documents or more lose all their lines,
 2. The twice-seen filter has a fixed size, at most 2**28 bits, and is broadcast. A key that passes it is a suspect;
    suspects shuffle by their text, and are counted exactly. Sums are made per (key, slice) first, so a line that
    a third of all documents hold is neither one task nor one group.
-3. The keys confirmed go back to the documents that hold them.
+3. The keys confirmed go back to the documents that hold them, as hash and SHA-256: the hash finds lines, the digest
+   decides.
 
 Rows that share an id are one document to the count, and all keep the line if their id is the largest; each row is
 returned. Null ids count as the smallest, and each text without an id as a document. Null and empty texts are one
@@ -18,6 +19,7 @@ empty line.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -113,10 +115,13 @@ def suspects(held, shortest: int):
         for batch in batches:
             for rows_, data, offsets in blocks(batch, "text"):
                 lines = Lines(data, offsets, shortest)
-                one = lines.once_per_document()
-                one = one[twice.has(lines.hash[one])] if len(one) else one
+                some = np.flatnonzero(twice.has(lines.hash)) if len(lines.hash) else lines.row
                 lower = lines.lower.tobytes()
-                keys = [lower[a:b] for a, b in zip(lines.begin[one].tolist(), lines.stop[one].tolist(), strict=True)]
+                first: dict[tuple[int, bytes], int] = {}
+                for i, own, a, b in zip(some.tolist(), lines.doc[some].tolist(), lines.begin[some].tolist(), lines.stop[some].tolist(), strict=True):
+                    first.setdefault((own, lower[a:b]), i)
+                one = np.fromiter(first.values(), np.int64, len(first))
+                keys = [key for _, key in first]
                 at = pa.array(lines.doc[one])
                 yield pa.record_batch(
                     [batch.column(0)[rows_].take(at), batch.column(1)[rows_].take(at), pa.array(lines.hash[one].view(np.int64)), pa.array(keys, pa.binary())],
@@ -138,7 +143,9 @@ def dropper(shortest: int):
                 lines, gone = text.count(b"\n") + 1, 0
                 if drops[i].is_valid:
                     found = Lines(data[ends[i] : ends[i + 1]], np.array([0, len(text)]), shortest)
-                    hit = found.row[np.isin(found.hash.view(np.int64), drops[i].values.to_numpy())]
+                    lower, keys = found.lower.tobytes(), set(drops[i].values.field("sha").to_pylist())
+                    near = np.flatnonzero(np.isin(found.hash.view(np.int64), drops[i].values.field("hash").to_numpy()))
+                    hit = found.row[[k for k in near.tolist() if hashlib.sha256(lower[found.begin[k] : found.stop[k]]).digest() in keys]]
                     gone = len(hit)
                     stay = np.ones(lines, bool)
                     stay[hit] = False
@@ -173,7 +180,7 @@ def line_dedup(documents: DataFrame, id: str = "doc_id", text: str = "text", sho
     partial = partial.groupBy("key", "slice").agg(F.count("*").alias("n"), F.max("id").alias("last"))
     often = spread_totals(partial, ["key"], {"n": F.sum("n"), "last": F.max("last")}).filter(F.col("n") >= fewest)
     drops = found.join(often.select("key", "slice", "last"), ["key", "slice"]).filter(~F.col("id").eqNullSafe(F.col("last")))
-    drops = drops.groupBy(F.col("id").alias("_id"), F.col("mark").alias("_mark")).agg(F.collect_set("hash").alias("drops"))
+    drops = drops.groupBy(F.col("id").alias("_id"), F.col("mark").alias("_mark")).agg(F.collect_set(F.struct("hash", F.unhex(F.sha2("key", 256)).alias("sha"))).alias("drops"))
     same = F.col("id").eqNullSafe(F.col("_id")) & (F.col("mark") == F.col("_mark"))
     with_drops = rows.join(drops.hint("shuffle_hash"), same, "left").select("id", "text", "drops")
     return with_drops.mapInArrow(dropper(shortest), "id long, text string, n_lines long, n_dropped long").withColumnRenamed("id", id)

@@ -9,6 +9,7 @@ Every task packs what it reads, PIECES remainders at a time, so nothing is shuff
 document changes nothing, and memory is bounded by PIECES windows. A task that is run again gives the same rows:
 sequence ids are the partition's number and a counter.
 
+Equal lengths are placed in the order they come, into the window of the least room that was opened or filled last.
 A null text counts as empty; an empty text is its end id alone. Rows that share an id are packed each. An empty
 table gives no pieces; extra columns are not read.
 """
@@ -16,7 +17,6 @@ table gives no pieces; extra columns are not read.
 from __future__ import annotations
 
 import os
-import re
 import sys
 from array import array
 from collections.abc import Iterator
@@ -29,25 +29,19 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plaintide.llm.byte_bpe import piece_encoder
+from plaintide.llm.byte_bpe import Recent, piece_encoder, units_of
 from plaintide.llm.shared import ship_package
 
 WINDOW = 1024
 PIECES = 1 << 14
 END = 0
-KNOWN = 800_000
-TEXTS = 1 << 21
-
-#: A token never spans a place where white space follows something else, so texts are encoded by such chunks.
-CHUNK = re.compile(r"[ \t\n\r]*[^ \t\n\r]+|[ \t\n\r]+")
-#: Nor does one span a letter and these marks.
-MARKS = ".,;:!?"
-#: Texts with rarer white space, or with a special token's string, are encoded whole.
-RARE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+#: Units kept in each of two generations, dropped at the end of a task; characters of text encoded at a time.
+KNOWN = 200_000
+TEXTS = 1 << 20
 
 
 class Encoder:
-    """Token ids of a byte-level BPE tokenizer; chunks met before are looked up."""
+    """Token ids of a byte-level BPE tokenizer; units met before are looked up, texts with a special token's string encoded whole."""
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -56,31 +50,26 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.piece = piece_encoder(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.known: dict[str, bytes] = {}
-
-    def whole(self, texts: list[str]) -> list[bytes]:
-        """Little-endian 32-bit ids."""
-        return [ids_bytes(e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def learn(self, chunks: list[str]) -> None:
-        """Encode new chunks; a word with marks behind it is its word and the marks."""
-        stems = [c.rstrip(MARKS) for c in chunks]
-        cut = [s != c and s != "" and s[-1].isalpha() and s[-1] < "\u0250" for s, c in zip(stems, chunks, strict=True)]
-        parts = {s if k else c for s, c, k in zip(stems, chunks, cut, strict=True)}
-        parts.update(c[len(s) :] for s, c, k in zip(stems, chunks, cut, strict=True) if k)
-        piece = self.piece
-        self.known.update((p, ids_bytes(piece(p))) for p in parts.difference(self.known))
-        known = self.known
-        known.update((c, known[s] + known[c[len(s) :]]) for s, c, k in zip(stems, chunks, cut, strict=True) if k)
+        self.recent = Recent(KNOWN)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
-        if len(self.known) > KNOWN:
-            self.known.clear()
-        chunks = [None if RARE.search(t) or any(s in t for s in self.special) else CHUNK.findall(t) for t in texts]
-        self.learn(list(set().union(*(c for c in chunks if c)).difference(self.known)))
-        get = self.known.__getitem__
-        return [self.whole([t])[0] if c is None else b"".join(map(get, c)) for t, c in zip(texts, chunks, strict=True)]
+        units = [None if any(s in t for s in self.special) else units_of(t) for t in texts]
+        behind = set()
+        for own in units:
+            if own:
+                behind.update(own[1:])
+        piece, recent = self.piece, self.recent
+        recent.young.update((u, ids_bytes(piece(f" {u}"))) for u in recent.fresh(behind))
+        get = recent.young.__getitem__
+        found = []
+        for text, own in zip(texts, units, strict=True):
+            if own is None:
+                found.append(ids_bytes(self.tokenizer.encode(text, add_special_tokens=False).ids))
+            else:
+                found.append(b"".join([ids_bytes(piece(own[0])), *map(get, own[1:])]))
+        recent.trim(behind)
+        return found
 
 
 def ids_bytes(ids: list[int]) -> bytes:
@@ -200,6 +189,7 @@ def packer(path: str, window: int, pieces: int):
                     yield placed()
         if rests:
             yield placed()
+        own.recent.clear()
 
     return rows
 

@@ -204,10 +204,11 @@ def scored(documents: DataFrame, model: bytes, text: str = "text") -> DataFrame:
     def scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Model.unpacked(model)
         for batch in batches:
-            values = [own.forward(*passages(data, offsets))[-1] for _, data, offsets in blocks(batch, "text")]
+            texts = pa.record_batch([batch.column(0).field(text)], names=["text"])
+            values = [own.forward(*passages(data, offsets))[-1] for _, data, offsets in blocks(texts, "text")]
             yield pa.record_batch([batch.column(0), pa.array(np.concatenate(values) if values else np.empty(0))], names=["row", "score"])
 
-    rows = documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row"), F.col(text).alias("text"))
+    rows = documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row"))
     return rows.mapInArrow(scores, T.StructType([rows.schema["row"], T.StructField("score", T.DoubleType())]))
 
 

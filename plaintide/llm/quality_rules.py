@@ -15,6 +15,7 @@ One pass, no shuffle; a row does not depend on any other, so repeated rows and n
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -50,19 +51,18 @@ def per_document(flags: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.diff(np.concatenate([[0], np.cumsum(flags)])[offsets])
 
 
-def repeated(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Whether each key occurs twice or more, and whether it is not its first occurrence."""
+def alike(keys: np.ndarray) -> np.ndarray:
+    """Which keys occur twice or more."""
     order = np.argsort(keys, kind="stable")
     fresh = np.append(True, keys[order][1:] != keys[order][:-1]) if len(keys) else np.empty(0, bool)
     number = np.cumsum(fresh) - 1
-    twice, later = np.empty(len(keys), bool), np.empty(len(keys), bool)
+    twice = np.empty(len(keys), bool)
     twice[order] = np.bincount(number)[number] > 1 if len(keys) else fresh
-    later[order] = ~fresh
-    return twice, later
+    return twice
 
 
 def duplicate_lines(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Lines with a word that equal an earlier line of their document."""
+    """Lines with a word that equal an earlier line of their document; lines of equal hashes are compared by bytes."""
     breaks = np.flatnonzero(data == 10)
     start = np.sort(np.concatenate([offsets[:-1], breaks + 1]), kind="stable")
     lines_before = np.searchsorted(breaks, offsets) + np.arange(len(offsets))
@@ -74,19 +74,31 @@ def duplicate_lines(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     solid = np.concatenate([[0], np.cumsum(~WHITE[data])])
     some = np.flatnonzero(solid[end] > solid[start])
     keys = SpanHash.of_bytes(data).spans(start[some], end[some])
-    _, later = repeated(mixed(keys ^ mixed(doc[some].astype(U64))))
-    return np.bincount(doc[some][later], minlength=len(offsets) - 1)
+    some = some[alike(mixed(keys ^ mixed(doc[some].astype(U64))))]
+    raw, seen, counts = data.tobytes(), set(), np.zeros(len(offsets) - 1, np.int64)
+    for own, a, b in zip(doc[some].tolist(), start[some].tolist(), end[some].tolist(), strict=True):
+        line = own, raw[a:b]
+        counts[own] += line in seen
+        seen.add(line)
+    return counts
 
 
 def repeated_words(data: np.ndarray, found: Words) -> np.ndarray:
-    """Words inside windows of WINDOW words that occur twice or more in their document."""
+    """Words inside windows of WINDOW words that occur twice or more in their document.
+
+    Of windows with equal hashes the words are compared.
+    """
     sequence = SpanHash(SpanHash.of_bytes(data).spans(found.start, found.end))
     starts = runs(found.offsets, WINDOW)
     doc = found.documents()
-    twice, _ = repeated(mixed(sequence.spans(starts, starts + WINDOW) ^ mixed(doc[starts].astype(U64))))
+    starts = starts[alike(mixed(sequence.spans(starts, starts + WINDOW) ^ mixed(doc[starts].astype(U64))))]
+    raw = data.tobytes()
+    windows = [(own, *raw[a:b].split()) for own, a, b in zip(doc[starts].tolist(), found.start[starts].tolist(), found.end[starts + WINDOW - 1].tolist(), strict=True)]
+    times = Counter(windows)
+    starts = starts[np.fromiter((times[w] > 1 for w in windows), bool, len(windows))]
     change = np.zeros(len(doc) + 1, np.int64)
-    np.add.at(change, starts[twice], 1)
-    np.add.at(change, starts[twice] + WINDOW, -1)
+    np.add.at(change, starts, 1)
+    np.add.at(change, starts + WINDOW, -1)
     return per_document(np.cumsum(change[:-1]) > 0, found.offsets)
 
 

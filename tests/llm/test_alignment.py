@@ -68,7 +68,7 @@ def test_random_texts(plainly, stretch):
 def test_generations_forget_and_keep_results(plainly, monkeypatch):
     texts = [f"word{i} other{i % 3} ﬁ{i}" for i in range(60)]
     before = rows_of(texts, 40)
-    monkeypatch.setattr(alignment, "KNOWN", 5)
+    monkeypatch.setattr(alignment.vocabularies(A, B).recent, "limit", 5)
     assert rows_of(texts, 40) == before
 
 
