@@ -6,6 +6,7 @@ read again before the next. All but the last return the columns of documents.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 import public_tokenizers
@@ -21,18 +22,35 @@ from plaintide.llm.suffix_dedup import removed_repeats
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+#: Rows and bytes of one batch between Spark and Python; a batch is held several times over on both sides.
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": "4m"}
+
+
+def in_small_batches(stage: Stage) -> Stage:
+    """The stage, its Python work fed in bounded batches; the settings stay with the session, as the stage's rows are made later."""
+
+    @functools.wraps(stage)
+    def bounded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        for key, value in BATCH.items():
+            spark.conf.set(key, value)
+        return stage(spark, docs, sf_dir)
+
+    return bounded
+
 
 def with_key(docs: DataFrame, key: Column, kept: DataFrame) -> DataFrame:
     """The rows whose key is a ``_key`` of kept, with it."""
     return docs.withColumn("_key", key).join(kept.hint("shuffle_hash"), "_key", "left_semi")
 
 
+@in_small_batches
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a score of one half or more."""
     model = fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return scored(docs, model).filter("score >= 0.5").select("row.*")
 
 
+@in_small_batches
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The row of each group of copies that is kept; of rows that share its id, the longest text's, then least hash's.
 
@@ -49,6 +67,7 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return rows.withColumn("_rank", F.rank().over(best)).filter("_rank = 1").select(*docs.columns)
 
 
+@in_small_batches
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group that is linked on five-word shingles at a similarity of 0.8: the least id, null last.
 
@@ -64,6 +83,7 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return with_key(docs, name, kept).withColumn("_row", F.row_number().over(one)).filter("_row = 1").select(*docs.columns)
 
 
+@in_small_batches
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the byte strings of 200 bytes that occur more than once; n_chars follows a changed text."""
     rest = removed_repeats(docs).select(F.col("id").alias("_id"), F.col("mark").alias("_mark"), "rest").distinct()
@@ -75,6 +95,7 @@ def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return joined.withColumns({"text": text, "n_chars": chars}).select(*docs.columns)
 
 
+@in_small_batches
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces with their ids (little-endian 32-bit), sequence and offset."""
     return pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
