@@ -45,21 +45,25 @@ def commonest(position: int) -> Column:
     return F.expr(f"min(struct(-n, value)) FILTER (WHERE source = {position} AND value IS NOT NULL).value")
 
 
-def profile(
-    df: DataFrame,
+def values_of(distinct: dict[str, str], modes: dict[str, str]) -> list[str]:
+    """The value columns that distinct counts and modes look at; a value's source is its place here."""
+    return list(dict.fromkeys([*distinct.values(), *modes.values()]))
+
+
+def statistics(
+    counts: DataFrame,
     keys: Sequence[str],
     distinct: dict[str, str],
     modes: dict[str, str] | None = None,
 ) -> DataFrame:
-    """All statistics of one mart per `keys`.
+    """All statistics of one mart per `keys` from the rows of :func:`value_counts`.
 
     `distinct` and `modes` name the output columns and the columns they look at. Callers select what they
     need; Catalyst drops the rest from both passes.
     """
     modes = modes or {}
-    values = list(dict.fromkeys([*distinct.values(), *modes.values()]))
-    position = {column: i for i, column in enumerate(values)}
-    statistics = {
+    position = {column: i for i, column in enumerate(values_of(distinct, modes))}
+    measures = {
         "total_complaints": "sum(n) FILTER (WHERE source = -1)",
         **{name: f"count(value) FILTER (WHERE source = {position[column]})" for name, column in distinct.items()},
         "timely_responses": "sum(timely) FILTER (WHERE source = -1)",
@@ -72,8 +76,8 @@ def profile(
         "first_complaint_date": "min(first_date) FILTER (WHERE source = -1)",
         "last_complaint_date": "max(last_date) FILTER (WHERE source = -1)",
     }
-    grouped = value_counts(df, keys, values).groupBy(*keys).agg(
-        *[F.expr(sql).alias(name) for name, sql in statistics.items()],
+    grouped = counts.groupBy(*keys).agg(
+        *[F.expr(sql).alias(name) for name, sql in measures.items()],
         *[commonest(position[column]).alias(name) for name, column in modes.items()],
     )
     total = F.col("total_complaints")
@@ -86,6 +90,17 @@ def profile(
     )
 
 
+def profile(
+    df: DataFrame,
+    keys: Sequence[str],
+    distinct: dict[str, str],
+    modes: dict[str, str] | None = None,
+) -> DataFrame:
+    """All statistics of one mart per `keys` from complaints."""
+    counts = value_counts(df, keys, values_of(distinct, modes or {}))
+    return statistics(counts, keys, distinct, modes)
+
+
 def average_of_rounded(x: str) -> Column:
     """Average of two-decimal doubles, summed as DECIMAL: the result does not depend on row order."""
     return F.sum(F.col(x).cast("decimal(18,2)")).cast("double") / F.nullif(F.count(x), F.lit(0).cast("long"))

@@ -8,6 +8,10 @@ written.
 A load writes the ranges it touches once, whole, into a folder of its own, and points the table's
 partitions there. The folders tell the state without a catalog: a load counts from the moment its folder
 holds the marker file that the load itself writes, and a range is where the latest such load has it.
+A load of a stream's batch also leaves the batch's number in its folder, so the same batch is not loaded twice.
+
+Claims and markers need a file system that creates a file only if it is absent, as HDFS and local ones do; an
+object store needs one with conditional writes, or loads that are kept from running at the same time.
 """
 
 from __future__ import annotations
@@ -19,14 +23,17 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from plaintide.schemas import BRONZE, KEY
-from plaintide.sources.files import children, create_new, delete
+from plaintide.sources.files import children, create_new, delete, modified
 
 RANGE = "key_range"
 RANGE_WIDTH = 1_000_000
 LOWEST_KEY = -(2**63)
 LOAD = "load="
 CLAIMS = "_claims"
-LOADED, POINTED = "_loaded", "_pointed"
+LOADED, POINTED, WITHDRAWN = "_loaded", "_pointed", "_withdrawn"
+BATCH = "_batch="
+#: Milliseconds after which a claim without a marker is that of a load that is dead.
+LEASE = 60_000
 
 
 class ConcurrentLoad(RuntimeError):
@@ -84,13 +91,18 @@ def upsert_by_key(
     key: str = KEY,
     version: str = "extracted_at",
     width: int = RANGE_WIDTH,
+    batch_of: tuple[str, int] | None = None,
 ) -> int:
     """Insert new keys and replace existing rows of `table`, stored below `location`; the rows of the batch.
 
     Running it twice changes nothing. A call that fails or is stopped leaves the table as it was. Of two
     calls at the same time the one that ends second fails with ConcurrentLoad and may be run again.
+    `batch_of` names a stream and the number of its batch: a batch that is in the table already is not read, and
+    has no rows.
     """
     before = finished_loads(spark, location)
+    if batch_of and batch_number(before, batch_of[0]) >= batch_of[1]:
+        return 0
     point_partitions(spark, table, location, {n: c for n, c in before.items() if POINTED not in c})
     drop_replaced(spark, location, before)
     number = max((load_number(n) for n in children(spark, location) if n.startswith(LOAD)), default=0) + 1
@@ -102,6 +114,8 @@ def upsert_by_key(
             target = touched_rows(spark.table(table), rows, key, width).drop(RANGE)
             merged = merge_rows(target, rows, key, version).withColumn(RANGE, key_range(key, width))
             merged.hint("rebalance", RANGE).write.partitionBy(RANGE).parquet(f"{location}/{name}")
+            if batch_of:
+                create_new(spark, f"{location}/{name}/{BATCH}{batch_of[0]}={batch_of[1]}")
             finish(spark, location, name, before)
             point_partitions(spark, table, location, {name: children(spark, f"{location}/{name}")})
     finally:
@@ -116,25 +130,58 @@ def load_number(name: str) -> int:
 def finished_loads(spark: SparkSession, location: str) -> dict[str, list[str]]:
     """The folders of finished loads and what they hold, oldest first."""
     found = {n: children(spark, f"{location}/{n}") for n in children(spark, location) if n.startswith(LOAD)}
-    return {n: content for n, content in found.items() if LOADED in content}
+    return {n: content for n, content in found.items() if LOADED in content and WITHDRAWN not in content}
+
+
+def batch_number(found: dict[str, list[str]], stream: str) -> int:
+    """The last batch of a stream that is in the table, -1 if there is none."""
+    marks = [mark for content in found.values() for mark in content if mark.startswith(f"{BATCH}{stream}=")]
+    return max([-1, *(int(mark.rpartition("=")[2]) for mark in marks)])
 
 
 def finish(spark: SparkSession, location: str, name: str, before: dict[str, list[str]]) -> None:
     """Make a written load count, unless another one came between: this merge would undo that one.
 
     Every load announces itself before it looks for others, so of two at least one sees the other. A load
-    that is killed between its claim and its marker leaves the claim, and later loads name it.
+    that is killed between its claim and its marker leaves the claim: it is withdrawn once a later load has
+    finished, or its lease is over.
     """
     claims = f"{location}/{CLAIMS}"
     create_new(spark, f"{claims}/{name}")
-    rivals = [n for n in finished_loads(spark, location) if n not in before]
-    rivals += [f"{claims}/{n}" for n in children(spark, claims) if n != name and not n.startswith(".")]
+    finished = finished_loads(spark, location)
+    rivals = [n for n in finished if n not in before]
+    others = [n for n in children(spark, claims) if n != name and not n.startswith(".")]
+    rivals += [f"{claims}/{n}" for n in others if not withdrawn(spark, location, n, name, finished)]
+    if not rivals:
+        create_new(spark, f"{location}/{name}/{LOADED}")
+        if WITHDRAWN in children(spark, f"{location}/{name}"):
+            rivals.append("a load that took it for dead")
+    delete(spark, f"{claims}/{name}")
     if rivals:
-        delete(spark, f"{claims}/{name}")
         delete(spark, f"{location}/{name}")
         raise ConcurrentLoad(f"{name} is withdrawn because of {', '.join(rivals)}")
-    create_new(spark, f"{location}/{name}/{LOADED}")
-    delete(spark, f"{claims}/{name}")
+
+
+def withdrawn(spark: SparkSession, location: str, rival: str, name: str, finished: dict[str, list[str]]) -> bool:
+    """Whether the claim of `rival` stands in the way no more.
+
+    The mark of withdrawal comes before the look at the rival's marker, and the rival looks for the mark after
+    it has set its marker: a rival that lives after all either counts here or gives way there. Ages are differences
+    of two times of the file system's own clock.
+    """
+    claims = f"{location}/{CLAIMS}"
+    claimed, now = modified(spark, f"{claims}/{rival}"), modified(spark, f"{claims}/{name}")
+    if claimed is None or now is None:
+        return False
+    last = max(map(load_number, finished), default=0)
+    if load_number(rival) > last and now - claimed < LEASE:
+        return False
+    create_new(spark, f"{location}/{rival}/{WITHDRAWN}")
+    if LOADED in children(spark, f"{location}/{rival}"):
+        delete(spark, f"{location}/{rival}/{WITHDRAWN}")
+        return rival in finished
+    delete(spark, f"{claims}/{rival}")
+    return True
 
 
 def point_partitions(spark: SparkSession, table: str, location: str, found: dict[str, list[str]]) -> None:
@@ -157,11 +204,13 @@ def point_partitions(spark: SparkSession, table: str, location: str, found: dict
 def drop_replaced(spark: SparkSession, location: str, found: dict[str, list[str]]) -> None:
     """Delete ranges that were replaced before the last load; those that the last one replaced may still be read."""
     seen: set[str] = set()
+    streams = {mark.split("=")[1] for content in found.values() for mark in content if mark.startswith(BATCH)}
+    last = {f"{BATCH}{stream}={batch_number(found, stream)}" for stream in streams}
     for name in list(found)[-2::-1]:
         parts = [p for p in found[name] if p.startswith(f"{RANGE}=")]
         for part in parts:
             if part in seen:
                 delete(spark, f"{location}/{name}/{part}")
-        if seen.issuperset(parts):
+        if seen.issuperset(parts) and last.isdisjoint(found[name]):
             delete(spark, f"{location}/{name}")
         seen.update(parts)

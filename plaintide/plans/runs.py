@@ -9,12 +9,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plaintide.functions.scalar import utc_date_sql
+from plaintide.operators.ledger import changed, counted, mart_of
 from plaintide.operators.normalize import normalize_schema
 from plaintide.operators.quality import dq_report
-from plaintide.plans.marts import MARTS
-from plaintide.plans.models import METRICS, fct_complaints, staged_columns
+from plaintide.operators.upsert import RANGE, key_range
+from plaintide.plans.marts import GROUPED
+from plaintide.plans.models import METRICS, fct_complaints, int_complaint_metrics, staged_columns, stg_complaints
 from plaintide.plans.serving import FRAMES
 from plaintide.sources.bronze import scan_bronze, write_bronze
+from plaintide.sources.files import children
 from plaintide.sources.pages import (
     fetch_folder,
     flatten_pages,
@@ -24,8 +27,16 @@ from plaintide.sources.pages import (
     with_process_date,
 )
 from plaintide.sources.raw import CHUNK_SIZE, dated, read_raw, write_raw
+from plaintide.sources.versions import Manifest, new_folder, publish, version_at
 from plaintide.sources.warehouse import COMPLAINTS, Warehouse
 
+FACT = "fct_complaints"
+VERSIONS = "_versions"
+KEY_TYPES = {"complaint_month_date": "date"}
+COUNTS = (
+    "mart string, k1 string, k2 string, source int, value string, days bigint, "
+    "n bigint, timely bigint, timely_known bigint, narrative bigint, narrative_known bigint"
+)
 
 @dataclass(frozen=True)
 class Zones:
@@ -87,19 +98,63 @@ def define_views(warehouse: Warehouse) -> tuple[DataFrame, DataFrame, DataFrame]
     return source, staged, metrics
 
 
-def build_models(warehouse: Warehouse) -> dict[str, DataFrame]:
-    """Define the two views and store the fact table and the marts.
+def touched_ranges(before: dict[str, dict[str, str]], now: dict[str, str]) -> tuple[list[str], list[str]]:
+    """Key ranges whose load is not the one their stored pieces were made from, and ranges that are no more."""
+    fresh = [r for r, load in now.items() if before.get(r, {}).get("load") != load]
+    return fresh, [r for r in before if r not in now]
+
 
-    Each mart scans only its own few columns of the table; the narratives are read for the fact table
-    alone. That is cheaper than caching the metric relation, whose cached rows would have to be kept on
-    the executors for all marts.
+def build_models(warehouse: Warehouse, run_ts: str | None = None) -> dict[str, DataFrame]:
+    """Define the two views, bring the fact table and the marts up to date, and publish all seven at once.
+
+    Only key ranges that a load has replaced since the last version are scanned: once for the counts of all
+    marts, and once for their part of the fact table. The marts are made from the new totals of the counts.
     """
-    source, staged, metrics = define_views(warehouse)
-    models = {"complaints": source, "stg_complaints": staged}
-    models["fct_complaints"] = warehouse.materialize("marts", "fct_complaints", fct_complaints(metrics))
-    for mart, build in MARTS.items():
-        models[mart] = warehouse.materialize("marts", mart, build(metrics))
-    return models
+    spark, root = warehouse.spark, warehouse.path("marts", VERSIONS)
+    source, staged, _ = define_views(warehouse)
+    last = version_at(spark, root) or Manifest("")
+    now = warehouse.ranges()
+    fresh, gone = touched_ranges(last.parts, now)
+    folder = new_folder(root)
+    rows = warehouse.range_rows(fresh)
+    metrics = int_complaint_metrics(stg_complaints(rows)).withColumn(RANGE, key_range())
+    counted(metrics, GROUPED, by=[RANGE]).write.partitionBy(RANGE).parquet(f"{folder}/counts")
+    fct_complaints(metrics).withColumn(RANGE, key_range()).write.partitionBy(RANGE).parquet(f"{folder}/{FACT}")
+    # A range whose rows have no key of any mart has no counts, and one without rows no facts.
+    made = {step: set(children(spark, f"{folder}/{step}")) for step in ("counts", FACT)}
+
+    parts = {r: p for r, p in last.parts.items() if r in now and r not in fresh}
+    for r in fresh:
+        parts[r] = {"load": now[r]} | {step: f"{folder}/{step}/{RANGE}={r}" for step in made if f"{RANGE}={r}" in made[step]}
+    taken = [last.parts[r]["counts"] for r in [*fresh, *gone] if "counts" in last.parts.get(r, {})]
+    come = spark.read.schema(COUNTS).parquet(f"{folder}/counts")
+    old = spark.read.schema(COUNTS).parquet(last.tables["totals"]) if "totals" in last.tables else None
+    totals = changed(old, spark.read.schema(COUNTS).parquet(*taken) if taken else None, come)
+    totals.write.partitionBy("mart").parquet(f"{folder}/totals")
+    stored = spark.read.schema(COUNTS).parquet(f"{folder}/totals")
+    tables = {"totals": f"{folder}/totals"}
+    for name, mart in GROUPED.items():
+        tables[name] = f"{folder}/{name}"
+        mart_of(stored, name, mart, KEY_TYPES).write.parquet(tables[name])
+    manifest = publish(spark, root, folder, Manifest(run_ts or last.run_ts, tables, parts))
+    warehouse.point_marts(manifest, list(GROUPED), FACT)
+    return {"complaints": source, "stg_complaints": staged, **frames_of(warehouse, manifest)}
+
+
+def frames_of(warehouse: Warehouse, manifest: Manifest) -> dict[str, DataFrame]:
+    """The fact table and the marts of one version."""
+    spark = warehouse.spark
+    facts = [p[FACT] for p in manifest.parts.values() if FACT in p]
+    empty = fct_complaints(int_complaint_metrics(stg_complaints(warehouse.range_rows([]))))
+    found = {FACT: spark.read.schema(empty.schema).parquet(*facts) if facts else empty}
+    return found | {name: spark.read.parquet(manifest.tables[name]) for name in GROUPED}
+
+
+def rebuild_models(warehouse: Warehouse, run_ts: str | None = None) -> dict[str, DataFrame]:
+    """The same from the whole table, whatever the versions before hold."""
+    spark, root = warehouse.spark, warehouse.path("marts", VERSIONS)
+    publish(spark, root, new_folder(root), Manifest(run_ts or ""))
+    return build_models(warehouse, run_ts)
 
 
 def check_models(models: dict[str, DataFrame]) -> DataFrame:
@@ -126,7 +181,7 @@ def run_backfill(
     raw_to_bronze(spark, zones, first, last)
     processed = warehouse.upsert(scan_bronze(spark, zones.bronze, first, last))
     summary = warehouse.load_summary(processed)
-    return RunResult(fetched, summary, values(check_models(build_models(warehouse))))
+    return RunResult(fetched, summary, values(check_models(build_models(warehouse, run_ts))))
 
 
 def run_daily(
@@ -141,6 +196,13 @@ def run_daily(
     return run_backfill(warehouse, zones, day, day, run_ts, chunk_size)
 
 
-def read_marts(warehouse: Warehouse) -> dict[str, DataFrame]:
-    """The serving frames, cached: each is a mart or one row, not the complaints."""
-    return {name: query(warehouse.table("marts", model)).cache() for name, (model, query) in FRAMES.items()}
+def read_marts(warehouse: Warehouse, as_of: str | None = None) -> dict[str, DataFrame]:
+    """The serving frames of one version, cached: each is a mart or one row, not the complaints.
+
+    The version is the latest, or the one that the runs up to the time `as_of` left.
+    """
+    manifest = version_at(warehouse.spark, warehouse.path("marts", VERSIONS), as_of)
+    if manifest is None or not manifest.tables:
+        raise LookupError(f"no marts were published up to {as_of or 'now'}")
+    found = frames_of(warehouse, manifest)
+    return {name: query(found[model]).cache() for name, (model, query) in FRAMES.items()}

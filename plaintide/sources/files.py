@@ -30,6 +30,24 @@ def create_new(spark: SparkSession, path: str) -> bool:
     return files.createNewFile(target)
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a new small file whole."""
+    files, target = _resolve(spark, path)
+    out = files.create(target, False)
+    out.write(bytearray(text.encode()))
+    out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    return spark.read.text(path, wholetext=True).first()[0]
+
+
+def modified(spark: SparkSession, path: str) -> int | None:
+    """When a file was written, in milliseconds of the file system's clock; None if it is gone."""
+    files, target = _resolve(spark, path)
+    return files.getFileStatus(target).getModificationTime() if files.exists(target) else None
+
+
 def _resolve(spark: SparkSession, path: str):
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), target

@@ -6,9 +6,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from plaintide.operators.upsert import RANGE, finished_loads, point_partitions, upsert_by_key
 from plaintide.schemas import BRONZE
+from plaintide.sources.versions import Manifest
 
 DEFAULT_LAYER = "main"
 COMPLAINTS = "complaints"
@@ -61,10 +63,59 @@ class Warehouse:
         self.spark.catalog.refreshTable(self.name("raw", COMPLAINTS))
         return self.spark.table(self.name("raw", COMPLAINTS)).drop(RANGE)
 
-    def upsert(self, batch: DataFrame) -> int:
-        """Rows of the batch, after they are in the table."""
+    def ranges(self) -> dict[str, str]:
+        """The key ranges of the table and the load that each was last written by."""
+        latest = {}
+        for load, content in finished_loads(self.spark, self.path("raw", COMPLAINTS)).items():
+            latest |= {part.split("=")[1]: load for part in content if part.startswith(f"{RANGE}=")}
+        return latest
+
+    def range_rows(self, ranges: list[str]) -> DataFrame:
+        """The rows of some key ranges; the scan reads their partitions alone."""
+        self.spark.catalog.refreshTable(self.name("raw", COMPLAINTS))
+        rows = self.spark.table(self.name("raw", COMPLAINTS))
+        return rows.filter(F.col(RANGE).isin([int(r) for r in ranges])).drop(RANGE)
+
+    def point_marts(self, manifest: Manifest, marts: list[str], fact: str) -> None:
+        """Let the catalog's tables of the marts layer be those of a version.
+
+        Table by table: a reader who needs several of one version takes them from the manifest.
+        """
+        self.create_database("marts")
+        for mart in marts:
+            self._external("marts", mart, self.spark.read.parquet(manifest.tables[mart]).schema, manifest.tables[mart])
+        parts = {r: p[fact] for r, p in manifest.parts.items() if fact in p}
+        name = self.name("marts", fact)
+        if parts:
+            schema = self.spark.read.parquet(next(iter(parts.values()))).schema
+            fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+            self.spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({fields}, `{RANGE}` bigint) USING parquet PARTITIONED BY (`{RANGE}`) LOCATION '{self.path('marts', fact)}'")
+        if not self.table_exists("marts", fact):
+            return
+        known = {row[0].split("=")[1] for row in self.spark.sql(f"SHOW PARTITIONS {name}").collect()}
+        for r in known - set(parts):
+            self.spark.sql(f"ALTER TABLE {name} DROP PARTITION ({RANGE} = {r})")
+        new = [f"PARTITION ({RANGE} = {r}) LOCATION '{p}'" for r, p in parts.items() if r not in known]
+        if new:
+            self.spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {' '.join(new)}")
+        for r in known & set(parts):
+            self.spark.sql(f"ALTER TABLE {name} PARTITION ({RANGE} = {r}) SET LOCATION '{parts[r]}'")
+        self.spark.catalog.refreshTable(name)
+
+    def _external(self, layer: str, model: str, schema: T.StructType, path: str) -> None:
+        name = self.name(layer, model)
+        if self.table_exists(layer, model):
+            self.spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+        else:
+            fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+            self.spark.sql(f"CREATE TABLE {name} ({fields}) USING parquet LOCATION '{path}'")
+        self.spark.catalog.refreshTable(name)
+
+    def upsert(self, batch: DataFrame, batch_of: tuple[str, int] | None = None) -> int:
+        """Rows of the batch, after they are in the table; `batch_of` is a stream and its batch number."""
         self.create_if_absent()
-        return upsert_by_key(self.spark, batch, self.name("raw", COMPLAINTS), self.path("raw", COMPLAINTS))
+        location = self.path("raw", COMPLAINTS)
+        return upsert_by_key(self.spark, batch, self.name("raw", COMPLAINTS), location, batch_of=batch_of)
 
     def load_summary(self, processed: int) -> DataFrame:
         """One row of values: rows of the batch, rows of the table now, status of a load that returned."""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import replace
 
 from pyspark.sql import DataFrame
@@ -11,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from plaintide.operators.filters import lookback_window
 from plaintide.operators.normalize import normalize_schema
 from plaintide.schemas import RAW
+from plaintide.sources.files import read_text
 from plaintide.sources.raw import JSON_FILES, PARTITION
 from plaintide.sources.warehouse import Warehouse
 
@@ -23,8 +25,8 @@ def incremental_upsert(
 ) -> StreamingQuery:
     """Load the raw files that came since the last call, then stop.
 
-    The checkpoint remembers the files. A micro-batch may be handed over twice after a failure; the upsert
-    makes the second time harmless.
+    The checkpoint remembers the files. A micro-batch may be handed over twice after a failure; the load of the first
+    time holds the batch's number and the stream's id, by which the second time is known and skipped unread.
     """
     reader = (
         warehouse.spark.readStream.schema(T.StructType([*RAW.fields, PARTITION]))
@@ -35,7 +37,8 @@ def incremental_upsert(
         reader = reader.option("maxFilesPerTrigger", max_files)
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        replace(warehouse, spark=batch.sparkSession).upsert(normalize_schema(batch))
+        stream = json.loads(read_text(warehouse.spark, f"{checkpoint}/metadata"))["id"]
+        replace(warehouse, spark=batch.sparkSession).upsert(normalize_schema(batch), batch_of=(stream, batch_id))
 
     return (
         reader.json(raw_root)

@@ -388,6 +388,8 @@ def oracle_sql() -> dict[str, str]:
             " UNION ALL ".join(f"SELECT '{name}' AS frame, count(*) AS n_rows FROM {name}" for name in frame_names),
             *frames,
         ),
+        "marts_after_change": _all_columns("states", STATES),
+        "read_marts_as_of": on_metrics(f"SELECT {_DASH['dash_companies'][2]} FROM companies", COMPANIES),
         # projections and predicates
         "normalize_schema": on_shape(f"SELECT {BRONZE_COLUMNS} FROM shaped"),
         "stg_complaints": _sql("SELECT * FROM stg", SHAPED, STAGED),

@@ -310,6 +310,26 @@ def read_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return result
 
 
+def marts_after_change(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The states mart after a load of other rows, a version of the marts, and a load that replaces and adds."""
+    warehouse, rows = new_warehouse(spark, "change"), normalize_schema(shape.complaints(spark, sf_dir))
+    other = {"company": F.lit("Other"), "timely": F.lit("No"), "state": F.lit("ZZ"), "issue": F.concat("issue", F.lit("?"))}
+    warehouse.upsert(rows.filter("complaint_id % 3 <> 0").withColumns(other))
+    runs.build_models(warehouse, EARLIER_TS)
+    warehouse.upsert(rows)
+    return runs.build_models(warehouse, RUN_TS)["dim_states"]
+
+
+def read_marts_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The companies frame as an earlier run left it, after a later run changed it."""
+    warehouse, rows = new_warehouse(spark, "as_of"), normalize_schema(shape.complaints(spark, sf_dir))
+    warehouse.upsert(rows)
+    runs.build_models(warehouse, EARLIER_TS)
+    warehouse.upsert(rows.filter("complaint_id % 2 = 0").withColumn("company", F.lit("Other")))
+    runs.build_models(warehouse, RUN_TS)
+    return runs.read_marts(warehouse, as_of=EARLIER_TS)["companies"]
+
+
 # Loads and checks
 
 def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -406,6 +426,8 @@ def queries() -> dict[str, Query]:
         "run_daily": run_daily,
         "run_backfill": run_backfill,
         "read_marts": read_marts,
+        "marts_after_change": marts_after_change,
+        "read_marts_as_of": read_marts_as_of,
         # projections and predicates
         "normalize_schema": on_complaints(lambda c: plain_times(normalize_schema(c))),
         "stg_complaints": on_complaints(models.stg_complaints),

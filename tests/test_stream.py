@@ -1,9 +1,12 @@
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import functions as F
 
 from plaintide.session import scratch_dir
 from plaintide.sources import raw
+from plaintide.sources.warehouse import COMPLAINTS
 from plaintide.streaming.incremental import incremental_upsert, refresh_recent
 from tests.rows import bronze, by_key, complaint
 
@@ -44,3 +47,20 @@ def test_refresh_takes_the_lookback_window(spark, warehouse):
     )
     refresh_recent(warehouse, again, "2026-04-01")
     assert {k: r["company"] for k, r in by_key(warehouse.source_table()).items()} == {1: "Acme", 2: "Acme"}
+
+
+def test_a_replayed_batch_is_skipped(spark, warehouse, tmp_path):
+    """The last batch is handed over again after its commit is lost: no load comes of it."""
+    raw_root, checkpoint = str(tmp_path / "raw"), str(tmp_path / "checkpoint")
+    day = tmp_path / "raw" / "process_date=2026-01-01"
+    day.mkdir(parents=True)
+    (day / "a.json").write_text('{"complaint_id":1,"company":"A"}\n')
+    incremental_upsert(warehouse, raw_root, checkpoint).awaitTermination()
+    loads = [c for c in os.listdir(warehouse.path("raw", COMPLAINTS)) if c.startswith("load=")]
+    for name in os.listdir(f"{checkpoint}/commits"):
+        os.remove(f"{checkpoint}/commits/{name}")
+    incremental_upsert(warehouse, raw_root, checkpoint).awaitTermination()
+    assert [c for c in os.listdir(warehouse.path("raw", COMPLAINTS)) if c.startswith("load=")] == loads
+    (day / "b.json").write_text('{"complaint_id":2,"company":"B"}\n')
+    incremental_upsert(warehouse, raw_root, checkpoint).awaitTermination()
+    assert sorted(r.complaint_id for r in warehouse.source_table().collect()) == [1, 2]

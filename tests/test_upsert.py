@@ -3,6 +3,7 @@ from __future__ import annotations
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from plaintide.operators import upsert
 from plaintide.operators.upsert import RANGE, key_range, latest_per_key, require_key
@@ -155,6 +156,60 @@ def test_two_claims_stop_each_other(spark, warehouse):
     assert companies(warehouse) == {1: "A", 2: "B"}
 
 
+def test_a_dead_claim_is_withdrawn_after_its_lease(spark, warehouse, monkeypatch):
+    """A load killed between its claim and its marker holds up others for the lease only, and never counts."""
+    warehouse.upsert(rows(spark, dict(complaint_id=1, company="A")))
+    real = upsert.create_new
+
+    def killed(session, path):
+        if path.endswith(upsert.LOADED):
+            raise KeyboardInterrupt
+        return real(session, path)
+
+    monkeypatch.setattr(upsert, "create_new", killed)
+    with pytest.raises(KeyboardInterrupt):
+        warehouse.upsert(rows(spark, dict(complaint_id=2, company="B")))
+    monkeypatch.setattr(upsert, "create_new", real)
+    with pytest.raises(upsert.ConcurrentLoad):
+        warehouse.upsert(rows(spark, dict(complaint_id=3, company="C")))
+    monkeypatch.setattr(upsert, "LEASE", 0)
+    warehouse.upsert(rows(spark, dict(complaint_id=3, company="C")))
+    assert companies(warehouse) == {1: "A", 3: "C"}
+    monkeypatch.setattr(upsert, "LEASE", 60_000)
+    warehouse.upsert(rows(spark, dict(complaint_id=4, company="D")))
+    assert companies(warehouse) == {1: "A", 3: "C", 4: "D"}
+
+
+def test_a_load_taken_for_dead_gives_way(spark, warehouse, monkeypatch):
+    """A load whose folder was withdrawn while it slept does not count when it goes on."""
+    warehouse.upsert(rows(spark, dict(complaint_id=1, company="A")))
+    real = upsert.create_new
+
+    def slow(session, path):
+        if path.endswith(upsert.LOADED):
+            real(session, path.replace(upsert.LOADED, upsert.WITHDRAWN))
+        return real(session, path)
+
+    monkeypatch.setattr(upsert, "create_new", slow)
+    with pytest.raises(upsert.ConcurrentLoad, match="took it for dead"):
+        warehouse.upsert(rows(spark, dict(complaint_id=1, company="B")))
+    monkeypatch.setattr(upsert, "create_new", real)
+    assert companies(warehouse) == {1: "A"}
+
+
+def test_a_batch_of_a_stream_is_loaded_once(spark, warehouse):
+    """A replayed batch is skipped unread, also when later loads have replaced all that it wrote."""
+    unread = rows(spark, dict(complaint_id=1)).withColumn("company", F.raise_error(F.lit("read")).cast("string"))
+    assert warehouse.upsert(rows(spark, dict(complaint_id=1, company="A")), batch_of=("s", 4)) == 1
+    assert warehouse.upsert(unread, batch_of=("s", 4)) == 0
+    assert warehouse.upsert(rows(spark, dict(complaint_id=1, company="B")), batch_of=("t", 4)) == 1
+    for company in "CDE":
+        warehouse.upsert(rows(spark, dict(complaint_id=1, company=company)))
+    assert warehouse.upsert(unread, batch_of=("s", 4)) == warehouse.upsert(unread, batch_of=("t", 3)) == 0
+    assert companies(warehouse) == {1: "E"}
+    assert warehouse.upsert(rows(spark, dict(complaint_id=1, company="F")), batch_of=("s", 5)) == 1
+
+
 @pytest.mark.parametrize("stop", ["finish", "point_partitions"])
 def test_a_stopped_load_is_absent_or_whole(spark, warehouse, monkeypatch, stop):
     """Stopped before its marker a load is as if it had not been; after it, the next call finishes it."""
