@@ -5,11 +5,12 @@ within the longest piece, and the back pointers since the last boundary that is
 paths go through one boundary, the ids before it are committed and forgotten; a start survives while the text
 since then is the begin of a piece. So a text of any length needs a window only.
 
-Chunks that a task met before are looked up; longer ones go through the search each time. Ids are those of the best
+Chunks that a task met of late are looked up; long ones go through the search each time. Ids are those of the best
 path under the model's scores (see unigram.py). Decoding joins pieces and bytes, makes spaces of SPACE and
 drops the first one, so it gives the text back, but for U+2581 itself, which a model cannot tell from a space.
 
-Null and empty texts have no ids and decode to the empty text. Rows do not depend on each other.
+Null and empty texts have no ids and decode to the empty text. Rows do not depend on each other. An empty table gives
+no rows; extra columns are not read by the encoder and pass through the decoder.
 """
 
 from __future__ import annotations
@@ -23,12 +24,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from plaintide.llm.byte_bpe import Recent
 from plaintide.llm.packing import text_groups
 from plaintide.llm.shared import ship_package
 from plaintide.llm.unigram import CHUNK, SPACE, Unigram, escaped, unigram
 
-KNOWN = 300_000
-LONG = 64
+#: Chunks kept in each of two generations.
+KNOWN = 200_000
 HELD = 256
 
 
@@ -101,7 +103,7 @@ class Codec:
     def __init__(self, path: str) -> None:
         self.model = unigram(path)
         self.search = StreamingViterbi(self.model)
-        self.known: dict[str, bytes] = {}
+        self.recent = Recent(KNOWN)
         values = {b: i for i, b in enumerate(self.model.bytes)}
         self.texts = [bytes([values[i]]) if i in values else p.replace(SPACE, " ").encode() for i, p in enumerate(self.model.pieces)]
 
@@ -110,14 +112,14 @@ class Codec:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
-        if len(self.known) > KNOWN:
-            self.known.clear()
         found = [CHUNK.findall(escaped(t)) for t in texts]
-        long = {}
-        for chunk in set().union(*found).difference(self.known):
-            (self.known if len(chunk) <= LONG else long)[chunk] = self.packed(chunk)
-        get = ({**self.known, **long} if long else self.known).__getitem__
-        return [b"".join(map(get, chunks)) for chunks in found]
+        chunks = set().union(*found)
+        recent = self.recent
+        recent.young.update((c, self.packed(c)) for c in recent.fresh(chunks))
+        get = recent.young.__getitem__
+        ids = [b"".join(map(get, own)) for own in found]
+        recent.trim(chunks)
+        return ids
 
     def decode(self, ids: bytes) -> bytes:
         """The UTF-8 text of little-endian 32-bit ids."""
