@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date, timedelta
 
@@ -104,6 +106,13 @@ def touched_ranges(before: dict[str, dict[str, str]], now: dict[str, str]) -> tu
     return fresh, [r for r in before if r not in now]
 
 
+def written(write: Callable[[str], None], names: Iterable[str]) -> None:
+    """Small writes side by side: each alone would leave most of the cluster idle."""
+    names = list(names)
+    with ThreadPoolExecutor(len(names)) as pool:
+        list(pool.map(write, names))
+
+
 def build_models(warehouse: Warehouse, run_ts: str | None = None) -> dict[str, DataFrame]:
     """Define the two views, bring the fact table and the marts up to date, and publish all seven at once.
 
@@ -118,8 +127,8 @@ def build_models(warehouse: Warehouse, run_ts: str | None = None) -> dict[str, D
     folder = new_folder(root)
     rows = warehouse.range_rows(fresh)
     metrics = int_complaint_metrics(stg_complaints(rows)).withColumn(RANGE, key_range())
-    counted(metrics, GROUPED, by=[RANGE]).write.partitionBy(RANGE).parquet(f"{folder}/counts")
-    fct_complaints(metrics).withColumn(RANGE, key_range()).write.partitionBy(RANGE).parquet(f"{folder}/{FACT}")
+    pieces = {"counts": counted(metrics, GROUPED, by=[RANGE]), FACT: fct_complaints(metrics).withColumn(RANGE, key_range())}
+    written(lambda step: pieces[step].write.partitionBy(RANGE).parquet(f"{folder}/{step}"), pieces)
     # A range whose rows have no key of any mart has no counts, and one without rows no facts.
     made = {step: set(children(spark, f"{folder}/{step}")) for step in ("counts", FACT)}
 
@@ -132,10 +141,8 @@ def build_models(warehouse: Warehouse, run_ts: str | None = None) -> dict[str, D
     totals = changed(old, spark.read.schema(COUNTS).parquet(*taken) if taken else None, come)
     totals.write.partitionBy("mart").parquet(f"{folder}/totals")
     stored = spark.read.schema(COUNTS).parquet(f"{folder}/totals")
-    tables = {"totals": f"{folder}/totals"}
-    for name, mart in GROUPED.items():
-        tables[name] = f"{folder}/{name}"
-        mart_of(stored, name, mart, KEY_TYPES).write.parquet(tables[name])
+    tables = {name: f"{folder}/{name}" for name in ["totals", *GROUPED]}
+    written(lambda name: mart_of(stored, name, GROUPED[name], KEY_TYPES).write.parquet(tables[name]), GROUPED)
     manifest = publish(spark, root, folder, Manifest(run_ts or last.run_ts, tables, parts))
     warehouse.point_marts(manifest, list(GROUPED), FACT)
     return {"complaints": source, "stg_complaints": staged, **frames_of(warehouse, manifest)}

@@ -364,6 +364,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         "create_if_absent": on_shape("SELECT count(*) AS n_rows, 18 AS n_columns, true AS table_exists FROM shaped"),
         "upsert_by_key": _sql(f"SELECT {BRONZE_COLUMNS} FROM newest", VERSIONS, UPSERTED),
+        "upsert_merge_on_read": _sql(f"SELECT {BRONZE_COLUMNS} FROM newest", VERSIONS, UPSERTED),
         "load_summary": on_shape(
             "SELECT count(*) AS records_processed, count(*) AS total_records_in_table, 'success' AS status FROM shaped"
         ),

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plaintide.functions.scalar import utc_wall
-from plaintide.operators import filters, quality
+from plaintide.operators import filters, merge_on_read, quality
 from plaintide.operators.normalize import normalize_schema
 from plaintide.plans import marts, models, runs, serving
 from plaintide.session import scratch_dir
@@ -193,6 +193,16 @@ def upsert_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain_times(warehouse.source_table())
 
 
+def upsert_merge_on_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same batches by deletion vectors, with a compaction between two of them."""
+    location, versions = shared_scratch(spark, "merge"), shape.raw_versions(spark, sf_dir)
+    for batch in ("A", "N", "R"):
+        merge_on_read.merge(spark, normalize_schema(versions.filter(F.col("submitted_via") == batch)), location)
+        if batch == "N":
+            merge_on_read.compact(spark, location)
+    return plain_times(merge_on_read.read(spark, location))
+
+
 def load_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     warehouse = new_warehouse(spark, "summary")
     return warehouse.load_summary(warehouse.upsert(layers(spark, sf_dir).batch()))
@@ -415,6 +425,7 @@ def queries() -> dict[str, Query]:
         "scan_bronze": scan_bronze,
         "create_if_absent": create_if_absent,
         "upsert_by_key": upsert_by_key,
+        "upsert_merge_on_read": upsert_merge_on_read,
         "load_summary": load_summary,
         "materialize": materialize,
         "schema_for_layer": layer_table,
