@@ -51,7 +51,7 @@ def powers(base: int, size: int) -> np.ndarray:
     return have
 
 
-def mixed(x: np.ndarray | U64) -> np.ndarray:
+def mixed(x: np.ndarray) -> np.ndarray:
     """Every output bit depends on every input bit (the splitmix64 finaliser)."""
     x = (x ^ (x >> U64(30))) * U64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> U64(27))) * U64(0x94D049BB133111EB)
@@ -71,14 +71,22 @@ class SpanHash:
         return new
 
     def fill(self, values: Iterable[np.ndarray], size: int) -> None:
-        """Plain sums of values below 2**31 times powers, so a difference of sums is exact."""
+        """Plain sums of values below 2**31 times powers, each below 2**32, so a difference of sums is exact. The values are overwritten."""
         self.sums = np.zeros((2, size + 1), U64)
         for sums, part, step in zip(self.sums, values, STEPS, strict=True):
-            np.cumsum(reduced(part * powers(step, size)[:size]), out=sums[1:])
+            part *= powers(step, size)[:size]
+            high = part >> U64(31)
+            part &= PRIME
+            part += high
+            np.cumsum(part, out=sums[1:])
         self.back = [powers(back, size + 1) for back in BACKS]
 
-    def between(self, start: np.ndarray | slice, end: np.ndarray | slice, length: np.ndarray | U64) -> np.ndarray:
-        parts = [reduced(reduced(sums[end] - sums[start]) % PRIME * back[: len(sums)][start]) % PRIME for sums, back in zip(self.sums, self.back, strict=True)]
+    def between(self, start: np.ndarray | slice, end: np.ndarray | slice, length: np.ndarray) -> np.ndarray:
+        parts = []
+        for sums, back in zip(self.sums, self.back, strict=True):
+            part = reduced(reduced(sums[end] - sums[start]) * back[: len(sums)][start])
+            part[part >= PRIME] -= PRIME
+            parts.append(part)
         return mixed((parts[0] << U64(31) | parts[1]) ^ (length << U64(62)) ^ mixed(length))
 
     def spans(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -87,7 +95,7 @@ class SpanHash:
     def rolling(self, width: int) -> np.ndarray:
         """Hashes of all spans of one width, by their start."""
         count = max(0, self.sums.shape[1] - width)
-        return self.between(slice(0, count), slice(width, width + count), U64(width))
+        return self.between(slice(0, count), slice(width, width + count), np.array([width], U64))
 
 
 def columns(batch: pa.RecordBatch, name: str) -> tuple[np.ndarray, np.ndarray]:
