@@ -36,8 +36,10 @@ REQUIRED = ["complaint_id", "company", "product", "issue", "date_received"]
 RAW = T.StructType([T.StructField(f.name, T.StringType()) for f in BRONZE])
 
 # `_source` stays JSON text, so the raw layer keeps fields the declared schema does not know.
+# `search_after` is what a fetch may add: the cursor that a page was asked for with.
 ENVELOPE = T.StructType(
     [
+        T.StructField("search_after", T.StringType()),
         T.StructField(
             "hits",
             T.StructType(

@@ -13,6 +13,7 @@ RUN_DATE = "2001-08-01"
 EARLIER_TS = "2026-07-10T02:00:00.000Z"
 DAY = f"coalesce(date_received::DATE, DATE '{RUN_TS[:10]}')"
 MISSING = 3
+SEARCH, TOP = "Blue bolt, urgent GERMANY", 50
 
 LINES = """
 lines AS (
@@ -50,6 +51,34 @@ LEFT JOIN nation ON c_nationkey = n_nationkey
 LEFT JOIN supplier ON l_suppkey = s_suppkey
 LEFT JOIN part ON l_partkey = p_partkey"""
 
+CHAIN = """
+keys AS (SELECT complaint_id AS id, complaint_id // 4800 AS page FROM shaped),
+bounds AS (
+  SELECT page, min(id) AS lo, max(id) AS hi, count(*) AS n,
+    lag(min(id)) OVER w AS lo1, lag(max(id)) OVER w AS hi1, lag(max(id), 2) OVER w AS hi2, lag(count(*)) OVER w AS n1
+  FROM keys GROUP BY page WINDOW w AS (ORDER BY page)),
+landed AS (
+  SELECT CASE WHEN page % 11 = 4 THEN hi2 ELSE hi1 END AS asked, CASE WHEN page % 11 = 4 THEN lo1 ELSE lo END AS lo, hi,
+    CASE WHEN page % 11 = 4 THEN n + n1 ELSE n END AS n, page % 5 = 1 AS twice
+  FROM bounds WHERE page % 7 <> 3),
+chained AS (SELECT *, max(hi) OVER (ORDER BY lo, hi ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reached FROM landed),
+held AS (SELECT DISTINCT id FROM keys, landed WHERE id BETWEEN lo AND hi)"""
+
+BM25 = r"""
+texts AS (
+  SELECT complaint_id, company, unnest(regexp_extract_all(
+    lower(concat_ws(' ', complaint_what_happened, issue, state, tags)), '[\p{L}\p{N}]+')) AS term
+  FROM shaped),
+lengths AS (SELECT complaint_id, company, count(*) AS length FROM texts GROUP BY ALL),
+corpus AS (SELECT count(*) AS n, sum(length) / count(*) AS mean FROM lengths),
+tf AS (SELECT complaint_id, term, count(*) AS tf FROM texts WHERE term IN ('blue', 'bolt', 'urgent', 'germany') GROUP BY ALL),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+ranked AS (
+  SELECT complaint_id, company, round(sum(
+    ln(1 + (n - df + 0.5::DOUBLE) / (df + 0.5::DOUBLE)) * tf * 2.2::DOUBLE
+      / (tf + 1.2::DOUBLE * (0.25::DOUBLE + 0.75::DOUBLE * length / mean))), 9) AS score
+  FROM tf JOIN df USING (term) JOIN lengths USING (complaint_id), corpus GROUP BY ALL)"""
+
 SHAPED = LINES + ",\nshaped AS (" + _SHAPE.format(source="lines") + ")"
 VERSIONS = "versions AS (" + _SHAPE.format(source="lineitem") + ")"
 
@@ -333,6 +362,28 @@ def oracle_sql() -> dict[str, str]:
             "SELECT 'whole' AS fetch, count(*) AS expected, count(*) AS actual, true AS is_complete FROM shaped "
             f"UNION ALL SELECT 'short', count(*) + {MISSING}, count(*), false FROM shaped"
         ),
+        "sort_relevance": _sql("SELECT complaint_id, company, round(score, 6) AS score FROM ranked", SHAPED, BM25),
+        "top_relevant": _sql(
+            f"SELECT complaint_id, round(score, 6) AS score FROM ranked ORDER BY ranked.score DESC, complaint_id LIMIT {TOP}", SHAPED, BM25
+        ),
+        "chain_findings": _sql(
+            "SELECT '20260711T020000000Z' AS fetch, * FROM ("
+            "SELECT 'doubled' AS finding, lo::VARCHAR AS after, hi::VARCHAR AS before, 1 AS pages, n AS records FROM chained WHERE twice "
+            "UNION ALL SELECT 'gap', reached::VARCHAR, asked::VARCHAR, NULL, NULL FROM chained WHERE asked > coalesce(reached, -1) "
+            "UNION ALL SELECT 'overlap', lo::VARCHAR, least(reached, hi)::VARCHAR, 1, NULL FROM chained WHERE lo <= reached)",
+            SHAPED,
+            CHAIN,
+        ),
+        "reconcile_chain": _sql(
+            "SELECT '20260711T020000000Z' AS fetch, (SELECT count(*) FROM keys) AS expected, "
+            "sum(CASE WHEN twice THEN 2 * n ELSE n END)::BIGINT AS records, (SELECT count(*) FROM held) AS different_records, "
+            "count(*) + count(*) FILTER (twice) AS pages, count(*) FILTER (twice) AS doubled_pages, "
+            "count(*) FILTER (asked > coalesce(reached, -1)) AS gaps, count(*) FILTER (lo <= reached) AS overlaps, "
+            "false AS is_closed, count(*) FILTER (asked > coalesce(reached, -1)) = 0 "
+            "AND (SELECT count(*) FROM keys) = (SELECT count(*) FROM held) AS is_complete FROM chained",
+            SHAPED,
+            CHAIN,
+        ),
         "run_correction": on_shape(
             f"SELECT {LOADED} FROM shaped WHERE date_received::DATE = DATE '{LOGICAL_DATE}' - 1"
         ),

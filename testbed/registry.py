@@ -15,15 +15,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plaintide.functions.scalar import utc_wall
-from plaintide.operators import filters, merge_on_read, quality
+from plaintide.operators import filters, merge_on_read, quality, relevance
 from plaintide.operators.normalize import normalize_schema
 from plaintide.plans import marts, models, runs, serving
 from plaintide.session import scratch_dir
-from plaintide.sources import bronze, pages, raw
+from plaintide.sources import bronze, chain, pages, raw
 from plaintide.sources.warehouse import COMPLAINTS, Warehouse, schema_for_layer
 from plaintide.streaming.incremental import incremental_upsert, refresh_recent
 from testbed import shape
-from testbed.oracle import COMPANY, EARLIER_TS, FIRST, LAST, LOGICAL_DATE, MISSING, RUN_DATE, RUN_TS
+from testbed.oracle import COMPANY, EARLIER_TS, FIRST, LAST, LOGICAL_DATE, MISSING, RUN_DATE, SEARCH, TOP, RUN_TS
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -120,6 +120,41 @@ def reconcile_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found[0].unionByName(found[1])
 
 
+def broken_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages of a fetch that lost some and has others twice or in part."""
+    fetch = pages.fetch_folder(shared_scratch(spark, "chain"), RUN_TS)
+    shape.land_chain(shape.complaints(spark, sf_dir, ["complaint_id"]), fetch)
+    return pages.read_pages(spark, fetch)
+
+
+def chain_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chain.chain_findings(broken_chain(spark, sf_dir), descending=False, width=50_000)
+
+
+def reconcile_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chain.reconcile_chain(broken_chain(spark, sf_dir), descending=False, width=50_000)
+
+
+def indexed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
+    """Records with a text of several fields, and their index after a load of other texts and one that replaces most."""
+    location, rows = shared_scratch(spark, "index"), normalize_schema(shape.complaints(spark, sf_dir))
+    rows = rows.withColumn(relevance.TEXT, F.concat_ws(" ", relevance.TEXT, "issue", "state", "tags"))
+    relevance.update(rows.withColumn(relevance.TEXT, F.when(F.col("complaint_id") % 3 == 0, F.col(relevance.TEXT)).otherwise(F.col("product"))), location)
+    relevance.update(rows.filter("complaint_id % 3 <> 0"), location)
+    return rows, location
+
+
+def sort_relevance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, location = indexed(spark, sf_dir)
+    found = relevance.sort_relevance(rows.select("complaint_id", "company"), location, SEARCH)
+    return found.withColumn("score", F.round("score", 6))
+
+
+def top_relevant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, location = indexed(spark, sf_dir)
+    return relevance.search(spark, location, SEARCH, k=TOP).withColumn("score", F.round("score", 6))
+
+
 def stamp_extracted_at(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = pages.flatten_pages(pages.read_pages(spark, layers(spark, sf_dir).pages()))
     return pages.parse_records(pages.stamp_extracted_at(records, RUN_TS)).select("complaint_id", "extracted_at")
@@ -416,7 +451,11 @@ def queries() -> dict[str, Query]:
         "filter_company": on_complaints(lambda c: filters.filter_company(c, COMPANY)),
         "sort_created": on_complaints(filters.sort_created, "complaint_id", "date_received", "company", "product"),
         "chunk_records": chunk_records,
+        "sort_relevance": sort_relevance,
+        "top_relevant": top_relevant,
         "reconcile_counts": reconcile_counts,
+        "chain_findings": chain_findings,
+        "reconcile_chain": reconcile_chain,
         "stamp_extracted_at": stamp_extracted_at,
         "write_raw_jsonl": write_raw_jsonl,
         "raw_path": raw_path,

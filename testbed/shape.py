@@ -114,3 +114,24 @@ def land_pages(rows: DataFrame, path: str, missing: int = 0) -> None:
     pages = rows.groupBy(F.floor(F.col("complaint_id") / PAGE_KEYS).alias("page")).agg(F.collect_list(hit).alias("hits"))
     body = F.struct(F.struct(F.struct(total.alias("value")).alias("total"), F.col("hits")).alias("hits"))
     pages.select(F.to_json(body, {"ignoreNullFields": "false"})).write.text(path)
+
+
+def land_chain(rows: DataFrame, path: str) -> None:
+    """Write keys as pages in key order that name their cursors, with lost, doubled and overlapping pages.
+
+    Of seven pages one is lost, of five one is landed twice, and of eleven one was asked for with the cursor of the page
+    before, whose hits it has too.
+    """
+    page = F.floor(F.col("complaint_id") / PAGE_KEYS)
+    keys = rows.select("complaint_id", page.alias("page"))
+    again = keys.filter("(page + 1) % 11 = 4").withColumn("page", F.col("page") + 1)
+    bounds = Window.orderBy("page")  # one row per page
+    asked = F.when(F.col("page") % 11 == 4, F.lag("last", 2).over(bounds)).otherwise(F.lag("last").over(bounds))
+    cursors = keys.groupBy("page").agg(F.max("complaint_id").alias("last")).select("page", asked.cast("string").alias("search_after"))
+    hit = F.struct(F.lit("{}").alias("_source"), F.array("complaint_id").alias("sort"))
+    hits = keys.union(again).groupBy("page").agg(F.sort_array(F.collect_list(hit)).alias("hits"))
+    landed = hits.join(cursors, "page").filter("page % 7 <> 3")
+    copies = F.explode(F.when(F.col("page") % 5 == 1, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))))
+    total = F.struct(keys.agg(F.count(F.lit(1))).scalar().alias("value"))
+    body = F.struct("search_after", F.struct(total.alias("total"), "hits").alias("hits"))
+    landed.select(copies, body.alias("body")).select(F.to_json("body")).write.text(path)
