@@ -27,11 +27,12 @@ from pyspark.sql import types as T
 from plaintide.llm.byte_bpe import Recent
 from plaintide.llm.packing import text_groups
 from plaintide.llm.shared import ship_package
-from plaintide.llm.unigram import CHUNK, SPACE, Unigram, escaped, unigram
+from plaintide.llm.unigram import CHUNK, SCORE, SPACE, Unigram, escaped, unigram
 
 #: Chunks kept in each of two generations.
 KNOWN = 200_000
 HELD = 256
+INFINITY = float("inf")
 
 
 class StreamingViterbi:
@@ -42,38 +43,48 @@ class StreamingViterbi:
         self.held = 0
 
     def encode(self, characters: Iterable[str]) -> Iterator[int]:
-        """Positions count from the last settled boundary; ``text`` holds what follows it."""
-        scores, prefixes, unknown = self.model.scores, self.model.prefixes, self.model.unknown
-        text, best, back, starts, check = "", [0.0], [0], [], HELD
+        """Positions count from the last settled boundary; ``text`` holds what follows it.
+
+        A start comes with the node of the trie that the text since then leads to.
+        """
+        root, unknown = self.model.trie, self.model.unknown
+        text, at, best, back, starts, check = "", 0, [0.0], [0], [], HELD
         for character in characters:
             text += character
-            at, alive = len(text), []
-            starts.append(at - 1)
-            top, origin = -float("inf"), at - 1
-            for start in starts:
-                piece = text[start:]
-                score = scores.get(piece)
-                if score is None and start == at - 1:
-                    score = unknown
-                if score is not None and best[start] + score > top:
-                    top, origin = best[start] + score, start
-                if piece in prefixes:
-                    alive.append(start)
+            alive = []
+            top, origin = -INFINITY, at
+            starts.append((at, root))
+            at += 1
+            for start, node in starts:
+                node = node.get(character)
+                if node is not None:
+                    score = node.get(SCORE)
+                    if score is None:
+                        alive.append((start, node))
+                        continue
+                    if best[start] + score > top:
+                        top, origin = best[start] + score, start
+                    if len(node) > 1:
+                        alive.append((start, node))
+            if best[-1] + unknown > top:
+                top, origin = best[-1] + unknown, at - 1
             best.append(top)
             back.append(origin)
             starts = alive
-            self.held = max(self.held, at)
             if not alive:
+                self.held = max(self.held, at)
                 yield from self.ids(text, back, at)
-                text, best, back, check = "", [top], [0], HELD
+                text, at, best, back, check = "", 0, [top], [0], HELD
             elif at >= check:
-                settled = self.meeting(back, [at, *alive])
+                self.held = max(self.held, at)
+                settled = self.meeting(back, [at, *(start for start, _ in alive)])
                 yield from self.ids(text, back, settled)
-                text, best = text[settled:], best[settled:]
+                text, best, at = text[settled:], best[settled:], at - settled
                 back = [max(0, b - settled) for b in back[settled:]]
-                starts = [s - settled for s in alive]
-                check = len(text) + HELD
-        yield from self.ids(text, back, len(text))
+                starts = [(start - settled, node) for start, node in alive]
+                check = at + HELD
+        self.held = max(self.held, at)
+        yield from self.ids(text, back, at)
 
     @staticmethod
     def meeting(back: list[int], ends: list[int]) -> int:
@@ -108,7 +119,7 @@ class Codec:
         self.texts = [bytes([values[i]]) if i in values else p.replace(SPACE, " ").encode() for i, p in enumerate(self.model.pieces)]
 
     def packed(self, characters: Iterable[str]) -> bytes:
-        return np.fromiter(self.search.encode(characters), "<u4").tobytes()
+        return np.array(list(self.search.encode(characters)), "<u4").tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""

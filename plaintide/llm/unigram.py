@@ -12,9 +12,11 @@ space that follows something else, and around a line feed. Texts are cut there i
 from __future__ import annotations
 
 import re
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 SPACE = "▁"
+#: The key of a piece's score in its node of the trie; characters are the keys of the nodes below.
+SCORE = ""
 CHUNK = re.compile(r"▁*[^▁\n]+|\n|▁+")
 #: A character without a piece costs this much more than the worst piece.
 UNKNOWN = 10.0
@@ -40,6 +42,17 @@ class Unigram:
         if any(model.is_unknown(b) for b in self.bytes):
             raise ValueError("the model has no byte pieces")
 
+    @cached_property
+    def trie(self) -> dict:
+        """The pieces by their characters."""
+        root: dict = {}
+        for piece, score in self.scores.items():
+            node = root
+            for character in piece:
+                node = node.setdefault(character, {})
+            node[SCORE] = score
+        return root
+
     def spelled(self, character: str) -> list[int]:
         return [self.bytes[b] for b in character.encode()]
 
