@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from plaintide.schemas import KEY, REQUIRED
 
@@ -31,6 +32,21 @@ def _rows(condition: Column | None = None) -> Column:
     return F.count(one)
 
 
+def key_buckets(df: DataFrame, key: str) -> DataFrame:
+    """Rows `n` and different keys `distinct` per bucket of 32,768 consecutive whole-number keys; NULL keys have bucket NULL.
+
+    A map task turns the keys of a bucket into one bitmap of 4 KB, so bitmaps are shuffled and not keys. Where rows lie
+    by ranges of keys, as in the stored table, a range of a million keys has at most 31 bitmaps, however many rows repeat.
+    """
+    bucket, place = F.bitmap_bucket_number(key), F.bitmap_bit_position(key)
+    distinct = F.bitmap_count(F.bitmap_construct_agg(place))
+    return df.groupBy(bucket.alias("bucket")).agg(_rows().alias("n"), distinct.alias("distinct"))
+
+
+def has_whole_numbers(df: DataFrame, column: str) -> bool:
+    return isinstance(df.schema[column].dataType, T.IntegralType)
+
+
 def dq_unique(df: DataFrame, column: str) -> DataFrame:
     """Values that occur more than once, with their row count; NULL is not a value."""
     counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg(_rows().alias("n"))
@@ -61,7 +77,13 @@ def dq_has_rows(df: DataFrame) -> DataFrame:
 
 
 def dq_key_unique_ratio(df: DataFrame, key: str = KEY) -> DataFrame:
-    counts = df.agg(F.count_distinct(key).alias("unique_count"), _rows().alias("total_count"))
+    """Different keys against rows. Whole-number keys are counted by bitmaps, others are shuffled."""
+    if has_whole_numbers(df, key):
+        zero = F.lit(0).cast("long")
+        found = key_buckets(df, key).agg(F.sum("distinct").alias("unique_count"), F.sum("n").alias("total_count"))
+        counts = found.select(*[F.coalesce(c, zero).alias(c) for c in found.columns])
+    else:
+        counts = df.agg(F.count_distinct(key).alias("unique_count"), _rows().alias("total_count"))
     return counts.withColumn("is_unique", F.col("unique_count") == F.col("total_count"))
 
 
@@ -91,16 +113,42 @@ def _failures(df: DataFrame, column: str, tests: Sequence[str]) -> DataFrame:
     return found.unpivot([], list(tests), "test", "failures")
 
 
+def clean_keys(models: Mapping[str, DataFrame], projections: Mapping[str, str] | None = None) -> dict[str, int]:
+    """The models whose whole-number keys do not repeat, and their NULL keys; evaluated now, in one job.
+
+    Most runs find all keys clean and need no more; keys that repeat have to be shuffled to be told apart.
+    """
+    parts = []
+    for model, column, tests in MODEL_TESTS:
+        known = model in models and model not in (projections or {}) and "unique" in tests
+        if known and has_whole_numbers(models[model], column):
+            repeats = _rows(F.col("bucket").isNotNull() & (F.col("n") > F.col("distinct")))
+            nulls = F.coalesce(F.sum(F.when(F.col("bucket").isNull(), F.col("n"))), F.lit(0).cast("long"))
+            parts.append(key_buckets(models[model], column).agg(F.lit(model).alias("model"), repeats.alias("repeats"), nulls.alias("nulls")))
+    rows = reduce(DataFrame.unionByName, parts).collect() if parts else []
+    return {row["model"]: row["nulls"] for row in rows if row["repeats"] == 0}
+
+
 def _absent(spark: SparkSession, tests: Sequence[str]) -> DataFrame:
     rows = F.explode(F.array(*map(F.lit, tests))).alias("test")
     return spark.range(1).select(rows, F.lit(1).cast("long").alias("failures"))
 
 
-def dq_report(models: Mapping[str, DataFrame], projections: Mapping[str, str] | None = None) -> DataFrame:
+def _clean(spark: SparkSession, tests: Sequence[str], nulls: int) -> DataFrame:
+    counts = F.lit(0).cast("long").alias("unique"), F.lit(nulls).cast("long").alias("not_null")
+    return spark.range(1).select(*counts).unpivot([], list(tests), "test", "failures")
+
+
+def dq_report(
+    models: Mapping[str, DataFrame],
+    projections: Mapping[str, str] | None = None,
+    clean: Mapping[str, int] | None = None,
+) -> DataFrame:
     """All declared checks: model, column, test, number of failures.
 
     A model that is not given fails each of its tests once. `projections` names models that show another
-    one's rows unchanged: their keys are counted with that one's.
+    one's rows unchanged: their keys are counted with that one's. `clean` are the results of :func:`clean_keys`, whose
+    models are not read again.
     """
     spark = next(iter(models.values())).sparkSession
     shown = {m: s for m, s in (projections or {}).items() if m in models and s in models}
@@ -109,7 +157,12 @@ def dq_report(models: Mapping[str, DataFrame], projections: Mapping[str, str] |
         if model in shown:
             continue
         names = [model, *[m for m, s in shown.items() if s == model]]
-        found = _failures(models[model], column, tests) if model in models else _absent(spark, tests)
+        if model not in models:
+            found = _absent(spark, tests)
+        elif model in (clean or {}):
+            found = _clean(spark, tests, clean[model])
+        else:
+            found = _failures(models[model], column, tests)
         found = found.withColumn("model", F.explode(F.array(*map(F.lit, names))))
         parts.append(found.select("model", F.lit(column).alias("column_name"), "test", "failures"))
     return reduce(DataFrame.unionByName, parts)

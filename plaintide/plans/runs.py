@@ -9,17 +9,20 @@ from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from plaintide.functions.scalar import utc_date_sql
-from plaintide.operators.ledger import changed, counted, mart_of
+from plaintide.operators.ledger import changed, counted, mart_of, within
 from plaintide.operators.normalize import normalize_schema
-from plaintide.operators.quality import dq_report
+from plaintide.operators.quality import clean_keys, dq_report
 from plaintide.operators.upsert import RANGE, key_range
 from plaintide.plans.marts import GROUPED
 from plaintide.plans.models import METRICS, fct_complaints, int_complaint_metrics, staged_columns, stg_complaints
 from plaintide.plans.serving import FRAMES
+from plaintide.schemas import BRONZE
 from plaintide.sources.bronze import scan_bronze, write_bronze
 from plaintide.sources.files import children
+from plaintide.sources.journal import Journal, fingerprints
 from plaintide.sources.pages import (
     fetch_folder,
     flatten_pages,
@@ -28,7 +31,7 @@ from plaintide.sources.pages import (
     stamp_extracted_at,
     with_process_date,
 )
-from plaintide.sources.raw import CHUNK_SIZE, dated, read_raw, write_raw
+from plaintide.sources.raw import CHUNK_SIZE, PARTITION, dated, of_days, read_raw, write_raw
 from plaintide.sources.versions import Manifest, new_folder, publish, version_at
 from plaintide.sources.warehouse import COMPLAINTS, Warehouse
 
@@ -36,7 +39,7 @@ FACT = "fct_complaints"
 VERSIONS = "_versions"
 KEY_TYPES = {"complaint_month_date": "date"}
 COUNTS = (
-    "mart string, k1 string, k2 string, source int, value string, days bigint, "
+    "mart string, period date, k1 string, k2 string, source int, value string, days bigint, "
     "n bigint, timely bigint, timely_known bigint, narrative bigint, narrative_known bigint"
 )
 
@@ -164,9 +167,37 @@ def rebuild_models(warehouse: Warehouse, run_ts: str | None = None) -> dict[str,
     return build_models(warehouse, run_ts)
 
 
+def marts_between(
+    warehouse: Warehouse,
+    first: str | None,
+    last: str | None,
+    as_of: str | None = None,
+) -> dict[str, DataFrame]:
+    """The marts of the complaints received in the months `first` to `last`, as if there were no others.
+
+    They are made from the stored counts of those months; neither the table nor the fact table is read. With both
+    bounds open they are the published marts. Counts stored before there were months have none: `rebuild_models`
+    gives them theirs.
+    """
+    manifest = version_at(warehouse.spark, warehouse.path("marts", VERSIONS), as_of)
+    if manifest is None or not manifest.tables:
+        raise LookupError(f"no marts were published up to {as_of or 'now'}")
+    stored = within(warehouse.spark.read.schema(COUNTS).parquet(manifest.tables["totals"]), first, last)
+    return {name: mart_of(stored, name, mart, KEY_TYPES) for name, mart in GROUPED.items()}
+
+
+#: The staging view is a projection of the table, so one count of the keys serves both.
+PROJECTIONS = {"stg_complaints": "complaints"}
+
+
 def check_models(models: dict[str, DataFrame]) -> DataFrame:
-    """The declared checks; the staging view is a projection of the table, so one count of the keys serves both."""
-    return dq_report(models, projections={"stg_complaints": "complaints"})
+    """The declared checks."""
+    return dq_report(models, PROJECTIONS)
+
+
+def checked(models: dict[str, DataFrame]) -> DataFrame:
+    """The same as values; the keys are shuffled only where they repeat."""
+    return values(dq_report(models, PROJECTIONS, clean_keys(models, PROJECTIONS)))
 
 
 def run_backfill(
@@ -188,7 +219,49 @@ def run_backfill(
     raw_to_bronze(spark, zones, first, last)
     processed = warehouse.upsert(scan_bronze(spark, zones.bronze, first, last))
     summary = warehouse.load_summary(processed)
-    return RunResult(fetched, summary, values(check_models(build_models(warehouse, run_ts))))
+    return RunResult(fetched, summary, checked(build_models(warehouse, run_ts)))
+
+
+def resume_backfill(
+    warehouse: Warehouse,
+    zones: Zones,
+    first: str | None,
+    last: str | None,
+    run_ts: str,
+    chunk_size: int = CHUNK_SIZE,
+) -> RunResult:
+    """A backfill that goes on where an earlier call for the same fetch was stopped.
+
+    Each step records the days it has finished with a fingerprint of the fetched records, and leaves out days whose
+    records are those it was finished with. So a call after a stop does what is left, one after a correction of the
+    landed pages the days that changed, and one after neither of them nothing but the checks. A step that was stopped
+    is done again for its open days, which replaces the same files and rows. The summary counts the rows loaded by
+    this call. Days that are no longer fetched stay as they are, as with `run_backfill`.
+    """
+    spark = warehouse.spark
+    pages = read_pages(spark, fetch_folder(zones.pages, run_ts))
+    fetched = dated(with_process_date(flatten_pages(pages), undated=first or run_ts[:10]), first, last)
+    prints, reconciled = fingerprints(fetched), values(reconcile_counts(pages))
+    journal = Journal(spark, fetch_folder(f"{zones.raw.rstrip('/')}/_journal", run_ts))
+    processed = 0
+
+    def load(days: list[str]) -> None:
+        nonlocal processed
+        bronze = spark.read.schema(T.StructType([*BRONZE.fields, PARTITION])).parquet(zones.bronze)
+        processed = warehouse.upsert(of_days(bronze, days).drop("process_date"))
+
+    steps = {
+        "raw": lambda days: write_raw(stamp_extracted_at(of_days(fetched, days), run_ts), zones.raw, chunk_size),
+        "bronze": lambda days: write_bronze(normalize_schema(of_days(read_raw(spark, zones.raw), days), keep=("process_date",)), zones.bronze),
+        "load": load,
+    }
+    for step, work in steps.items():
+        days = journal.open_days(step, prints)
+        if days:
+            work(days)
+            journal.finish(step, {day: prints[day] for day in days})
+    warehouse.create_if_absent()
+    return RunResult(reconciled, warehouse.load_summary(processed), checked(build_models(warehouse, run_ts)))
 
 
 def run_daily(

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -53,6 +56,11 @@ def dated(df: DataFrame, first: str | None, last: str | None) -> DataFrame:
     return df if last is None else df.filter(day <= F.lit(last).cast("date"))
 
 
+def of_days(df: DataFrame, days: Sequence[str]) -> DataFrame:
+    """Rows of the given process dates; the scan reads their folders alone."""
+    return df.filter(F.col("process_date").isin([date.fromisoformat(d) for d in days]))
+
+
 def read_raw(spark: SparkSession, root: str, first: str | None = None, last: str | None = None) -> DataFrame:
     """Raw records of the process dates `first` to `last`; files of other dates are not read."""
     reader = spark.read.schema(T.StructType([*RAW.fields, PARTITION])).option("mode", "FAILFAST")

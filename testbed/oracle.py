@@ -245,6 +245,12 @@ def on_metrics(body: str, *parts: str) -> str:
     return _sql(body, *_BASE, *parts)
 
 
+def between(table: str, part: str) -> str:
+    """A mart of the complaints of some months alone."""
+    months = f"date_trunc('month', date_received) BETWEEN date_trunc('month', DATE '{FIRST}') AND date_trunc('month', DATE '{LAST}')"
+    return _sql(f"SELECT * FROM {table}", SHAPED, STAGED, METRICS.replace("FROM stg)", f"FROM stg WHERE {months})"), part)
+
+
 BRONZE_COLUMNS = (
     "product, complaint_what_happened, date_sent_to_company, issue, sub_product, zip_code, tags, has_narrative, "
     "complaint_id, timely, company_response, submitted_via, company, date_received, state, "
@@ -440,6 +446,13 @@ def oracle_sql() -> dict[str, str]:
             " UNION ALL ".join(f"SELECT '{name}' AS frame, count(*) AS n_rows FROM {name}" for name in frame_names),
             *frames,
         ),
+        "resume_backfill": on_shape(
+            "SELECT 1 AS call, 'success' AS status, count(*) AS records_processed, count(*) AS total_records_in_table FROM shaped "
+            f"WHERE coalesce(date_received::DATE, DATE '{FIRST}') BETWEEN DATE '{FIRST}' AND DATE '{LAST}' "
+            f"UNION ALL SELECT 2, 'success', count_if({DAY} NOT BETWEEN DATE '{FIRST}' + 1 AND DATE '{LAST}'), count(*) FROM shaped"
+        ),
+        "states_between": between("states", STATES),
+        "products_between": between("products", PRODUCTS),
         "marts_after_change": _all_columns("states", STATES),
         "read_marts_as_of": on_metrics(f"SELECT {_DASH['dash_companies'][2]} FROM companies", COMPANIES),
         # projections and predicates

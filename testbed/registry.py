@@ -280,6 +280,15 @@ def run_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return backfilled(spark, sf_dir, "backfill")[1].summary
 
 
+def resume_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A backfill of some days, and one of all days of the same fetch, which does what is left."""
+    stored, root, warehouse = layers(spark, sf_dir), shared_scratch(spark, "resume"), new_warehouse(spark, "resume")
+    stored.pages()
+    zones = runs.Zones(stored.zones.pages, f"{root}/raw", f"{root}/bronze")
+    calls = [runs.resume_backfill(warehouse, zones, *days, RUN_TS).summary for days in ((FIRST, LAST), (None, None))]
+    return calls[0].withColumn("call", F.lit(1)).unionByName(calls[1].withColumn("call", F.lit(2)))
+
+
 def run_correction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A day fetched twice: the later fetch corrects the earlier one, each run reads its own pages."""
     root, warehouse = shared_scratch(spark, "correction"), new_warehouse(spark, "correction")
@@ -375,6 +384,21 @@ def read_marts_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.read_marts(warehouse, as_of=EARLIER_TS)["companies"]
 
 
+def between(frame: Callable[[dict[str, DataFrame]], DataFrame]) -> Query:
+    """From the marts of some months, after a load that replaces rows of those months and others."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        warehouse, rows = new_warehouse(spark, "between"), normalize_schema(shape.complaints(spark, sf_dir))
+        moved = F.col("date_received") + F.expr("INTERVAL 400 DAYS")
+        warehouse.upsert(rows.filter("complaint_id % 2 = 0").withColumns({"date_received": moved, "state": F.lit("ZZ")}))
+        runs.build_models(warehouse, EARLIER_TS)
+        warehouse.upsert(rows)
+        runs.build_models(warehouse, RUN_TS)
+        return frame(runs.marts_between(warehouse, FIRST, LAST))
+
+    return query
+
+
 # Loads and checks
 
 def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -475,9 +499,12 @@ def queries() -> dict[str, Query]:
         "metric_view": view("intermediate", "int_complaint_metrics"),
         "run_daily": run_daily,
         "run_backfill": run_backfill,
+        "resume_backfill": resume_backfill,
         "read_marts": read_marts,
         "marts_after_change": marts_after_change,
         "read_marts_as_of": read_marts_as_of,
+        "states_between": between(lambda found: found["dim_states"]),
+        "products_between": between(lambda found: found["dim_products"]),
         # projections and predicates
         "normalize_schema": on_complaints(lambda c: plain_times(normalize_schema(c))),
         "stg_complaints": on_complaints(models.stg_complaints),

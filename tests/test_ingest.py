@@ -15,6 +15,7 @@ from plaintide.schemas import BRONZE
 from plaintide.session import scratch_dir
 from plaintide.sources import bronze as bronze_layer
 from plaintide.sources import pages, raw
+from plaintide.sources.journal import fingerprints
 from plaintide.sources.warehouse import schema_for_layer
 from tests.rows import bronze, by_key, complaint
 
@@ -245,6 +246,64 @@ def test_a_later_fetch_corrects_an_earlier_one(spark, zones, warehouse):
     assert found[1]["extracted_at"] < found[9]["extracted_at"]
 
 
+class Stopped(Exception):
+    pass
+
+
+def test_a_stopped_backfill_goes_on(spark, zones, warehouse, monkeypatch):
+    """Stopped in each step in turn: finished steps and days are not done again, and the table is that of a whole run."""
+    records = [record(k, f"2026-07-0{1 + k % 3}") for k in range(9)]
+    ts = fetch(zones, RUN_TS, page(records[:5]), page([*records[5:], record(20, date_received=None)]))
+    done = []
+
+    def watch(step, real, stop):
+        def call(df, *rest):
+            days = sorted(str(r[0]) for r in df.select("process_date").distinct().collect()) if "process_date" in df.columns else df.count()
+            done.append((step, days))
+            if stop:
+                raise Stopped(step)
+            return real(df, *rest)
+
+        return call
+
+    real = {"write_raw": runs.write_raw, "write_bronze": runs.write_bronze}
+    upsert = warehouse.__class__.upsert
+
+    def resume(stop=None):
+        done.clear()
+        for step in real:
+            monkeypatch.setattr(runs, step, watch(step, real[step], step == stop))
+        monkeypatch.setattr(warehouse.__class__, "upsert", lambda self, df: watch("upsert", lambda rows: upsert(self, rows), stop == "upsert")(df))
+        result = runs.resume_backfill(warehouse, zones, "2026-07-01", "2026-07-05", ts)
+        return tuple(result.summary.collect()[0])
+
+    days = ["2026-07-01", "2026-07-02", "2026-07-03"]
+    for stop, steps in [("write_raw", ["write_raw"]), ("write_bronze", ["write_raw", "write_bronze"]), ("upsert", ["write_bronze", "upsert"])]:
+        with pytest.raises(Stopped):
+            resume(stop)
+        assert [s for s, _ in done] == steps and done[0][1] == days
+    assert resume() == (10, 10, "success") and done == [("upsert", 10)]
+    assert resume() == (0, 10, "success") and done == []
+    first = by_key(warehouse.source_table())
+
+    # a page of the fetch is landed again with another record of one day
+    write_pages(pages.fetch_folder(zones.pages, ts), page([*records[:4], record(4, "2026-07-02", company="Beta")]))
+    assert resume() == (3, 10, "success")
+    assert done == [("write_raw", days[1:2]), ("write_bronze", days[1:2]), ("upsert", 3)]
+    found = by_key(warehouse.source_table())
+    assert found[4]["company"] == "Beta" and {k: r for k, r in found.items() if k != 4} == {k: r for k, r in first.items() if k != 4}
+    assert raw.read_raw(spark, zones.raw).count() == 10
+    assert sorted(r["total_complaints"] for r in runs.read_marts(warehouse)["companies"].collect()) == [1, 9]
+
+
+def test_fingerprints_do_not_depend_on_order(spark):
+    rows = [("a", "2026-07-01"), ("b", "2026-07-01"), ("b", "2026-07-01"), ("a", "2026-07-02")]
+    found = [fingerprints(spark.createDataFrame(r, "record string, process_date string").repartition(n)) for r, n in ((rows, 1), (rows[::-1], 3))]
+    assert found[0] == found[1] and len(set(found[0].values())) == 2
+    other = fingerprints(spark.createDataFrame([("a", "2026-07-01"), ("b", "2026-07-01"), ("a", "2026-07-01")], "record string, process_date string"))
+    assert other["2026-07-01"] != found[0]["2026-07-01"]
+
+
 def test_a_broken_fetch_fails_its_own_run_only(spark, zones, warehouse):
     ts = fetch(zones, RUN_TS, page([record(1), record(2, date_received=None)]))
     assert tuple(runs.run_daily(warehouse, zones, "2026-07-02", ts).summary.collect()[0]) == (2, 2, "success")

@@ -1,5 +1,9 @@
 from __future__ import annotations
 
+from collections import Counter
+
+from pyspark.sql import functions as F
+
 from plaintide.operators import quality
 from plaintide.plans import marts, models
 from tests.rows import bronze, complaint
@@ -51,6 +55,28 @@ def test_single_row_checks(spark):
     assert one(quality.dq_valid_ratio(df.limit(0))) == (0, 0, None, None)
 
 
+def test_keys_are_counted_by_bitmaps(spark):
+    """Negative, extreme, sparse and hot keys against a plain count; no key is shuffled for the distinct count."""
+    keys = [None, None, 0, 0, -1, 1, 32768, 32768, 32769, -32768, -32769, 2**63 - 1, -(2**63), -(2**63), 10**12, *[7] * 500]
+    df = spark.createDataFrame([(k,) for k in keys], "complaint_id long").repartition(5)
+    plain = Counter(k for k in keys if k is not None)
+    assert one(quality.dq_key_unique_ratio(df)) == (len(plain), len(keys), False)
+    assert one(quality.dq_key_unique_ratio(spark.range(10).withColumnRenamed("id", "complaint_id"))) == (10, 10, True)
+    assert one(quality.dq_key_unique_ratio(df.limit(0))) == (0, 0, True)
+    assert one(quality.dq_key_unique_ratio(df.withColumn("complaint_id", F.col("complaint_id").cast("string")))) == (len(plain), len(keys), False)
+    clean = spark.createDataFrame([(k,) for k in [*plain, None, None, None]], "complaint_id long").repartition(5)
+    built = {"complaints": df, "stg_complaints": df, "fct_complaints": clean}
+    found = quality.clean_keys(built, {"stg_complaints": "complaints"})
+    assert found == {"fct_complaints": 3} and quality.clean_keys({}) == {}
+    rows = [sorted(map(tuple, quality.dq_report(built, clean=c).collect())) for c in (None, found)]
+    assert rows[0] == rows[1]
+    report = {(model, test): n for model, _, test, n in rows[1]}
+    assert report[("complaints", "unique")] == sum(n > 1 for n in plain.values()) and report[("complaints", "not_null")] == 2
+    assert report[("fct_complaints", "unique")] == 0 and report[("fct_complaints", "not_null")] == 3
+    plan = quality.dq_key_unique_ratio(df)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(complaint_id" not in plan and "bitmap_construct_agg" in plan
+
+
 def test_table_exists(spark, warehouse):
     df = sample(spark)
     name = warehouse.name("marts", "sample")
