@@ -416,6 +416,10 @@ def oracle_sql() -> dict[str, str]:
             f"SELECT {DAY} AS process_date, count(*) AS records, "
             "count_if(has_narrative)::BIGINT AS narratives FROM shaped GROUP BY 1"
         ),
+        "find_company": on_shape(
+            f"SELECT {BRONZE_COLUMNS} FROM shaped WHERE company = '{COMPANY}' "
+            f"AND date_received::DATE BETWEEN DATE '{FIRST}' AND DATE '{LAST}'"
+        ),
         "scan_bronze": on_shape(
             f"SELECT {LOADED} FROM shaped WHERE date_received::DATE BETWEEN DATE '{FIRST}' AND DATE '{LAST}'"
         ),

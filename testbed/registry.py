@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from plaintide.functions.scalar import utc_wall
 from plaintide.operators import filters, merge_on_read, quality, relevance
 from plaintide.operators.normalize import normalize_schema
-from plaintide.plans import marts, models, runs, serving
+from plaintide.plans import layout, marts, models, runs, serving
 from plaintide.session import scratch_dir
 from plaintide.sources import bronze, chain, pages, raw
 from plaintide.sources.warehouse import COMPLAINTS, Warehouse, schema_for_layer
@@ -289,6 +289,16 @@ def resume_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return calls[0].withColumn("call", F.lit(1)).unionByName(calls[1].withColumn("call", F.lit(2)))
 
 
+def find_company(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A company's records of some days by the layout, after a load of other rows, a refresh, and a load that replaces."""
+    warehouse, rows = new_warehouse(spark, "layout"), normalize_schema(shape.complaints(spark, sf_dir))
+    warehouse.upsert(rows.filter("complaint_id % 2 = 0").withColumn("company", F.lit(COMPANY)))
+    layout.refresh_layout(warehouse)
+    warehouse.upsert(rows)
+    layout.refresh_layout(warehouse)
+    return plain_times(layout.find(warehouse, COMPANY, FIRST, LAST))
+
+
 def run_correction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A day fetched twice: the later fetch corrects the earlier one, each run reads its own pages."""
     root, warehouse = shared_scratch(spark, "correction"), new_warehouse(spark, "correction")
@@ -473,6 +483,7 @@ def queries() -> dict[str, Query]:
         "flatten_pages": flatten_pages,
         "filter_received_range": on_complaints(lambda c: filters.filter_received_range(c, FIRST, LAST)),
         "filter_company": on_complaints(lambda c: filters.filter_company(c, COMPANY)),
+        "find_company": find_company,
         "sort_created": on_complaints(filters.sort_created, "complaint_id", "date_received", "company", "product"),
         "chunk_records": chunk_records,
         "sort_relevance": sort_relevance,
