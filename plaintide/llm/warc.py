@@ -90,17 +90,24 @@ def write_archives(pages: DataFrame, folder: str, least: int = LEAST) -> None:
 
 
 class Reader:
-    """Bytes of one archive, inflated as far as they are asked for."""
+    """Bytes of one archive, inflated as far as they are asked for; a place in them moves on, so no rest is copied."""
+
+    KEEP = 1 << 20
 
     def __init__(self, content: bytes) -> None:
         self.zipped = content[:2] == b"\x1f\x8b"
-        self.rest, self.ready = content, b"" if self.zipped else content
+        self.content, self.at = content, 0
+        self.ready, self.place = bytearray() if self.zipped else content, 0
         self.inflate = zlib.decompressobj(31)
 
     def more(self) -> bool:
-        if not self.zipped or not self.rest:
+        if not self.zipped or self.at >= len(self.content):
             return False
-        step, self.rest = self.rest[: 1 << 16], self.rest[1 << 16 :]
+        if self.place > self.KEEP:
+            del self.ready[: self.place]
+            self.place = 0
+        step = self.content[self.at : self.at + (1 << 16)]
+        self.at += len(step)
         self.ready += self.inflate.decompress(step)
         while self.inflate.eof and self.inflate.unused_data:
             left, self.inflate = self.inflate.unused_data, zlib.decompressobj(31)
@@ -108,16 +115,21 @@ class Reader:
         return True
 
     def until(self, end: bytes) -> bytes | None:
-        while (at := self.ready.find(end)) < 0:
+        looked = self.place
+        while (at := self.ready.find(end, looked)) < 0:
+            unseen, before = max(len(self.ready) - len(end) + 1, self.place), self.place
             if not self.more():
                 return None
-        found, self.ready = self.ready[:at], self.ready[at + len(end) :]
+            looked = unseen - (before - self.place)
+        found = bytes(self.ready[self.place : at])
+        self.place = at + len(end)
         return found
 
     def take(self, size: int) -> bytes:
-        while len(self.ready) < size and self.more():
+        while len(self.ready) - self.place < size and self.more():
             pass
-        found, self.ready = self.ready[:size], self.ready[size:]
+        found = bytes(self.ready[self.place : self.place + size])
+        self.place += len(found)
         return found
 
     def records(self) -> Iterator[tuple[dict[str, str], bytes]]:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import collections
 import random
 import re
 
@@ -25,8 +26,9 @@ def plain(text):
             seen.add(line)
     windows = [tuple(words[i : i + 8]) for i in range(len(words) - 7)]
     covered = set()
+    times = collections.Counter(windows)
     for i, w in enumerate(windows):
-        if windows.count(w) > 1:
+        if times[w] > 1:
             covered.update(range(i, i + 8))
     raw = text.encode()
     compress = zstandard.ZstdCompressor(level=3).compress
@@ -49,7 +51,7 @@ def test_documents(spark):
     frame = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     texts = {r.doc_id: r.text for r in frame.collect()}
     got = dict(found(frame))
-    assert got == {i: plain(t) for i, t in texts.items() if len(t) < 20000} | {i: got[i] for i, t in texts.items() if len(t) >= 20000}
+    assert got == {i: plain(t) for i, t in texts.items()}
     assert {v[-1] for v in got.values()} == {True, False}
 
 

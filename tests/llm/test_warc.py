@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import gzip
 import hashlib
+import random
+import time
 
 import pytest
 
 from plaintide.llm.queries import op1_warc
-from plaintide.llm.warc import archived, assemble, payload_report, read_archives
+from plaintide.llm.warc import Reader, archived, assemble, payload_report, read_archives
 from tests.conftest import SF_DIR
 
 
@@ -79,3 +81,37 @@ def test_query_returns_every_row(spark, tmp_path):
     spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
     got = sorted([(r.page_id, r.record_type, r.refers_to) for r in op1_warc(spark, str(tmp_path)).collect()], key=repr)
     assert got == [(1, "response", None)] * 2 + [(2, "revisit", 1)] * 3 + [(3, "response", None)] * 2 + [(4, "response", None)]
+
+
+def archive(records):
+    parts = []
+    for i, block in enumerate(records):
+        head = f"WARC/1.1\r\nWARC-Type: resource\r\nWARC-Record-ID: <{i}>\r\nContent-Length: {len(block)}\r\n\r\n"
+        parts.append(head.encode() + block + b"\r\n\r\n")
+    return parts
+
+
+def test_reader_on_any_compression():
+    """One member, a member a record, members cut anywhere, and none; blocks hold ends of headers and exceed what is kept."""
+    r = random.Random(8)
+    blocks = [r.randbytes(n) for n in (0, 1, 70_000, 3 << 20, 5)] + [b"\r\n\r\n" * 20_000, b"a" * (2 << 20)] + [r.randbytes(40) for _ in range(400)]
+    parts = archive(blocks)
+    whole = b"".join(parts)
+    cuts = sorted(r.randrange(len(whole)) for _ in range(20))
+    members = [whole[a:b] for a, b in zip([0, *cuts], [*cuts, len(whole)], strict=True)]
+    for content in (whole, gzip.compress(whole), b"".join(map(gzip.compress, parts)), b"".join(map(gzip.compress, members))):
+        assert [block for _, block in Reader(content).records()] == blocks
+    assert list(Reader(b"").records()) == []
+
+
+def test_reader_takes_time_in_proportion():
+    """Eight times the records take about eight times as long without compression, not sixty-four times."""
+
+    def seconds(n):
+        content = b"".join(archive([b"x" * 2000] * n))
+        start = time.perf_counter()
+        assert sum(1 for _ in Reader(content).records()) == n
+        return time.perf_counter() - start
+
+    seconds(1000)
+    assert seconds(32_000) < 24 * max(min(seconds(4000) for _ in range(3)), 0.01)
