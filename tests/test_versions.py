@@ -7,7 +7,8 @@ import random
 
 import pytest
 
-from plaintide.operators.upsert import RANGE, RANGE_WIDTH
+from plaintide.operators.ledger import CELL, counted
+from plaintide.operators.upsert import RANGE, RANGE_WIDTH, key_range
 from plaintide.plans import runs
 from plaintide.plans.marts import GROUPED, MARTS
 from plaintide.plans.models import fct_complaints, int_complaint_metrics, stg_complaints
@@ -179,3 +180,16 @@ def test_two_writers_get_two_numbers(spark, warehouse):
     assert versions.publish(spark, root, first, versions.Manifest(DAY_1, {"t": "one"})).number == 2
     assert versions.version_at(spark, root).tables == {"t": "one"}
     assert versions.version_at(spark, f"{root}-none") is None
+
+
+def test_complaints_are_dealt_and_not_their_cells(spark, warehouse):
+    """One shuffle, of complaints, below the dozen rows that each is counted by; totals have a cell once, not by month."""
+    r = random.Random(6)
+    warehouse.upsert(bronze(spark, some(r, range(40))))
+    metrics = int_complaint_metrics(stg_complaints(warehouse.source_table())).withColumn(RANGE, key_range())
+    text = counted(metrics, GROUPED, by=[RANGE])._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple"))
+    assert text.count("Exchange") == 1 and text.index("Generate") < text.index("Exchange")
+    runs.build_models(warehouse, DAY_1)
+    manifest = versions.version_at(spark, warehouse.path("marts", runs.VERSIONS))
+    totals = spark.read.schema(runs.COUNTS).parquet(manifest.tables["totals"])
+    assert totals.count() == totals.select(CELL).distinct().count()
