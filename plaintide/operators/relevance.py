@@ -25,6 +25,7 @@ import math
 from dataclasses import dataclass
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -78,20 +79,24 @@ def replaced(spark: SparkSession, location: str, names: list[str]) -> DataFrame:
 def update(rows: DataFrame, location: str, text: str = TEXT) -> None:
     """Index a load of records; of equal keys the latest extraction counts, and it replaces what earlier loads had.
 
-    A record whose text is NULL or has no terms leaves the index. A NULL key fails the load.
+    A record whose text is NULL or has no terms leaves the index. A NULL key fails the load. The words of a record are
+    kept (memory and disk) for its length and its postings, so the rows are made and shuffled once.
     """
     spark = rows.sparkSession
     names, name = steps(spark, location), new_step(spark, location)
     folder = f"{location}/{name}"
     latest = latest_per_key(require_key(rows)).select(KEY, words(F.col(text)).alias("words"))
     found = latest.select(KEY, "words", F.coalesce(F.array_size("words"), F.lit(0)).cast("long").alias("length"))
-    found.select(KEY, "length", key_range().alias(RANGE)).write.partitionBy(RANGE).parquet(f"{folder}/lengths")
-
-    own = found.select(KEY, "length", F.explode("words").alias("term")).groupBy(KEY, "term", "length")
-    postings = own.agg(F.count(F.lit(1)).alias("tf")).withColumn("bucket", bucket_of(F.col("term")))
-    # Spark deals the buckets and splits one that a frequent term makes large.
-    dealt = postings.hint("rebalance", "bucket").sortWithinPartitions("bucket", "term")
-    dealt.write.partitionBy("bucket").parquet(f"{folder}/postings")
+    found = found.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        found.select(KEY, "length", key_range().alias(RANGE)).write.partitionBy(RANGE).parquet(f"{folder}/lengths")
+        own = found.select(KEY, "length", F.explode("words").alias("term")).groupBy(KEY, "term", "length")
+        postings = own.agg(F.count(F.lit(1)).alias("tf")).withColumn("bucket", bucket_of(F.col("term")))
+        # Spark deals the buckets and splits one that a frequent term makes large.
+        dealt = postings.hint("rebalance", "bucket").sortWithinPartitions("bucket", "term")
+        dealt.write.partitionBy("bucket").parquet(f"{folder}/postings")
+    finally:
+        found.unpersist()
 
     mine = spark.read.schema(LENGTHS).parquet(f"{folder}/lengths").select(RANGE, KEY)
     before = stored(spark, location, names, "lengths", LENGTHS).join(replaced(spark, location, names), [KEY, "step"], "left_anti")

@@ -146,3 +146,18 @@ def test_only_buckets_of_the_terms_are_read(spark, index):
     scans = [line for line in plan.splitlines() if "FileScan parquet" in line and "tf#" in line]
     filters = [scan.split("PartitionFilters: [")[1].split("]")[0] for scan in scans]
     assert scans and all("bucket#" in f for f in filters)
+
+
+def test_the_words_of_a_load_are_made_once(spark):
+    """Lengths and postings come from the same kept rows."""
+    location, seen = scratch_dir(spark, "index"), spark.sparkContext.accumulator(0)
+    rows = bronze(spark, [complaint(complaint_id=k, complaint_what_happened="late fee") for k in range(7)])
+
+    def counting(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    relevance.update(rows.mapInArrow(counting, rows.schema), location)
+    assert seen.value == 7
+    assert relevance.search(spark, location, "fee").count() == 7
