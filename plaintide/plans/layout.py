@@ -44,12 +44,15 @@ def day_of(df: DataFrame) -> Column:
 
 
 def placed(rows: DataFrame) -> DataFrame:
-    """`rows` with their key range and place on the curve of that range, which spans the range's own days."""
+    """`rows` with their key range and place on the curve of that range, which spans the range's own days.
+
+    The spans are a row per key range; without the hint the rows would be shuffled for them before that is known.
+    """
     rows = rows.withColumn(RANGE, key_range()).withColumn("_day", F.unix_date(day_of(rows)))
     spans = rows.groupBy(RANGE).agg(F.min("_day").alias("_low"), F.max("_day").alias("_high"))
     share = (F.col("_day") - F.col("_low")) * SIDE / (F.col("_high") - F.col("_low") + 1)
     place = interleaved(F.pmod(F.xxhash64("company"), F.lit(SIDE)), F.coalesce(F.floor(share), F.lit(0)))
-    return rows.join(spans, RANGE, "left").withColumn("_place", place).drop("_day", "_low", "_high")
+    return rows.join(F.broadcast(spans), RANGE, "left").withColumn("_place", place).drop("_day", "_low", "_high")
 
 
 def refresh_layout(warehouse: Warehouse, files: int = FILES, run_ts: str = "") -> Manifest:

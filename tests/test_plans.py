@@ -10,6 +10,7 @@ from plaintide.operators import filters
 from plaintide.operators.quality import dq_report
 from plaintide.operators.upsert import RANGE, RANGE_WIDTH, key_range, latest_per_key, touched_rows
 from plaintide.plans import marts, models, serving
+from plaintide.plans.layout import placed
 from plaintide.plans.runs import check_models
 from plaintide.session import scratch_dir
 from plaintide.sources import bronze as bronze_layer
@@ -92,6 +93,18 @@ def test_the_ranges_of_a_batch_prune_the_table(spark, warehouse):
     batch.unpersist()
 
 
+def test_the_rows_of_the_table_are_not_shuffled_for_the_ranges(spark, warehouse):
+    warehouse.upsert(bronze(spark, [complaint(complaint_id=k) for k in (1, 5_000_000, 9_000_000)]))
+    batch = bronze(spark, [complaint(complaint_id=5_000_001), complaint(complaint_id=2)])
+    table, limit = spark.table(warehouse.name("raw", "complaints")), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = [plan(touched_rows(table, batch, "complaint_id", RANGE_WIDTH)), plan(placed(bronze(spark, [complaint(complaint_id=2)])))]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert all("BroadcastHashJoin" in text and "SortMergeJoin" not in text for text in joined)
+
+
 def test_date_filters_reach_the_scan(spark, stored):
     rows = spark.read.parquet(stored)
     text = plan(filters.filter_received_range(rows, "2026-01-01", "2026-01-31"))
