@@ -56,8 +56,8 @@ def byte_of_character() -> dict[str, int]:
     return {chr(b): b for b in visible} | {chr(256 + i): b for i, b in enumerate(hidden)}
 
 
-def piece_encoder(path: str):
-    """An encoder of ordinary text by the ranks of a tokenizer file.
+def encoding(path: str):
+    """An encoding of ordinary text by the ranks of a tokenizer file.
 
     Its merges must be numbered as its tokens are, which makes a token's id its rank.
     """
@@ -73,4 +73,9 @@ def piece_encoder(path: str):
     single = {c: i for c, i in model["vocab"].items() if len(c) == 1}
     ranks = {bytes([plain[c]]): i for c, i in single.items()}
     ranks |= {bytes(plain[c] for c in a + b): i for (a, b), i in zip(pairs, merged, strict=True)}
-    return tiktoken.Encoding(path, pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+    return tiktoken.Encoding(path, pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+def piece_encoder(path: str):
+    """A function from ordinary text to its ids."""
+    return encoding(path).encode_ordinary

@@ -17,8 +17,6 @@ table gives no pieces; extra columns are not read.
 from __future__ import annotations
 
 import os
-import sys
-from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -29,54 +27,35 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plaintide.llm.byte_bpe import Recent, piece_encoder, units_of
+from plaintide.llm.byte_bpe import encoding
 from plaintide.llm.shared import ship_package
 
 WINDOW = 1024
 PIECES = 1 << 14
 END = 0
-#: Units kept in each of two generations, dropped at the end of a task; characters of text encoded at a time.
-KNOWN = 200_000
+#: Characters of text taken from a batch at a time.
 TEXTS = 1 << 20
 
 
 class Encoder:
-    """Token ids of a byte-level BPE tokenizer; units met before are looked up, texts with a special token's string encoded whole."""
+    """Token ids of a byte-level BPE tokenizer; texts with a special token's string go through the library that knows them.
+
+    A text is encoded whole: looking its words up costs more than their encoding does.
+    """
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.piece = piece_encoder(path)
+        self.plain = encoding(path).encode_to_numpy
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.recent = Recent(KNOWN)
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian 32-bit ids of each text."""
-        units = [None if any(s in t for s in self.special) else units_of(t) for t in texts]
-        behind = set()
-        for own in units:
-            if own:
-                behind.update(own[1:])
-        piece, recent = self.piece, self.recent
-        recent.young.update((u, ids_bytes(piece(f" {u}"))) for u in recent.fresh(behind))
-        get = recent.young.__getitem__
-        found = []
-        for text, own in zip(texts, units, strict=True):
-            if own is None:
-                found.append(ids_bytes(self.tokenizer.encode(text, add_special_tokens=False).ids))
-            else:
-                found.append(b"".join([ids_bytes(piece(own[0])), *map(get, own[1:])]))
-        recent.trim(behind)
-        return found
-
-
-def ids_bytes(ids: list[int]) -> bytes:
-    packed = array("I", ids)
-    if sys.byteorder == "big":
-        packed.byteswap()
-    return packed.tobytes()
+
+    def encode(self, text: str) -> bytes:
+        """Little-endian 32-bit ids."""
+        if any(s in text for s in self.special):
+            return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return self.plain(text, disallowed_special=()).astype("<u4", copy=False).tobytes()
 
 
 @lru_cache(maxsize=2)
@@ -175,7 +154,7 @@ def packer(path: str, window: int, pieces: int):
             ids = batch.column(0).to_pylist()
             for first, texts in text_groups(batch.column(1)):
                 full = []
-                for row, raw in enumerate(own.encode(texts), first):
+                for row, raw in enumerate(map(own.encode, texts), first):
                     raw += end
                     total = len(raw) // 4
                     for start in range(0, total - window + 1, window):
@@ -189,7 +168,6 @@ def packer(path: str, window: int, pieces: int):
                     yield placed()
         if rests:
             yield placed()
-        own.recent.clear()
 
     return rows
 

@@ -10,7 +10,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from plaintide.llm.packing import best_fit, pack, sequences
+from plaintide.llm.packing import Encoder, best_fit, pack, sequences
 from tests.conftest import SF_DIR
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -76,3 +76,12 @@ def test_best_fit_equals_a_plain_search():
         placed[i] = 1024 - best
     where, offset, used = best_fit(lengths, 1024)
     assert offset == placed and used == len(room) and len(set(where)) == used
+
+
+def test_a_text_is_encoded_in_one_call():
+    own, calls = Encoder(PATH), []
+    plain = own.plain
+    own.plain = lambda text, **how: calls.append(text) or plain(text, **how)
+    text = "some words,  some\n words and others " * 50
+    assert np.frombuffer(own.encode(text), "<u4").tolist() == Tokenizer.from_file(PATH).encode(text, add_special_tokens=False).ids
+    assert calls == [text]
