@@ -21,13 +21,14 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plaintide.llm.blocks import CODE_POINT, LOWER, U64, WHITE, SpanHash, blocks, columns, mixed
+from plaintide.llm.blocks import CODE_POINT, LOWER, U64, WHITE, SpanHash, blocks, mixed
 from plaintide.llm.bloom import SEGMENT, Bits, bits_for
 from plaintide.llm.shared import ship_package, slice_of, spread_totals, stored
 
@@ -134,30 +135,40 @@ def suspects(held, shortest: int):
 def dropper(shortest: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, ends = columns(batch, "text")
-            raw = data.tobytes()
-            texts, counts, dropped = [], [], []
-            drops = batch.column(batch.schema.get_field_index("drops"))
-            for i in range(batch.num_rows):
-                text = raw[ends[i] : ends[i + 1]]
-                lines, gone = text.count(b"\n") + 1, 0
-                if drops[i].is_valid:
-                    found = Lines(data[ends[i] : ends[i + 1]], np.array([0, len(text)]), shortest)
-                    lower, keys = found.lower.tobytes(), set(drops[i].values.field("sha").to_pylist())
-                    near = np.flatnonzero(np.isin(found.hash.view(np.int64), drops[i].values.field("hash").to_numpy()))
-                    hit = found.row[[k for k in near.tolist() if hashlib.sha256(lower[found.begin[k] : found.stop[k]]).digest() in keys]]
-                    gone = len(hit)
-                    stay = np.ones(lines, bool)
-                    stay[hit] = False
-                    text = b"\n".join(text[found.start[j] : found.end[j]] for j in np.flatnonzero(stay))
-                texts.append(text.decode())
-                counts.append(lines)
-                dropped.append(gone)
-            yield pa.record_batch([batch.column(0), pa.array(texts, pa.string()), pa.array(counts, pa.int64()), pa.array(dropped, pa.int64())], names=["id", "text", "n_lines", "n_dropped"])
+            for rows_, data, offsets in blocks(batch, "text"):
+                own = batch.slice(rows_.start, rows_.stop - rows_.start)
+                drops = own.column(own.schema.get_field_index("drops"))
+                raw = data.tobytes()
+                texts = [raw[a:b] for a, b in pairwise(offsets.tolist())]
+                counts, dropped = [text.count(b"\n") + 1 for text in texts], [0] * len(texts)
+                some = np.flatnonzero(drops.is_valid().to_numpy(zero_copy_only=False))
+                if len(some):
+                    lines = Lines(data, offsets, shortest)
+                    lower, flat = lines.lower.tobytes(), drops.flatten()
+                    keys = dict(zip(some.tolist(), map(set, drops_of(drops.take(pa.array(some)))), strict=True))
+                    near = np.flatnonzero(np.isin(lines.hash.view(np.int64), flat.field("hash").to_numpy()))
+                    stay = np.ones(len(lines.start), bool)
+                    for k, i, a, b in zip(near.tolist(), lines.doc[near].tolist(), lines.begin[near].tolist(), lines.stop[near].tolist(), strict=True):
+                        if i in keys and hashlib.sha256(lower[a:b]).digest() in keys[i]:
+                            stay[lines.row[k]] = False
+                            dropped[i] += 1
+                    for i in np.flatnonzero(dropped).tolist():
+                        left = np.flatnonzero(stay[lines.offsets[i] : lines.offsets[i + 1]]) + lines.offsets[i]
+                        texts[i] = b"\n".join(raw[a:b] for a, b in zip(lines.start[left].tolist(), lines.end[left].tolist(), strict=True))
+                yield pa.record_batch(
+                    [own.column(0), pa.array(texts, pa.binary()).cast(pa.string()), pa.array(counts, pa.int64()), pa.array(dropped, pa.int64())],
+                    names=["id", "text", "n_lines", "n_dropped"],
+                )
 
     return rows
 
 
+def drops_of(drops: pa.Array) -> Iterator[list[bytes]]:
+    """The digests of each row's drops."""
+    digests, ends = drops.flatten().field("sha").to_pylist(), np.concatenate([[0], np.cumsum(drops.value_lengths().to_numpy())])
+    return (digests[a:b] for a, b in pairwise(ends.tolist()))
+
+
 def one_row_per_document(found: DataFrame, rows: DataFrame) -> DataFrame:
     """(key, slice, id) once per key and document. Only rows of repeated ids are compared, so others combine map-side."""
     repeated = stored(rows.groupBy("document").count().filter("count > 1").select("document"), "repeated")

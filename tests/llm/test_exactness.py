@@ -68,6 +68,22 @@ def test_weak_hash_lines(weak):
     assert rest == ["\n".join(x for x in t.split("\n") if x != gone) for t in texts]
 
 
+def test_lines_of_a_block_are_found_at_once(monkeypatch):
+    """One document at a time, the small steps of the search cost more than the lines."""
+    kind = pa.list_(pa.struct([("hash", pa.int64()), ("sha", pa.binary())]))
+    gone = "a line of more than twenty"
+    own = line_dedup.Lines(np.frombuffer(gone.encode(), np.uint8), np.array([0, len(gone)]), 20)
+    drop = [{"hash": int(own.hash.view(np.int64)[0]), "sha": hashlib.sha256(gone.encode()).digest()}]
+    texts = [f"{gone}\nx", f"{gone}\ny", None, f"\n {gone.upper()}\n", "", gone]
+    calls, lines_of = [], line_dedup.Lines
+    monkeypatch.setattr(line_dedup, "Lines", lambda *a: calls.append(1) or lines_of(*a))
+    drops = pa.array([drop, None, None, drop, [], drop], kind)
+    rest = pa.Table.from_batches(line_dedup.dropper(20)(iter([batch_of(texts, drops=drops).slice(0), batch_of(["z", *texts], drops=pa.array([None, drop, None, None, drop, [], drop], kind)).slice(1)]))).to_pydict()
+    assert rest["text"] == ["x", f"{gone}\ny", "", "\n", "", ""] * 2
+    assert rest["n_lines"] == [2, 2, 1, 3, 1, 1] * 2 and rest["n_dropped"] == [1, 0, 0, 1, 0, 1] * 2
+    assert len(calls) == 2
+
+
 def test_weak_hash_links(weak):
     """Only true links come out of the confirmation, however alike the hashes make sets look."""
     import pandas as pd
