@@ -3,6 +3,7 @@ from __future__ import annotations
 import glob
 import json
 import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from plaintide.operators.normalize import normalize_schema
 from plaintide.plans import runs
 from plaintide.plans.models import int_complaint_metrics, stg_complaints
 from plaintide.schemas import BRONZE
-from plaintide.session import scratch_dir
+from plaintide.session import FREED, scratch_dir
 from plaintide.sources import bronze as bronze_layer
 from plaintide.sources import pages, raw
 from plaintide.sources.journal import fingerprints
@@ -364,6 +365,34 @@ def test_pages_are_dealt_before_they_are_collected_and_gzipped(spark, zones):
     assert sorted(json.loads(r.record)["complaint_id"] for r in found.collect()) == list(range(1, 200))
 
 
+def shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {f for f in (files.apply(i).getName() for i in range(files.size())) if f.startswith("shuffle_")}
+
+
+def test_landing_reads_its_rows_once_and_leaves_no_shuffle_files(spark, zones):
+    """The total counted apart joins all tables again, and shuffles kept until a garbage collection add up over steps."""
+    read, before = spark.sparkContext.accumulator(0), shuffle_files(spark)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    rows = bronze(spark, [complaint(complaint_id=k) for k in range(1, 200)])
+    shape.land_pages(rows.mapInArrow(counted, rows.schema), zones.pages, 3)
+    assert read.value == 199
+    kept = spark.range(20).select(F.lit("{}").alias("record"), F.expr("date_add(date'2026-07-01', cast(id % 3 as int))").alias("process_date"))
+    raw.write_raw(kept.repartition(3), zones.raw)
+    for _ in range(50):
+        if not shuffle_files(spark) - before:
+            break
+        time.sleep(0.1)
+    assert not shuffle_files(spark) - before
+    assert spark.conf.get(FREED) == "false"
+    assert pages.reconcile_counts(pages.read_pages(spark, zones.pages)).collect() == [(202, 199, False)]
+
+
 def test_raw_files_may_be_gzipped(spark, zones):
     records = spark.range(0, 12, 1, 1).select(F.lit('{"complaint_id":1}').alias("record"), F.lit("2026-07-01").cast("date").alias("process_date"))
     raw.write_raw(records, zones.raw, 5, "gzip")
