@@ -8,7 +8,7 @@ import pytest
 
 from plaintide.operators import filters
 from plaintide.operators.quality import dq_report
-from plaintide.operators.upsert import RANGE, RANGE_WIDTH, key_range, latest_per_key, touched_rows
+from plaintide.operators.upsert import RANGE, RANGE_WIDTH, key_range, latest_per_key, merge_rows, touched_rows
 from plaintide.plans import marts, models, serving
 from plaintide.plans.layout import placed
 from plaintide.plans.runs import check_models
@@ -64,6 +64,13 @@ def test_copies_are_dropped_before_the_shuffle(spark, stored):
     assert len(re.findall(r"^\(\d+\) WindowGroupLimit", text, re.M)) == 2
 
 
+def test_a_merge_shuffles_its_rows_once(spark, stored):
+    """One exchange by ranges of the key serves the copies of a key, the stored rows they replace, and the files."""
+    text = plan(merge_rows(spark.read.parquet(stored), spark.read.parquet(stored)))
+    assert re.findall(r"Arguments: (\w+)partitioning\(complaint_id", text) == ["range"]
+    assert "Join" not in text
+
+
 def test_dates_and_ranges_prune_files(spark):
     root = scratch_dir(spark, "prune")
     rows = bronze(spark, [complaint(complaint_id=i) for i in range(4)])

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from plaintide.operators import upsert
-from plaintide.operators.upsert import RANGE, key_range, latest_per_key, require_key
+from plaintide.operators.upsert import RANGE, few_copies, key_range, latest_per_key, require_key
 from plaintide.sources.files import create_new, delete
 from plaintide.sources.warehouse import COMPLAINTS
 from tests.rows import bronze, by_key, complaint
@@ -256,3 +256,13 @@ def test_empty_batch(spark, warehouse):
     warehouse.upsert(rows(spark, dict(complaint_id=1)))
     assert warehouse.upsert(rows(spark)) == 0
     assert tuple(warehouse.load_summary(0).collect()[0]) == (0, 1, "success")
+
+
+def test_keys_with_very_many_copies_are_reduced_first(spark, warehouse, monkeypatch):
+    rows = bronze(spark, [complaint(complaint_id=k % 3, company=f"{k:03}") for k in range(60)])
+    assert few_copies(rows).count() == 60
+    monkeypatch.setattr("plaintide.operators.upsert.COPIES", 5)
+    assert few_copies(rows).count() == 3 and few_copies(rows.limit(0)).count() == 0
+    warehouse.upsert(bronze(spark, [complaint(complaint_id=k, company="Old") for k in (2, 3)]))
+    assert warehouse.upsert(rows) == 60
+    assert sorted((r.complaint_id, r.company) for r in warehouse.source_table().collect()) == [(0, "057"), (1, "058"), (2, "059"), (3, "Old")]
