@@ -2,9 +2,9 @@
 
 :func:`plaintide.operators.upsert.upsert_by_key` rewrites the key ranges of a batch. Here a load writes its rows into
 a folder of its own and, for the rows that they replace, a deletion vector: per file, the positions of its rows
-that no longer count. A read leaves those positions out with an anti join on (file, position), in the JVM and without
-looking at keys; vectors are small beside the table, so Spark broadcasts them below its own threshold and
-shuffles them otherwise. Compaction rewrites the key ranges whose vectors have grown and drops the vectors.
+that no longer count. A read leaves those positions out with an anti join on file and position, in the JVM and without
+looking at keys; the positions of BLOCK rows are a bitmap of 4 KB, so those of half a billion rows are broadcast, and the rows
+are shuffled for them only beyond that. Compaction rewrites the key ranges whose vectors have grown and drops the vectors.
 
 A load or compaction counts from the moment its marker is there. Its folder names the files it made and, for a
 compaction, the loads it stands for, so a reader sees the one or the other. Writers must take turns.
@@ -20,12 +20,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plaintide.operators.upsert import RANGE, RANGE_WIDTH, key_range, latest_per_key, require_key
+from plaintide.operators.upsert import RANGE, RANGE_WIDTH, few_copies, key_range, latest_per_key, require_key
 from plaintide.schemas import BRONZE, KEY
+from plaintide.session import freed_shuffles
 from plaintide.sources.files import children, create_new, delete, read_text, write_text
 
 STEP = "step="
 DONE, ROWS, VECTORS, REPLACES = "_done", "rows", "vectors", "replaces.txt"
+#: Positions of one bitmap, as Spark has them, and bitmaps that go to every task.
+BLOCK, BITMAPS = 32_768, 1 << 14
 VECTOR = T.StructType([T.StructField("file", T.StringType()), T.StructField("positions", T.ArrayType(T.LongType()))])
 
 
@@ -66,19 +69,27 @@ def positioned(spark: SparkSession, location: str, names: Sequence[str], schema:
 
 
 def deleted(spark: SparkSession, location: str, names: Sequence[str]) -> DataFrame | None:
-    """(_file, _position) of the rows that do not count, from the vectors of some steps."""
+    """(_gone_file, _block, _bits): the rows that do not count, a bit each, from the vectors of some steps."""
     paths = [f"{location}/{n}/{VECTORS}" for n in names if VECTORS in children(spark, f"{location}/{n}")]
     if not paths:
         return None
     vectors = spark.read.schema(VECTOR).parquet(*paths)
-    return vectors.select(F.col("file").alias("_file"), F.explode("positions").alias("_position"))
+    gone = vectors.select(F.col("file").alias("_gone_file"), F.explode("positions").alias("_gone"))
+    bits = F.bitmap_construct_agg(F.col("_gone") % BLOCK).alias("_bits")
+    return gone.groupBy("_gone_file", F.expr(f"_gone div {BLOCK}").alias("_block")).agg(bits)
 
 
 def live(spark: SparkSession, location: str, schema: T.StructType) -> DataFrame:
     """The rows that count, with key range, file and position."""
     names = steps(spark, location)
     rows, gone = positioned(spark, location, names, schema), deleted(spark, location, names)
-    return rows if gone is None else rows.join(gone, ["_file", "_position"], "left_anti")
+    if gone is None:
+        return rows
+    if gone.count() <= BITMAPS:
+        gone = F.broadcast(gone)
+    byte = F.expr(f"cast(conv(hex(substring(_bits, cast(_position % {BLOCK} div 8 + 1 as int), 1)), 16, 10) as int)")
+    bit = F.getbit(byte, (F.col("_position") % 8).cast("int")) == 1
+    return rows.join(gone, (F.col("_file") == F.col("_gone_file")) & (F.expr(f"_position div {BLOCK}") == F.col("_block")) & bit, "left_anti")
 
 
 def read(spark: SparkSession, location: str, schema: T.StructType = BRONZE) -> DataFrame:
@@ -97,13 +108,16 @@ def merge(spark: SparkSession, batch: DataFrame, location: str, key: str = KEY,
     try:
         processed = rows.count()
         if processed:
-            kept = latest_per_key(rows, key, version).withColumn(RANGE, key_range(key, width))
-            kept.hint("rebalance", RANGE).write.partitionBy(RANGE).parquet(f"{location}/{name}/{ROWS}")
+            dealt = few_copies(rows, key, version).repartitionByRange(key)
+            kept = latest_per_key(dealt, key, version).withColumn(RANGE, key_range(key, width))
+            with freed_shuffles(spark):
+                kept.write.partitionBy(RANGE).parquet(f"{location}/{name}/{ROWS}")
             ranges = rows.select(key_range(key, width)).distinct()
             old = live(spark, location, schema).select(key, RANGE, "_file", "_position").join(ranges, RANGE, "left_semi")
             hit = old.join(rows.select(key).distinct(), key, "left_semi")
             vectors = hit.groupBy(F.col("_file").alias("file")).agg(F.sort_array(F.collect_list("_position")).alias("positions"))
-            vectors.write.parquet(f"{location}/{name}/{VECTORS}")
+            with freed_shuffles(spark):
+                vectors.write.parquet(f"{location}/{name}/{VECTORS}")
             create_new(spark, f"{location}/{name}/{DONE}")
     finally:
         rows.unpersist()
@@ -119,7 +133,9 @@ def compact(spark: SparkSession, location: str, schema: T.StructType = BRONZE) -
     if len(names) < 2:
         return False
     name = new_step(spark, location)
-    live(spark, location, schema).drop("_file", "_position").hint("rebalance", RANGE).write.partitionBy(RANGE).parquet(f"{location}/{name}/{ROWS}")
+    rows = live(spark, location, schema).drop("_file", "_position").hint("rebalance", RANGE)
+    with freed_shuffles(spark):
+        rows.write.partitionBy(RANGE).parquet(f"{location}/{name}/{ROWS}")
     write_text(spark, f"{location}/{name}/{REPLACES}", "\n".join(names))
     create_new(spark, f"{location}/{name}/{DONE}")
     return True

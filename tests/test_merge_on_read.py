@@ -48,6 +48,23 @@ def test_bytes_written_follow_the_batch(spark):
     assert "LeftAnti" in text and "Python" not in text
 
 
+def test_rows_are_not_shuffled_for_the_vectors(spark, monkeypatch):
+    location, limit = scratch_dir(spark, "mor"), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    mor.merge(spark, bronze(spark, [complaint(complaint_id=k) for k in range(300)]), location)
+    mor.merge(spark, bronze(spark, [complaint(complaint_id=k, company="New") for k in range(0, 300, 7)]), location)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = []
+        for most in (mor.BITMAPS, 0):
+            monkeypatch.setattr(mor, "BITMAPS", most)
+            rows = mor.read(spark, location)
+            found.append(rows._jdf.queryExecution().executedPlan().toString())
+            assert sorted((r.complaint_id, r.company == "New") for r in rows.collect()) == [(k, k % 7 == 0) for k in range(300)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert "SortMergeJoin" not in found[0] and "SortMergeJoin" in found[1]
+
+
 @pytest.mark.parametrize("marker", [mor.DONE, mor.REPLACES])
 def test_a_stopped_step_does_not_count(spark, monkeypatch, marker):
     location = scratch_dir(spark, "mor")
