@@ -3,6 +3,7 @@ from __future__ import annotations
 import glob
 import json
 import os
+import re
 import time
 
 import pytest
@@ -13,12 +14,13 @@ from plaintide.operators.normalize import normalize_schema
 from plaintide.plans import runs
 from plaintide.plans.models import int_complaint_metrics, stg_complaints
 from plaintide.schemas import BRONZE
-from plaintide.session import FREED, scratch_dir
+from plaintide.session import FREED, PARTS, scratch_dir
 from plaintide.sources import bronze as bronze_layer
 from plaintide.sources import pages, raw
 from plaintide.sources.journal import fingerprints
 from plaintide.sources.warehouse import schema_for_layer
 from testbed import shape
+from tests.conftest import SF_DIR
 from tests.rows import bronze, by_key, complaint
 
 RUN_TS = "2026-07-11T02:00:00.000Z"
@@ -399,3 +401,65 @@ def test_raw_files_may_be_gzipped(spark, zones):
     files = glob.glob(raw.raw_path(zones.raw, "2026-07-01") + "/part-*")
     assert len(files) == 3 and all(f.endswith(".gz") for f in files)
     assert raw.read_raw(spark, zones.raw).select("complaint_id").collect() == [("1",)] * 12
+
+
+def jobs_of(files):
+    """The writes that made part files: each names its files by an id of its own."""
+    return {re.match(r"part-\d+-([0-9a-f-]{36})", os.path.basename(f))[1] for f in files}
+
+
+def test_pages_are_landed_a_part_at_a_time(spark, zones):
+    """One shuffle of all pages, beside those of the joins, is most of the disk that a landing needs."""
+    keys = [k * shape.PAGE_KEYS + i for k in range(40) for i in range(3)]
+    shape.land_pages(bronze(spark, [complaint(complaint_id=k) for k in keys] + [complaint(complaint_id=None)]), zones.pages)
+    found = pages.read_pages(spark, zones.pages)
+    assert [tuple(r) for r in pages.reconcile_counts(found).collect()] == [(len(keys) + 1, len(keys) + 1, True)]
+    assert sorted(found.selectExpr("size(hits.hits) AS n").toPandas()["n"]) == [1] + [3] * 40
+    got = pages.parse_records(pages.flatten_pages(found)).select("complaint_id").collect()
+    assert sorted(r[0] or "" for r in got) == sorted([""] + [str(k) for k in keys])
+    assert 2 < len(jobs_of(glob.glob(f"{zones.pages}/part-*.gz"))) <= PARTS + 1  # and the one that makes the folder
+    assert not glob.glob(f"{spark.conf.get('spark.checkpoint.dir')}/landing-*")
+
+
+def test_a_fetch_without_records_is_landed(spark, zones):
+    shape.land_pages(bronze(spark, []), zones.pages)
+    assert pages.reconcile_counts(pages.read_pages(spark, zones.pages)).collect() == [(0, 0, True)]
+    with pytest.raises(Exception, match="(?i)already exists"):
+        shape.land_pages(bronze(spark, []), zones.pages)
+
+
+def test_raw_days_are_written_a_part_at_a_time(spark, zones):
+    day = F.expr("date_add(date'2026-07-01', cast(id % 30 as int))")
+    records = spark.range(0, 300, 1, 3).select(F.to_json(F.struct(F.col("id").alias("complaint_id"))).alias("record"), day.alias("process_date"))
+    for _ in range(2):  # the second write replaces every file of the first
+        raw.write_raw(records, zones.raw, 4)
+        files = glob.glob(f"{zones.raw}/process_date=*/part-*")
+        assert 1 < len(jobs_of(files)) <= PARTS
+        assert all(len(jobs_of(glob.glob(f"{d}/part-*"))) == 1 for d in glob.glob(f"{zones.raw}/process_date=*"))
+        assert all(len(open(f).readlines()) <= 4 for f in files)
+        found = raw.read_raw(spark, zones.raw).select(F.col("complaint_id").cast("long"), "process_date").collect()
+        assert sorted(map(tuple, found)) == sorted(map(tuple, records.select(F.get_json_object("record", "$.complaint_id").cast("long"), "process_date").collect()))
+    assert not glob.glob(f"{zones.raw}/_staged-*")
+
+
+def test_a_broken_record_replaces_no_day(spark, zones):
+    records = spark.range(0, 9, 1, 3).select(F.lit("{}").alias("record"), F.expr("date_add(date'2026-07-01', cast(id as int))").alias("process_date"))
+    raw.write_raw(records, zones.raw)
+    before = sorted(glob.glob(f"{zones.raw}/*/*"))
+    with pytest.raises(Exception, match="broken"):
+        raw.write_raw(records.withColumn("record", F.expr("if(day(process_date) = 9, raise_error('broken'), record)")), zones.raw)
+    assert sorted(glob.glob(f"{zones.raw}/*/*")) == before
+
+
+def test_lines_are_dealt_once_for_copies_and_orders(spark, tmp_path):
+    """The exchange that brings the copies of a line together serves the join with the orders."""
+    for name in ("lineitem", "orders"):
+        spark.read.parquet(f"{SF_DIR}/{name}.parquet").limit(50).write.parquet(f"{tmp_path}/{name}.parquet")
+    rows = shape.complaints(spark, str(tmp_path), ["complaint_id", "issue", "date_received"])
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.count("SortMergeJoin") == 1 and plan.count("Exchange hashpartitioning") == 2
