@@ -19,7 +19,8 @@ from plaintide.sources import bronze as bronze_layer
 from plaintide.sources import pages, raw
 from plaintide.sources.journal import fingerprints
 from plaintide.sources.warehouse import schema_for_layer
-from testbed import shape
+from testbed import registry, shape
+from testbed.oracle import MISSING
 from tests.conftest import SF_DIR
 from tests.rows import bronze, by_key, complaint
 
@@ -463,3 +464,82 @@ def test_lines_are_dealt_once_for_copies_and_orders(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert plan.count("SortMergeJoin") == 1 and plan.count("Exchange hashpartitioning") == 2
+
+
+def write_tables(spark, folder):
+    """Lines of 40 orders, one of them unknown, with a line that comes twice and keys that are null."""
+    day = "timestamp_ntz'1996-01-01 00:00:00'"
+    orders = spark.range(40).selectExpr(
+        "nullif(id, 7) AS o_orderkey", "id % 5 AS o_custkey", "'F' AS o_orderstatus", f"{day} AS o_orderdate", "'1-URGENT' AS o_orderpriority"
+    )
+    lines = spark.range(164).selectExpr(
+        "nullif(id div 4, 3) AS l_orderkey", "id % 6 AS l_partkey", "id % 4 AS l_suppkey", "nullif(cast(id % 4 AS int), 2) AS l_linenumber",
+        "cast(id AS double) AS l_quantity", "cast(id AS double) AS l_extendedprice", "0.05D AS l_discount", "0.02D AS l_tax",
+        "'R' AS l_returnflag", "'F' AS l_linestatus", f"{day} AS l_shipdate",
+    )
+    tables = {
+        "orders": orders,
+        "lineitem": lines.union(lines.limit(1)),
+        "customer": spark.range(5).selectExpr("id AS c_custkey", "cast(id % 2 AS int) AS c_nationkey", "'BUILDING' AS c_mktsegment"),
+        "nation": spark.range(2).selectExpr("cast(id AS int) AS n_nationkey", "concat('N', id) AS n_name"),
+        "supplier": spark.range(4).selectExpr("id AS s_suppkey", "concat('S', id) AS s_name"),
+        "part": spark.range(6).selectExpr("id AS p_partkey", "'red' AS p_name", "'Brand#1' AS p_brand", "'SMALL' AS p_type", "3 AS p_size"),
+    }
+    for name, df in tables.items():
+        df.coalesce(1).write.parquet(f"{folder}/{name}.parquet")
+    return folder
+
+
+def test_lots_hold_every_complaint_once(spark, tmp_path):
+    folder = write_tables(spark, str(tmp_path))
+    whole, lots = shape.complaints(spark, folder), shape.complaint_lots(spark, folder)
+    assert len(lots) == PARTS and sum(not lot.isEmpty() for lot in lots) > 1
+    union = lots[0]
+    for lot in lots[1:]:
+        union = union.unionByName(lot)
+    assert whole.count() == union.count() > 100
+    assert whole.filter("complaint_id IS NULL").count() > 1
+    assert whole.exceptAll(union).isEmpty() and union.exceptAll(whole).isEmpty()
+
+
+def test_a_landing_joins_lot_after_lot(spark, tmp_path, zones, monkeypatch):
+    """The shuffles of joins over all lines, there at once, were three quarters of the disk that a landing needs."""
+    folder, before, kept, real = write_tables(spark, str(tmp_path)), shuffle_files(spark), [], shape.store_parts
+
+    def store(df, key, path):
+        for _ in range(50):
+            if not shuffle_files(spark) - before:
+                break
+            time.sleep(0.1)
+        kept.append(len(shuffle_files(spark) - before))
+        real(df, key, path)
+
+    monkeypatch.setattr(shape, "store_parts", store)
+    monkeypatch.setattr(registry, "layers", lambda *_: stored)
+    stored = registry.Layers(spark, folder)
+    found = pages.flatten_pages(pages.read_pages(spark, stored.pages()))
+    assert kept == [0] * PARTS
+    assert found.count() == shape.complaints(spark, folder).count()
+
+
+def test_the_short_fetch_is_gone_before_the_whole_one_is_landed(spark, tmp_path, monkeypatch):
+    folder, root, there, real = write_tables(spark, str(tmp_path)), spark.conf.get("spark.checkpoint.dir"), [], shape.land_pages
+
+    def land(rows, path, missing=0):
+        there.append(len(glob.glob(f"{root}/short-*/run=*")))
+        real(rows, path, missing)
+
+    monkeypatch.setattr(shape, "land_pages", land)
+    before, n = len(glob.glob(f"{root}/short-*/run=*")), shape.complaints(spark, folder).count()
+    found = registry.reconcile_counts(spark, folder)
+    assert sorted(map(tuple, found.collect())) == [("short", n + MISSING, n, False), ("whole", n, n, True)]
+    assert there == [before, before]
+    assert len(glob.glob(f"{root}/short-*/run=*")) == before
+
+
+def test_a_page_has_its_records_in_key_order(spark, zones):
+    keys = [9, 2, 7, 4, 1, 8, 3, 6, 5]
+    rows = bronze(spark, [complaint(complaint_id=k) for k in [*keys, *[k + shape.PAGE_KEYS for k in keys]]])
+    shape.land_pages(rows, zones.pages)
+    found = [[int(c) for c in r[0]] for r in pages.read_pages(spark, zones.pages).selectExpr("transform(hits.hits, h -> h.sort[0])").collect()]
+    assert sorted(found) == [sorted(keys), [k + shape.PAGE_KEYS for k in sorted(keys)]]
