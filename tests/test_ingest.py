@@ -14,7 +14,7 @@ from plaintide.operators.normalize import normalize_schema
 from plaintide.plans import runs
 from plaintide.plans.models import int_complaint_metrics, stg_complaints
 from plaintide.schemas import BRONZE
-from plaintide.session import FREED, PARTS, scratch_dir
+from plaintide.session import FREED, PARTS, scratch_dir, store_parts
 from plaintide.sources import bronze as bronze_layer
 from plaintide.sources import pages, raw
 from plaintide.sources.journal import fingerprints
@@ -543,3 +543,14 @@ def test_a_page_has_its_records_in_key_order(spark, zones):
     shape.land_pages(rows, zones.pages)
     found = [[int(c) for c in r[0]] for r in pages.read_pages(spark, zones.pages).selectExpr("transform(hits.hits, h -> h.sort[0])").collect()]
     assert sorted(found) == [sorted(keys), [k + shape.PAGE_KEYS for k in sorted(keys)]]
+
+
+def test_staged_lines_are_compressed_well(spark, tmp_path):
+    """JSON lines at the writer's usual level take half as much again, beside the pages and the raw files."""
+    words = F.expr("transform(sequence(1, 12), i -> concat('word', pmod(xxhash64(id, i), 40)))")
+    lines = spark.range(0, 4000, 1, 1).select(F.to_json(F.struct("id", words.alias("words"))).alias("record"))
+    lines.write.parquet(f"{tmp_path}/usual", compression="zstd")
+    store_parts(lines.withColumn("day", F.lit(1)), "day", f"{tmp_path}/staged")
+    usual, staged = (sum(map(os.path.getsize, glob.glob(f"{tmp_path}/{name}/**/part-*", recursive=True))) for name in ("usual", "staged"))
+    assert 0 < staged < 0.9 * usual
+    assert spark.read.parquet(f"{tmp_path}/staged").select("record").exceptAll(lines).isEmpty()
