@@ -6,8 +6,9 @@ import os
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
-from plaintide.operators.ledger import CELL, counted
+from plaintide.operators.ledger import CELL, PERIOD, counted
 from plaintide.operators.upsert import RANGE, RANGE_WIDTH, key_range
 from plaintide.plans import runs
 from plaintide.plans.marts import GROUPED, MARTS
@@ -193,3 +194,43 @@ def test_complaints_are_dealt_and_not_their_cells(spark, warehouse):
     manifest = versions.version_at(spark, warehouse.path("marts", runs.VERSIONS))
     totals = spark.read.schema(runs.COUNTS).parquet(manifest.tables["totals"])
     assert totals.count() == totals.select(CELL).distinct().count()
+
+
+def test_a_range_stores_groups_and_a_load_counts_those_it_changed(spark, warehouse, monkeypatch):
+    """At most a row per complaint is kept of a range, in place of a dozen cells; groups that stay are not counted again."""
+    r = random.Random(7)
+    rows, come = some(r, range(40)), []
+    real = runs.cells
+
+    def cells(groups, marts, *by):
+        if "dim_states" in marts:
+            come.append((groups.count(), groups.agg(F.sum("n")).first()[0]))
+        return real(groups, marts, *by)
+
+    monkeypatch.setattr(runs, "cells", cells)
+    warehouse.upsert(bronze(spark, rows))
+    runs.build_models(warehouse, DAY_1)
+    part = versions.version_at(spark, root_of(warehouse)).parts["0"]
+    assert spark.read.parquet(part[runs.TALLIES]).count() <= 40
+    assert come.pop()[1] == 40
+    warehouse.upsert(bronze(spark, [{**rows[3], "company": "New"}, *rows[4:], {**rows[0], "complaint_id": 99, "state": "TX"}]))
+    runs.build_models(warehouse, DAY_2)
+    assert come == [(3, 1)]
+    assert published_rows(warehouse) == built_anew(warehouse)
+
+
+def test_versions_that_stored_cells_are_followed(spark, warehouse):
+    """A version of before there were groups: its cells by range and month are taken back, and give the marts of months."""
+    r = random.Random(8)
+    warehouse.upsert(bronze(spark, some(r, range(40))))
+    runs.build_models(warehouse, DAY_1)
+    manifest = versions.version_at(spark, root_of(warehouse))
+    metrics = int_complaint_metrics(stg_complaints(warehouse.source_table()))
+    counted(metrics.withColumn(PERIOD, F.trunc("date_received", "month")), GROUPED, [PERIOD]).write.parquet(f"{warehouse.root}/cells")
+    manifest.parts["0"] = {k: v for k, v in manifest.parts["0"].items() if k != runs.TALLIES} | {"counts": f"{warehouse.root}/cells"}
+    versions.publish(spark, root_of(warehouse), versions.new_folder(root_of(warehouse)), versions.Manifest(DAY_1, manifest.tables, manifest.parts))
+    some_months = metrics.filter("complaint_month_date >= date'2026-04-01'")
+    assert {n: sorted_rows(df) for n, df in runs.marts_between(warehouse, "2026-04-09", None).items()} == {n: sorted_rows(b(some_months)) for n, b in MARTS.items()}
+    warehouse.upsert(bronze(spark, some(r, range(20, 60))))
+    runs.build_models(warehouse, DAY_2)
+    assert published_rows(warehouse) == built_anew(warehouse)
