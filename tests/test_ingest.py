@@ -554,3 +554,14 @@ def test_staged_lines_are_compressed_well(spark, tmp_path):
     usual, staged = (sum(map(os.path.getsize, glob.glob(f"{tmp_path}/{name}/**/part-*", recursive=True))) for name in ("usual", "staged"))
     assert 0 < staged < 0.9 * usual
     assert spark.read.parquet(f"{tmp_path}/staged").select("record").exceptAll(lines).isEmpty()
+
+
+def test_stamping_cuts_a_record_by_octets(spark):
+    """The time goes before the last brace of any text; a record is not walked through for its last character."""
+    texts = ['{"a":"é}"}', ' {"a":1} ', "{}", "{ }", '{"a":{"b":"ü"}}', "é", None]
+    stamped = pages.stamp_extracted_at(spark.createDataFrame([(t,) for t in texts], "record string"), "2026-07-11T02:00:00.000Z")
+    end = '"extracted_at":"2026-07-11T02:00:00.000Z"}'
+    assert [r.record for r in stamped.collect()] == [
+        '{"a":"é}",' + end, '{"a":1,' + end, "{" + end, "{" + end, '{"a":{"b":"ü"},' + end, "," + end, None,
+    ]
+    assert "octet_length(" in stamped._jdf.queryExecution().optimizedPlan().toString()
