@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plaintide.operators.upsert import RANGE, RANGE_WIDTH, few_copies, key_range, latest_per_key, require_key
+from plaintide.operators.upsert import RANGE, RANGE_WIDTH, copies, few_copies, key_range, latest_per_key, require_key
 from plaintide.schemas import BRONZE, KEY
 from plaintide.session import freed_shuffles
 from plaintide.sources.files import children, create_new, delete, read_text, write_text
@@ -106,9 +106,9 @@ def merge(spark: SparkSession, batch: DataFrame, location: str, key: str = KEY,
     name = new_step(spark, location)
     rows = require_key(batch.select(schema.names), key).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        processed = rows.count()
+        processed, most = copies(rows, key)
         if processed:
-            dealt = few_copies(rows, key, version).repartitionByRange(key)
+            dealt = few_copies(rows, key, version, most).repartitionByRange(key)
             kept = latest_per_key(dealt, key, version).withColumn(RANGE, key_range(key, width))
             with freed_shuffles(spark):
                 kept.write.partitionBy(RANGE).parquet(f"{location}/{name}/{ROWS}")

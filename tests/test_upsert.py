@@ -1,15 +1,17 @@
 from __future__ import annotations
 
 import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from plaintide.operators import upsert
-from plaintide.operators.upsert import RANGE, few_copies, key_range, latest_per_key, require_key
+from plaintide.operators.upsert import NEIGHBOURS, RANGE, copies, few_copies, key_range, latest_per_key, require_key
 from plaintide.sources.files import create_new, delete
 from plaintide.sources.warehouse import COMPLAINTS
 from tests.rows import bronze, by_key, complaint
+from tests.test_ingest import shuffle_files
 
 
 def rows(spark, *changes):
@@ -266,3 +268,30 @@ def test_keys_with_very_many_copies_are_reduced_first(spark, warehouse, monkeypa
     warehouse.upsert(bronze(spark, [complaint(complaint_id=k, company="Old") for k in (2, 3)]))
     assert warehouse.upsert(rows) == 60
     assert sorted((r.complaint_id, r.company) for r in warehouse.source_table().collect()) == [(0, "057"), (1, "058"), (2, "059"), (3, "Old")]
+
+
+def test_copies_are_ruled_out_by_neighbouring_keys(spark, monkeypatch):
+    """A bucket of keys with few rows needs no look at its keys; the bound is exact where a bucket has many."""
+    keys = spark.range(-7, 3 * NEIGHBOURS).withColumnRenamed("id", "complaint_id")
+    assert copies(keys) == (3 * NEIGHBOURS + 7, NEIGHBOURS) and copies(keys.limit(0)) == (0, 0)
+    monkeypatch.setattr("plaintide.operators.upsert.COPIES", 5)
+    assert copies(keys) == (3 * NEIGHBOURS + 7, 1)
+    assert copies(keys.union(keys.filter("complaint_id = 9"))) == (3 * NEIGHBOURS + 8, 2)
+
+
+def test_a_load_keeps_no_shuffles_or_rows_of_its_batch(spark, warehouse, monkeypatch):
+    """Before the merge the shuffles of the batch are deleted; its rows are in a folder and in no executor, and then gone."""
+    batch, real, kept = rows(spark, *[dict(complaint_id=k) for k in range(50)]).dropDuplicates(["complaint_id"]), upsert.copies, []
+    before, cached = shuffle_files(spark), len(spark.sparkContext._jsc.getPersistentRDDs())
+
+    def counting(staged, key):
+        for _ in range(50):
+            if not shuffle_files(spark) - before:
+                break
+            time.sleep(0.1)
+        kept.append((len(shuffle_files(spark) - before), len(spark.sparkContext._jsc.getPersistentRDDs()) - cached))
+        return real(staged, key)
+
+    monkeypatch.setattr(upsert, "copies", counting)
+    assert warehouse.upsert(batch) == 50 and kept == [(0, 0)]
+    assert not [n for n in os.listdir(warehouse.path("raw", COMPLAINTS)) if n.startswith("_staged")]
